@@ -1,0 +1,39 @@
+"""Connected components of a link table, by alternating large and small stars."""
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from spoor.llm.common import dealt_anew, written
+
+
+def _least_neighbour(links: DataFrame) -> DataFrame:
+    """(u, m): the least among u and its neighbours v; combined on the map side, so a hub costs one row a task."""
+    return dealt_anew(links.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")))
+
+
+def _large_star(links: DataFrame) -> DataFrame:
+    both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    return both.join(_least_neighbour(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+
+
+def _small_star(links: DataFrame) -> DataFrame:
+    down = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u > v")
+    least = _least_neighbour(down)
+    hooks = down.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return hooks.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+
+
+def components(links: DataFrame, a: str, b: str) -> DataFrame:
+    """(node, root) for every node of a link that is not itself the root: the least node that it can reach.
+
+    Each round is written to the shared folder; rounds grow with the logarithm of the longest chain. Links with a
+    null end and self-links are ignored. An empty table gives an empty table.
+    """
+    now = written(links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v"))
+    before = None
+    while True:
+        mark = now.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
+        if mark["n"] == 0 or mark == before:
+            return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
+        before = mark
+        now = written(_small_star(_large_star(now)))
