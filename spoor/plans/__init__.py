@@ -1 +1,5 @@
+"""Queries over the test tables, one or more for each operator, with the DuckDB SQL that gives the same rows."""
 
+from spoor.plans import graph, relational, reuse, temporal, texts
+
+MODULES = (reuse, temporal, graph, relational, texts)

@@ -1,4 +1,20 @@
-"""Every registered query and its DuckDB SQL."""
+"""Every registered query and its DuckDB SQL; the modules of ``spoor.plans`` fill them."""
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Register the decorated function under its name, with the SQL that gives the same rows if there is any."""
+
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return register
