@@ -1,41 +1,17 @@
-"""What the operators of this subpackage share: table reading and lineage cuts in the cluster's shared folder."""
+"""What the operators of this subpackage share."""
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spoor.sources.tables import shared_dir, table, written
+
+__all__ = ["BLANKS", "WORD", "dealt_anew", "null_safe", "shared_dir", "table", "written"]
+
 #: ASCII white space between words, and a word, as regular expressions of the JVM.
 BLANKS = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, from ``spark.checkpoint.dir``; a new local one only where that is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="spoor-checkpoint-")
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
-
-
-def written(df: DataFrame) -> DataFrame:
-    """Write a table to the shared folder and read it back: lineage ends here, and a lost executor costs nothing.
-
-    Unlike ``checkpoint()`` the rows are compressed and columnar, and joins on the result are free to deal
-    both sides anew, so that adaptive execution can split a hot key.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/spoor-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def dealt_anew(df: DataFrame) -> DataFrame:
     """Even out partitions and forget their key, so that a following join may split what is skewed."""
     return df.hint("rebalance")
