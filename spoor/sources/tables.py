@@ -20,7 +20,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame) -> DataFrame:
-    """Write a table to the shared folder and read it back: lineage ends here, and a lost executor costs nothing."""
+    """Write a table to the shared folder and read it back: lineage ends here, and a lost executor costs nothing.
+
+    Unlike ``checkpoint()`` the rows are compressed and columnar, and joins on the result are free to deal both sides anew,
+    so that adaptive execution can split a hot key.
+    """
     path = f"{shared_dir(df.sparkSession)}/spoor-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
