@@ -143,7 +143,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(rest)], ids, sizes], [*rest, "ids", "n_tokens"])
 
     schema = docs.select(*rest, F.array(F.lit(0)).alias("ids"), F.lit(0).cast("long").alias("n_tokens")).schema
-    return docs.select(*rest, F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
+    return docs.select(*rest, F.col(text_col).cast("string").alias("__text")).mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:

@@ -125,7 +125,7 @@ def predict(rows: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(rest)], pa.array([x[0] for x in made], pa.string()), pa.array([x[1] for x in made], pa.float64())], [*rest, "lang_pred", "score"])
 
     schema = rows.select(*rest, F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
-    return rows.select(*rest, F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
+    return rows.select(*rest, F.col(text_col).cast("string").alias("__text")).mapInArrow(run, schema)
 
 
 def fold(id_col: str = "doc_id") -> Column:

@@ -126,10 +126,10 @@ def repeated(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, id_col: str =
     Rows that repeat an id are taken as one document would be: by the mean of what the mix takes of them.
     """
     times = mix(docs, weights, id_col, text_col, source_col, block).groupBy("doc_id").agg(F.round(F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).cast("int").alias("_times"))
-    times = written(times.where("_times > 0").select(F.col("doc_id").alias("_taken_id"), "_times"))
-    names = docs.columns
-    joined = docs.join(times, docs[id_col].eqNullSafe(F.col("_taken_id")))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*[docs[c] for c in names])
+    times = written(times.where("_times > 0"))
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"))
+    joined = rows.join(times, rows["id"].eqNullSafe(times["doc_id"]))
+    return joined.select("row", F.explode(F.sequence(F.lit(1), F.col("_times")))).select("row.*")
 
 
 def oracle(weights: tuple[int, ...] = WEIGHTS, block: int = BLOCK) -> str:

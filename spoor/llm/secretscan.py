@@ -173,9 +173,9 @@ def redact(docs: DataFrame, text_col: str = "text", fdr: float = FDR, least_p: f
     The texts are scanned once for the corpus-wide cut-offs and once more as they are rewritten, rather than stored between.
     """
     names = docs.columns
-    found = scanned(docs, text_col)
+    found = scanned(docs.select(F.struct("*").alias("row"), F.col(text_col).cast("string").alias("text")))
     cuts = cut_offs(found, fdr, least_p)
-    text = F.col(text_col)
+    text = F.col("text")
 
     def step(state: Column, x: Column) -> Column:
         apart = x["start"] >= state["at"]
@@ -185,4 +185,5 @@ def redact(docs: DataFrame, text_col: str = "text", fdr: float = FDR, least_p: f
     spans = F.array_sort(F.concat("_base", _secret(cuts, least_p)))
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
     cleaned = F.aggregate("_spans", start, step, lambda s: F.concat(F.array_join(s["parts"], ""), F.substring(text, s["at"] + 1, F.length(text))))
-    return found.withColumn("_spans", spans).withColumn(text_col, F.when(F.size("_spans") > 0, cleaned).otherwise(text)).select(*names)
+    found = found.withColumn("_spans", spans)
+    return found.select(*[(F.when(F.size("_spans") > 0, cleaned).otherwise(text) if c == text_col else F.col("row")[c]).alias(c) for c in names])

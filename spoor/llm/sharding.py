@@ -61,9 +61,13 @@ def assign(docs: DataFrame, limit: int = LIMIT, id_col: str = "doc_id", text_col
 
 
 def write_shards(docs: DataFrame, path: str, limit: int = LIMIT, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Write ``docs`` as one Parquet folder a shard; a shard is small by its limit, so one task writes it."""
-    placed = assign(docs, limit, id_col, text_col).select(F.col("doc_id").alias("_shard_id"), "shard").distinct()
-    joined = docs.join(placed, docs[id_col].eqNullSafe(F.col("_shard_id"))).drop("_shard_id")
+    """Write ``docs`` as one Parquet folder a shard; a shard is small by its limit, so one task writes it.
+
+    A column named shard is replaced. Rows that agree in id but not in text go to the shard of the first of their texts.
+    """
+    placed = assign(docs, limit, id_col, text_col).groupBy("doc_id").agg(F.min("shard").alias("shard"))
+    docs = docs.drop("shard")
+    joined = docs.join(placed, docs[id_col].eqNullSafe(placed["doc_id"])).select(*[docs[c] for c in docs.columns], "shard")
     joined.repartition("shard").write.partitionBy("shard").parquet(path)
 
 

@@ -140,5 +140,6 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Rows whose id is null are kept only where they share a component with no other document's id.
     """
     classes = near_duplicates(docs, id_col, text_col, radius)
-    kept = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(F.col("kept_id")), "left_semi")
+    kept = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"))
+    return rows.join(kept, rows["id"].eqNullSafe(kept["doc_id"]), "left_semi").select("row.*")
