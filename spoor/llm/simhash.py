@@ -108,10 +108,10 @@ def links(fps: DataFrame, radius: int = RADIUS, tiles: int = TILES) -> DataFrame
         for batch in batches:
             found = [(np.zeros(0, np.int64),) * 2]
             for x, y, same in zip(batch.column(0), batch.column(1), batch.column(2).to_pylist(), strict=True):
-                a, b = (z.values.to_numpy() for z in (x, y))
+                a, b = (z.values.to_numpy().view(np.uint64) for z in (x, y))  # bit counts of negative numbers are not what is wanted
                 node, root = _forest(a, b, same, radius)
                 both = a if same else np.concatenate([a, b])
-                found.append((both[node], both[root]))
+                found.append((both[node].view(np.int64), both[root].view(np.int64)))
             u, v = (np.concatenate(x) for x in zip(*found, strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["a", "b"])
 

@@ -3,11 +3,11 @@
 import public_tokenizers
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
-from test_operators import plain_components, plain_fingerprint, plain_spans
 
 import corpus_pipeline
 from spoor.llm import bpe, mixing
 from spoor.llm.queries import VOCABULARY
+from tests.llm.test_training_operators import plain_components, plain_fingerprint, plain_spans
 
 FOLDER = "/root/testdata/sf0.001"
 
