@@ -12,6 +12,7 @@ import unicodedata
 from collections.abc import Iterator
 from functools import cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -19,6 +20,8 @@ from pyspark.sql import functions as F
 
 #: Distinct runs of text whose encoding a worker remembers before it starts anew.
 REMEMBERED = 500_000
+#: Documents whose ids are in a worker's memory at once.
+SLICE = 128
 
 
 def byte_letters() -> list[str]:
@@ -137,10 +140,14 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path)
-        for batch in batches:
-            ids = pa.array([own.encode(t) for t in batch.column(len(rest)).to_pylist()], pa.list_(pa.int32()))
-            sizes = pa.array([len(x) for x in ids], pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(rest)], ids, sizes], [*rest, "ids", "n_tokens"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(at, SLICE)
+                made = [np.array(own.encode(t), np.int32) for t in batch.column(len(rest)).to_pylist()]
+                sizes = np.array([len(x) for x in made], np.int64)
+                offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(made)))
+                yield pa.RecordBatch.from_arrays([*batch.columns[: len(rest)], ids, pa.array(sizes)], [*rest, "ids", "n_tokens"])
 
     schema = docs.select(*rest, F.array(F.lit(0)).alias("ids"), F.lit(0).cast("long").alias("n_tokens")).schema
     return docs.select(*rest, F.col(text_col).cast("string").alias("__text")).mapInArrow(run, schema)
