@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from spoor.operators.closure import components
 from spoor.operators.shingles import INDEX_STEP, PROBE_STEP, WIDTH, block_windows, carried_share, prior_art, window_index_join, window_key
 from spoor.registry import query
-from spoor.sources.tables import table
+from spoor.sources.tables import spread, table
 
 _WINDOWS = f"""
 iw AS (SELECT item_id, pos, substr(text, CAST(pos + 1 AS BIGINT), {WIDTH}) AS w FROM (SELECT item_id, text, unnest(range(0, length(text) - {WIDTH} + 1, {PROBE_STEP})) AS pos FROM benchmark WHERE length(text) >= {WIDTH}) AS x),
@@ -16,7 +16,7 @@ dw AS (SELECT DISTINCT doc_id, source, substr(text, CAST(pos + 1 AS BIGINT), {WI
 
 def _windows(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     items = block_windows(table(spark, sf_dir, "benchmark"), "item_id", "text", WIDTH, PROBE_STEP)
-    return items, block_windows(table(spark, sf_dir, "documents"), ["doc_id", "source"], "text", WIDTH, INDEX_STEP)
+    return items, block_windows(spread(table(spark, sf_dir, "documents")), ["doc_id", "source"], "text", WIDTH, INDEX_STEP)
 
 
 @query(f"WITH {_WINDOWS} SELECT doc_id, item_id, count(*) AS hits FROM iw JOIN dw USING (w) GROUP BY doc_id, item_id")
@@ -84,6 +84,6 @@ SELECT CASE WHEN found / windows >= 0.9 THEN 'covered' WHEN found / windows >= 0
 )
 def coverage_partition(spark, sf_dir):
     items = block_windows(table(spark, sf_dir, "benchmark"), "item_id", "text", WIDTH, 1).select("item_id", *window_key("w")).distinct()
-    docs = block_windows(table(spark, sf_dir, "documents"), "doc_id", "text", WIDTH, 1).select(*window_key("w"), F.lit(1).alias("there")).distinct()
+    docs = block_windows(spread(table(spark, sf_dir, "documents")), "doc_id", "text", WIDTH, 1).select(*window_key("w"), F.lit(1).alias("there")).distinct()
     share = items.join(docs, ["h1", "h2"], "left").groupBy("item_id").agg((F.count("there") / F.count("*")).alias("share"))
     return share.groupBy(F.when(F.col("share") >= 0.9, "covered").when(F.col("share") >= 0.1, "partly").otherwise("absent").alias("cover")).agg(F.count("*").alias("items"))

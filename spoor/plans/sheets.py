@@ -8,7 +8,7 @@ from spoor.operators.ranking import idf, rank_units
 from spoor.operators.shingles import PROBE_STEP, WIDTH, block_windows, carried_share
 from spoor.operators.temporal import in_force, with_intervals
 from spoor.registry import query
-from spoor.sources.tables import table
+from spoor.sources.tables import spread, table
 
 
 @query()
@@ -72,7 +72,7 @@ def grain_table(spark, sf_dir):
 @query()
 def ranking_recall(spark, sf_dir):
     """How often an item's true source is among the three documents that rank highest by rarity, with Wilson's lower bound."""
-    items, docs = table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents")
+    items, docs = table(spark, sf_dir, "benchmark"), spread(table(spark, sf_dir, "documents"))
     truth = carried_share(block_windows(items, "item_id", "text", WIDTH, PROBE_STEP), block_windows(docs, "doc_id", "text"), "item_id", "doc_id").select("item_id", F.col("doc_id").alias("truth"))
     ranked = rank_units(items, docs, idf(docs, "doc_id", "text"), "item_id", "doc_id", "text", k=3)
     hit = truth.join(ranked, "item_id", "left").groupBy("item_id").agg(F.bool_or(F.col("doc_id") == F.col("truth")).alias("hit"), F.min(F.when(F.col("doc_id") == F.col("truth"), F.col("rank"))).alias("rank"))

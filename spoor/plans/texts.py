@@ -9,7 +9,7 @@ from spoor.operators.sections import consecutive, first_of, in_bands, sections,
 from spoor.operators.shingles import PROBE_STEP, WIDTH, block_windows, carried_share
 from spoor.operators.similarity import best_in_block, trigram_containment, unique_winner, word_jaccard
 from spoor.registry import query
-from spoor.sources.tables import table
+from spoor.sources.tables import spread, table
 
 
 @query("""WITH l AS (SELECT doc_id, unnest(list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)), lambda x: length(x) >= 15)) AS segment,
@@ -45,7 +45,7 @@ s AS (SELECT b.item_id, b.doc_id, (SELECT {_TRIGRAMS} FROM (SELECT a.w) AS q(w))
 SELECT item_id, doc_id, round(len(list_intersect(x, y)) / len(x), 9) AS share FROM s WHERE n >= 8""")
 def trigram_containments(spark, sf_dir):
     """How much of an item's word trigrams its likeliest source holds; sources come from shared windows, not from all pairs."""
-    items, docs = table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents")
+    items, docs = table(spark, sf_dir, "benchmark"), spread(table(spark, sf_dir, "documents"))
     pairs = carried_share(block_windows(items, "item_id", "text", WIDTH, PROBE_STEP), block_windows(docs, "doc_id", "text"), "item_id", "doc_id").select("item_id", "doc_id")
     both = pairs.join(items.select("item_id", F.col("text").alias("part")), "item_id").join(docs.select("doc_id", "text"), "doc_id")
     share = trigram_containment(F.col("part"), F.col("text"))
@@ -79,7 +79,7 @@ def idf_rank_units(spark, sf_dir):
 @query()
 def idf_rank_windows(spark, sf_dir):
     """The three best disjoint windows of each of three benchmark items in each document, framed by sentence ends."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     weights = idf(docs, "doc_id", "text")
     top = rank_windows(table(spark, sf_dir, "benchmark").where("item_id < 3"), docs, weights, "item_id", "doc_id", "text", min_terms=4)
     return reframed(docs, top, "doc_id", "text").select("item_id", "doc_id", "rank", "start", "score", "begin", "end", "passage")
@@ -137,7 +137,7 @@ def anchored_rows(spark, sf_dir):
 
 def built_edges(spark, sf_dir):
     """Edges from documents to the benchmark items that they reproduce, and their proofs."""
-    found = carried_share(block_windows(table(spark, sf_dir, "documents"), "doc_id", "text"), block_windows(table(spark, sf_dir, "benchmark"), "item_id", "text", WIDTH, 1), "doc_id", "item_id")
+    found = carried_share(block_windows(spread(table(spark, sf_dir, "documents")), "doc_id", "text"), block_windows(table(spark, sf_dir, "benchmark"), "item_id", "text", WIDTH, 1), "doc_id", "item_id")
     found = found.withColumn("proof_id", F.sha2("proof", 256))
     return found.select("doc_id", "item_id", "proof_id", F.lit("derived").alias("method"), "share"), found.select("proof_id", F.col("proof").alias("window")).distinct()
 

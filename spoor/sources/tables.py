@@ -28,3 +28,9 @@ def written(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/spoor-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows anew where a scan has fewer partitions than there are cores, as one small file has; else leave them as read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
