@@ -4,21 +4,26 @@ import public_tokenizers
 
 from spoor.llm import bpe, chat, langid, mixing, quality, secretscan, sharding, simhash, topk, urlfilter
 from spoor.llm.common import table
+from spoor.sources.tables import spread
 
 #: The vocabulary file of the encoding query.
 VOCABULARY = "word_bpe_49k.json"
 
 
+def _documents(spark, sf_dir):
+    return spread(table(spark, sf_dir, "documents"))
+
+
 def op1_simhash(spark, sf_dir):
-    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return simhash.near_duplicates(_documents(spark, sf_dir))
 
 
 def op2_bpe(spark, sf_dir):
-    return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
+    return bpe.digests(_documents(spark, sf_dir), public_tokenizers.path(VOCABULARY))
 
 
 def op3_language(spark, sf_dir):
-    return langid.identify(table(spark, sf_dir, "documents"))
+    return langid.identify(_documents(spark, sf_dir))
 
 
 def op4_url_filter(spark, sf_dir):
@@ -26,7 +31,7 @@ def op4_url_filter(spark, sf_dir):
 
 
 def op5_sharding(spark, sf_dir):
-    return sharding.assign(table(spark, sf_dir, "documents"))
+    return sharding.assign(_documents(spark, sf_dir))
 
 
 def op6_chat(spark, sf_dir):
@@ -34,7 +39,7 @@ def op6_chat(spark, sf_dir):
 
 
 def op7_mixing(spark, sf_dir):
-    return mixing.mix(table(spark, sf_dir, "documents"))
+    return mixing.mix(_documents(spark, sf_dir))
 
 
 def op8_top_k(spark, sf_dir):
@@ -42,12 +47,12 @@ def op8_top_k(spark, sf_dir):
 
 
 def op9_quality(spark, sf_dir):
-    judged = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    judged = quality.judge(_documents(spark, sf_dir), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def op10_secrets(spark, sf_dir):
-    return secretscan.scan(table(spark, sf_dir, "documents"))
+    return secretscan.scan(_documents(spark, sf_dir))
 
 
 QUERIES = {f.__name__: f for f in (op1_simhash, op2_bpe, op3_language, op4_url_filter, op5_sharding, op6_chat, op7_mixing, op8_top_k, op9_quality, op10_secrets)}
