@@ -1,5 +1,5 @@
 """Queries over the test tables, one or more for each operator, with the DuckDB SQL that gives the same rows."""
 
-from spoor.plans import graph, prose, relational, reuse, sheets, streams, temporal, texts
+from spoor.plans import evidence, graph, prose, relational, reuse, sheets, streams, temporal, texts
 
-MODULES = (reuse, temporal, graph, relational, texts, prose, sheets, streams)
+MODULES = (reuse, temporal, graph, relational, texts, prose, sheets, streams, evidence)

@@ -223,3 +223,70 @@ def test_dates_and_normal_forms(spark):
     assert one(spark, X.normalised(F.lit("L’ «Été»  ﬁn"))) == "l' été fin"
     assert one(spark, X.unique_position(F.lit("ab  cd ab"), F.lit("b cd"))) == 1
     assert one(spark, X.unique_position(F.lit("ab ab"), F.lit("ab"))) is None
+
+
+def test_declared_edges(spark):
+    links = spark.createDataFrame([("v", "t", "creation"), ("v", "t", "creation"), ("v", "t", "mention")], "version string, statute string, link string")
+    assert rows(edges.produced_by(links)) == [("v", "t", "creation")]
+    articles = spark.createDataFrame([("a", D(2000, 1, 1)), ("b", D(1990, 1, 1)), ("c", D(2000, 1, 1))], "article string, start date")
+    pairs = spark.createDataFrame([("a", "b"), ("a", "c"), ("b", "a"), ("a", "a")], "article string, former string")
+    assert rows(edges.renumbered_declared(pairs, articles)) == [("a", "b")]
+
+
+def test_a_text_that_moved_is_found(spark):
+    arrivals = spark.createDataFrame([("n1", "alpha beta gamma delta", None, "d1"), ("n2", "alpha beta gamma delta", "alpha beta gamma delta", "d1")], "article string, text string, previous_text string, day string")
+    departures = spark.createDataFrame([("o1", "alpha beta gamma delta", "d1"), ("o2", "other words than those", "d1"), ("o3", "alpha beta gamma delta", "d2")], "article string, text string, day string")
+    assert rows(edges.renumbered_inferred(arrivals, departures, "day")) == [("n1", "o1", 1.0)]
+
+
+def test_dossier_of_a_statute(spark):
+    listings = spark.createDataFrame(
+        [("s1", "d1", "x", "1"), ("s2", "d1", "bill", "2004-1"), ("s2", "d2", "law 2004-1 on", "2004-1"), ("s3", "d1", "x", "9"), ("s3", "d2", "y", "9")], "statute string, dossier string, title string, number string"
+    )
+    assert rows(edges.originates_in(listings)) == [("s1", "d1"), ("s2", "d2")]
+
+
+def test_passage_guards_in_order(spark):
+    text = "".join(chr(97 + i % 23) for i in range(60))
+    probe = spark.createDataFrame(
+        [("p1", "a1", "d", "adopted", None, text), ("p2", "a2", "d", "rejected", None, text), ("p3", "a3", "d", "adopted", None, "x" * 60), ("p4", "a4", "d", "adopted", "L9", text), ("p5", "a5", "d", "adopted", "L2", text)],
+        "passage string, amendment string, dossier string, family string, destination string, w string",
+    )
+    index = spark.createDataFrame([("s", "L1", "d", text)], "segment string, article string, dossier string, w string")
+    classes = spark.createDataFrame([("L1", "L1"), ("L2", "L1")], "number string, class string")
+    found = edges.results_from(probe, index, classes, F.col("family") == "adopted")
+    assert {r["passage"]: r["reason"] for r in found.collect()} == {"p1": None, "p2": "not_adopted", "p3": "not_found", "p4": "other_destination", "p5": None}
+
+
+def test_perimeter_and_undeclared(spark):
+    articles = spark.createDataFrame([("a",), ("b",)], "article string")
+    origins = spark.createDataFrame([("a", "s1", "law", "d", 12, D(2000, 1, 1)), ("a", "s2", "law", "d", 14, D(2010, 1, 1))], "article string, statute string, nature string, dossier string, legislature int, date date")
+    assert {r["article"]: (r["statute"], r["eligible"]) for r in edges.perimeter(articles, origins).collect()} == {"a": ("s2", 1), "b": (None, 0)}
+    cited = spark.createDataFrame([("c", "1"), ("c", "2")], "celex string, act_article string")
+    assert rows(edges.undeclared_nulled(cited, spark.createDataFrame([("c", "1")], "celex string, number string"))) == [("c", "1"), ("c", None)]
+
+
+def test_consecutive_and_bands(spark):
+    numbers = spark.createDataFrame([("a", k, n) for k, n in enumerate([1, 2, 4, 4, 5])], "id string, k int, n int")
+    assert [r["n"] for r in sections.consecutive(numbers, "id", "k", "n").orderBy("k").collect()] == [1, 2]
+    anchors = spark.createDataFrame([(1, 10.0, "A"), (1, 50.0, "B")], "page int, y double, name string")
+    cells = spark.createDataFrame([(1, 0.0, "c0"), (1, 45.0, "c1"), (1, 30.0, "c2")], "page int, y double, cell string")
+    assert rows(sections.in_bands(anchors, cells, ["page"], "y").select("cell", "anchor_name")) == [("c1", "B"), ("c2", "A")]
+
+
+def test_codes_of_annexes(spark):
+    df = spark.createDataFrame([("L. 1",), ("r2",), ("Annexe à l'article D. 3",), ("liminaire",), ("x",)], "n string")
+    assert [r["p"] for r in df.select(classify.code_part(F.col("n")).alias("p")).collect()] == ["L", "R", "D", "L", None]
+
+
+def test_streamed_increments_equal_the_table(spark, tmp_path):
+    from spoor.streaming.events import apply_increments, current, read_increments
+
+    log = spark.createDataFrame([("a", 1, "put"), ("b", 1, "put"), ("a", 3, "del"), ("a", 2, "put"), ("c", 4, "put")], "k string, at int, op string")
+    log.repartition(3, "at").write.parquet(str(tmp_path / "in"))
+    stream = read_increments(spark, str(tmp_path / "in"), log.schema, 1)
+    for _ in range(2):  # the second run finds nothing new
+        run = apply_increments(stream, str(tmp_path / "out"), str(tmp_path / "cp"), "k", ["at"], "op = 'del'")
+        run.awaitTermination()
+    last = max(int(p.name) for p in (tmp_path / "out").iterdir())
+    assert {r["k"] for r in current(spark, str(tmp_path / "out"), last, "op = 'del'").collect()} == {"b", "c"}
