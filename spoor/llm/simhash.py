@@ -2,8 +2,9 @@
 
 Fingerprints are sorted into tiles by the population counts of their two halves. Two words that differ in at most
 ``radius`` bits have half counts that differ by at most ``radius`` in sum, so a tile is only compared with tiles whose
-counts lie that near; those pairs of tiles are compared whole, by numpy exclusive-or and bit counts. No pair of rows
-is ever a Spark row: a pair of tiles gives back a spanning forest of its links, of at most one link a fingerprint.
+counts lie that near; those pairs of tiles are compared by numpy exclusive-or and bit counts. A large pair of tiles is first
+split by the counts of 16-bit and then 8-bit parts, and blocks whose counts differ too far are skipped. No pair of rows is
+ever a Spark row: a pair of tiles gives back a spanning forest of its links, of at most one link a fingerprint.
 """
 
 from collections.abc import Iterator
@@ -23,8 +24,11 @@ SHINGLE, SEED = 4, 42
 RADIUS = 4
 #: Tiles that the distinct fingerprints are dealt to, and the fewest and the most of them in a tile.
 TILES, LEAST_TILE, MOST_TILE = 512, 256, 65536
-#: Comparisons that numpy makes at once.
-CHUNK = 1 << 18
+#: Comparisons that numpy makes at once, and pairs of rows up to which two blocks are compared rather than split further.
+CHUNK, LEAF = 1 << 18, 1 << 20
+#: The halves of a word that tiles go by, and how they are split on: which part, and the bits of its upper half.
+HALVES = (np.uint64(0xFFFFFFFF00000000), np.uint64(0x00000000FFFFFFFF))
+SPLITS = tuple((part, np.uint64(mask)) for part, mask in ((0, 0xFFFF << 48), (1, 0xFFFF << 16), (0, 0xFF << 40), (1, 0xFF << 8), (2, 0xFF << 56), (3, 0xFF << 24)))
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -58,24 +62,50 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
 
 
-def _forest(a: np.ndarray, b: np.ndarray, same: bool, radius: int) -> np.ndarray:
+def _near(a: np.ndarray, b: np.ndarray, ia: np.ndarray, ib: np.ndarray, deltas: tuple[int, ...], radius: int, mirror: bool, leaf: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Blocks of a and b that may hold links: while a pair of blocks is large it is split by the counts of ever smaller parts.
+
+    ``deltas`` are how far the counts of the parts so far differ; their sum is the least number of bits that differ. In a
+    ``mirror`` both blocks are the same rows, so that only one of each two opposite pairs is needed.
+    """
+    k = len(deltas) - 2
+    if k == len(SPLITS) or len(ia) * len(ib) <= leaf:
+        yield ia, ib
+        return
+    parent, mask = SPLITS[k]
+    count_a, count_b = np.bitwise_count(a[ia] & mask), np.bitwise_count(b[ib] & mask)
+    by_b = {int(v): ib[count_b == v] for v in np.unique(count_b)}
+    for v in np.unique(count_a):
+        own = ia[count_a == v]
+        for w, other in by_b.items():
+            d = int(v) - w
+            rest = deltas[parent] - d
+            if mirror and d < 0 or sum(map(abs, deltas)) - abs(deltas[parent]) + abs(d) + abs(rest) > radius:
+                continue
+            split = (*deltas[:parent], rest, *deltas[parent + 1 :], d)
+            yield from _near(a, b, own, other, split, radius, mirror and d == 0, leaf)
+
+
+def _forest(a: np.ndarray, b: np.ndarray, same: bool, radius: int, leaf: int = LEAF) -> np.ndarray:
     """Rows of (node, root) over the two tiles' words laid end to end: the links of their components within the pair."""
     root = np.arange(len(a) + (0 if same else len(b)))
-    shift, step = 0 if same else len(a), max(1, CHUNK // len(b))
-    for at in range(0, len(a), step):
-        near = np.bitwise_count(a[at : at + step, None] ^ b[None, :]) <= radius
-        u, v = np.nonzero(near)
-        u += at
-        v += shift
-        while len(u):
-            ru, rv = root[u], root[v]
-            open_ = ru != rv
-            if not open_.any():
-                break
-            u, v, ru, rv = u[open_], v[open_], ru[open_], rv[open_]
-            np.minimum.at(root, np.maximum(ru, rv), np.minimum(ru, rv))
-            while (root != (up := root[root])).any():
-                root = up
+    shift = 0 if same else len(a)
+    half = lambda x: tuple(int(np.bitwise_count(x[:1] & m).sum()) for m in HALVES)
+    deltas = tuple(x - y for x, y in zip(half(a), half(b), strict=True))
+    for ia, ib in _near(a, b, np.arange(len(a)), np.arange(len(b)), deltas, radius, same, leaf):
+        step = max(1, CHUNK // max(1, len(ib)))
+        for at in range(0, len(ia), step):
+            u, v = np.nonzero(np.bitwise_count(a[ia[at : at + step], None] ^ b[ib][None, :]) <= radius)
+            u, v = ia[at + u], ib[v] + shift
+            while len(u):
+                ru, rv = root[u], root[v]
+                open_ = ru != rv
+                if not open_.any():
+                    break
+                u, v, ru, rv = u[open_], v[open_], ru[open_], rv[open_]
+                np.minimum.at(root, np.maximum(ru, rv), np.minimum(ru, rv))
+                while (root != (up := root[root])).any():
+                    root = up
     node = np.nonzero(root != np.arange(len(root)))[0]
     return np.stack([node, root[node]])
 

@@ -99,6 +99,20 @@ def test_links_span_every_component(spark, seeds, flips):
             assert (want[i] == want[j]) == (find(v) == find(values[j]))
 
 
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.integers(0, 2**64 - 1), min_size=1, max_size=12), st.lists(st.tuples(st.integers(0, 11), st.sets(st.integers(0, 63), max_size=5)), max_size=40))
+def test_splitting_a_pair_of_tiles_loses_no_link(seeds, flips):
+    values = seeds + [seeds[k % len(seeds)] ^ sum(1 << b for b in bits) for k, bits in flips]
+    cells = {}
+    for v in set(values):
+        cells.setdefault(((v >> 32).bit_count(), (v & 0xFFFFFFFF).bit_count()), []).append(v)
+    tiles = [np.array(c, np.uint64) for c in cells.values()]
+    for i, a in enumerate(tiles):
+        for b in tiles[i:]:
+            whole, split = (simhash._forest(a, b, a is b, 4, leaf) for leaf in (1 << 40, 0))
+            assert whole.tolist() == split.tolist()
+
+
 def test_near_duplicates_on_odd_input(spark, odd, none):
     found = simhash.near_duplicates(odd).collect()
     assert len(found) == odd.count()
