@@ -20,7 +20,7 @@ def sheet_struct(spark, sf_dir):
     order = Window.partitionBy("o_custkey").orderBy(F.col("start").desc(), "o_orderkey")
     latest = versions.withColumn("n", F.row_number().over(order)).where("n <= 10")
     history = latest.groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct("n", "o_orderkey", (F.col("o_totalprice") > 400000).alias("large")))).alias("history"))
-    counts = orders.groupBy("o_custkey").agg(F.map_from_entries(F.array(F.struct(F.lit("orders"), F.count("*")), F.struct(F.lit("pending"), F.count_if(F.col("o_orderstatus") == "P")))).alias("counts"))
+    counts = orders.groupBy("o_custkey").agg(F.struct(F.count("*").alias("orders"), F.count_if(F.col("o_orderstatus") == "P").alias("pending")).alias("counts"))
     customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name")
     return customers.join(now, "o_custkey", "left").join(history, "o_custkey", "left").join(counts, "o_custkey", "left")
 

@@ -47,3 +47,9 @@ def compact(spark: SparkSession, source: str, target: str, files: int) -> None:
 
 def as_json(rows: DataFrame, column: str = "json") -> DataFrame:
     return rows.select(F.to_json(F.struct(*rows.columns)).alias(column))
+
+
+def journal(spark: SparkSession, path: str, run: str, step: str, status: str, seconds: float, detail: str = "") -> None:
+    """Append a step to the journal of a run; line breaks and home folders are taken out of the detail."""
+    row = spark.createDataFrame([(run, step, status, float(seconds), detail)], "run string, step string, status string, seconds double, detail string")
+    row.withColumn("detail", F.regexp_replace(F.translate("detail", "\t\n\r", "   "), r"/(?:home|root)/[^\s:]*", "~")).coalesce(1).write.mode("append").parquet(path)
