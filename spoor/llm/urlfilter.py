@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Terms that reject alone, and terms of which SOFT_HITS distinct ones reject.
-STRICT = ("porn", "porno", "xxx", "xvideos", "hentai", "nsfw", "camgirl", "casino", "viagra", "cialis", "warez", "keygen", "escort", "spam")
-SOFT = ("adult", "sex", "nude", "bet", "bets", "betting", "poker", "slots", "jackpot", "win", "free", "cheap", "pills", "pharma", "loan", "loans", "crack", "torrent", "ads", "track", "farm", "dating", "x")
+STRICT = ("adult", "porn", "porno", "xxx", "xvideos", "hentai", "nsfw", "camgirl", "casino", "viagra", "cialis", "warez", "keygen", "escort", "spam")
+SOFT = ("sex", "nude", "bet", "bets", "betting", "poker", "slots", "jackpot", "win", "free", "cheap", "pills", "pharma", "loan", "loans", "crack", "torrent", "ads", "track", "dating")
 SOFT_HITS = 2
 #: The rules of the query, as (action, host and path).
 RULES = (("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/"))
