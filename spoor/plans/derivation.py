@@ -37,18 +37,18 @@ def article_verdicts(spark, sf_dir):
     return verdicts(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("article")), routes, [("reasoned", ["passage"]), ("traced", ["proposal"])])
 
 
-_SECTIONS = """s AS (SELECT o_orderkey AS document, o_custkey % 50 AS dossier, l_linenumber AS bill_article, l_partkey % 200 AS article, CASE WHEN o_orderstatus = 'P' THEN 'impact_study' ELSE 'report' END AS kind, CAST(l_linenumber * 1000 AS BIGINT) AS start FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
-k AS (SELECT DISTINCT p_partkey % 200 AS article, p_size AS dossier FROM part WHERE p_size < 50)"""
+_SECTIONS = """s AS (SELECT o_orderkey AS document, o_custkey AS dossier, l_linenumber AS bill_article, l_partkey % 200 AS article, CASE WHEN o_orderstatus = 'P' THEN 'impact_study' ELSE 'report' END AS kind, CAST(l_linenumber * 1000 AS BIGINT) AS start, l_quantity AS q FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+k AS (SELECT DISTINCT article, dossier FROM s WHERE q >= 25)"""
 
 
 def _sections(spark, sf_dir):
     items = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    start = (F.col("l_linenumber") * 1000).cast("long")
+    start, article = (F.col("l_linenumber") * 1000).cast("long"), F.col("l_partkey") % 200
     rows = items.select(
-        F.col("o_orderkey").alias("document"), (F.col("o_custkey") % 50).alias("dossier"), F.col("l_linenumber").alias("bill_article"), F.array(F.col("l_partkey") % 200).alias("declared"),
+        F.col("o_orderkey").alias("document"), F.col("o_custkey").alias("dossier"), F.col("l_linenumber").alias("bill_article"), F.array(article).alias("declared"),
         F.when(F.col("o_orderstatus") == "P", "impact_study").otherwise("report").alias("kind"), start.alias("start"), (start + 900).alias("end"),
     )
-    known = table(spark, sf_dir, "part").where("p_size < 50").select((F.col("p_partkey") % 200).alias("article"), F.col("p_size").cast("long").alias("dossier")).distinct()
+    known = items.where("l_quantity >= 25").select(article.alias("article"), F.col("o_custkey").alias("dossier")).distinct()
     return rows, known
 
 
@@ -58,14 +58,12 @@ def declared_motives(spark, sf_dir):
 
 
 @query(
-    f"""WITH {_SECTIONS}, t AS (SELECT DISTINCT dossier, bill_article, article FROM s WHERE document % 3 = 0), f AS (SELECT DISTINCT dossier, bill_article, article FROM s WHERE document % 5 = 0),
-d AS (SELECT DISTINCT document, s.article FROM s JOIN k ON s.article = k.article AND s.dossier = k.dossier WHERE document % 7 = 0),
-q AS (SELECT DISTINCT document, kind, dossier, bill_article, start FROM s WHERE document % 7 = 0),
-p AS (SELECT q.document, f.article, q.dossier, start FROM q JOIN f USING (dossier, bill_article) WHERE kind = 'impact_study' UNION ALL SELECT q.document, t.article, q.dossier, start FROM q JOIN t USING (dossier, bill_article) WHERE kind <> 'impact_study')
+    f"""WITH {_SECTIONS}, t AS (SELECT DISTINCT dossier, bill_article, article FROM s WHERE kind = 'report'), f AS (SELECT DISTINCT dossier, bill_article, article FROM s WHERE kind = 'impact_study'),
+d AS (SELECT DISTINCT document, s.article FROM s JOIN k ON s.article = k.article AND s.dossier = k.dossier),
+p AS (SELECT s.document, f.article, s.dossier, start FROM s JOIN f USING (dossier, bill_article) WHERE kind = 'impact_study' UNION ALL SELECT s.document, t.article, s.dossier, start FROM s JOIN t USING (dossier, bill_article) WHERE kind <> 'impact_study')
 SELECT p.document, p.article, min(start) AS start, min(start) + 900 AS "end" FROM p JOIN k ON p.article = k.article AND p.dossier = k.dossier WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.document = p.document AND d.article = p.article) GROUP BY ALL"""
 )
 def paired_motives(spark, sf_dir):
     rows, known = _sections(spark, sf_dir)
-    covers = lambda n: rows.where(f"document % {n} = 0").select("dossier", "bill_article", F.col("declared")[0].alias("article"))
-    mine = rows.where("document % 7 = 0")
-    return motivates_paired(mine, covers(3), covers(5), known, motivates_declared(mine, known))
+    covers = lambda kind: rows.where(F.col("kind") == kind).select("dossier", "bill_article", F.col("declared")[0].alias("article"))
+    return motivates_paired(rows, covers("report"), covers("impact_study"), known, motivates_declared(rows, known))

@@ -6,20 +6,20 @@ from spoor.operators.closure import chain, closure, components, oriented, wave
 from spoor.registry import query
 from spoor.sources.tables import table
 
-#: Parts of the arithmetic graphs: derived keys are taken by this modulus.
-MOD = 2000
-_EDGES = f"e AS (SELECT p_partkey AS src, (17 * p_partkey + 5) % {MOD} AS dst FROM part UNION SELECT p_partkey, (31 * p_partkey + 11) % {MOD} FROM part)"
-_DOWN = "d AS (SELECT src, dst FROM e WHERE dst < src AND src % 4 = 0)"
+#: The arithmetic graph on the keys of all parts, and its edges to smaller keys, which have no cycle.
+_EDGES = "m AS (SELECT count(*) AS n FROM part), e AS (SELECT p_partkey AS src, (17 * p_partkey + 5) % n AS dst FROM part, m UNION SELECT p_partkey, (31 * p_partkey + 11) % n FROM part, m)"
+_DOWN = "d AS (SELECT src, dst FROM e WHERE dst < src)"
 
 
 def _edges(spark, sf_dir):
     part = table(spark, sf_dir, "part")
-    targets = F.array(F.pmod(17 * F.col("p_partkey") + 5, F.lit(MOD)), F.pmod(31 * F.col("p_partkey") + 11, F.lit(MOD)))
+    n = F.lit(part.count())
+    targets = F.array(F.pmod(17 * F.col("p_partkey") + 5, n), F.pmod(31 * F.col("p_partkey") + 11, n))
     return part.select(F.col("p_partkey").alias("src"), F.explode(targets).alias("dst")).distinct()
 
 
 def _down(spark, sf_dir):
-    return oriented(_edges(spark, sf_dir), F.col("dst"), F.col("src")).where("src % 4 = 0")
+    return oriented(_edges(spark, sf_dir), F.col("dst"), F.col("src"))
 
 
 @query(
@@ -41,30 +41,30 @@ def closure_descendants(spark, sf_dir):
 
 
 @query(
-    f"""WITH RECURSIVE {_EDGES}, r(node, depth) AS (SELECT CAST(1 AS BIGINT), 0 UNION SELECT e.dst, depth + 1 FROM r JOIN e ON r.node = e.src WHERE depth < 6)
+    f"""WITH RECURSIVE {_EDGES}, r(node, depth) AS (SELECT p_partkey, 0 FROM part WHERE p_size = 1 UNION SELECT e.dst, depth + 1 FROM r JOIN e ON r.node = e.src WHERE depth < 3)
 SELECT node, min(depth) AS depth FROM r GROUP BY node HAVING min(depth) > 0"""
 )
 def impact_wave(spark, sf_dir):
-    edges = _edges(spark, sf_dir)
-    return wave(edges, "src", "dst", edges.where("src = 1").select("src"), 6)
+    seeds = table(spark, sf_dir, "part").where("p_size = 1").select("p_partkey")
+    return wave(_edges(spark, sf_dir), "src", "dst", seeds, 3)
 
 
 @query(
-    f"""WITH RECURSIVE {_EDGES}, {_DOWN}, s AS (SELECT DISTINCT src AS seed FROM d WHERE src % 20 = 0),
+    f"""WITH RECURSIVE {_EDGES}, {_DOWN}, s AS (SELECT DISTINCT src AS seed FROM d),
 u(seed, node) AS (SELECT seed, seed FROM s UNION SELECT u.seed, d.dst FROM u JOIN d ON u.node = d.src),
 w(seed, node) AS (SELECT seed, seed FROM s UNION SELECT w.seed, d.src FROM w JOIN d ON w.node = d.dst)
 SELECT seed, node FROM u UNION SELECT seed, node FROM w"""
 )
 def chain_no_siblings(spark, sf_dir):
     down = _down(spark, sf_dir)
-    return chain(down, "src", "dst", down.where("src % 20 = 0").select("src"))
+    return chain(down, "src", "dst", down.select("src"))
 
 
 @query(
     f"""WITH RECURSIVE {_EDGES}, {_DOWN}, s AS (SELECT src, dst, ((src * 7 + dst) % 100) / 100.0 AS share FROM d),
 r(seed, node, depth) AS (SELECT DISTINCT src, src, 0 FROM s UNION SELECT r.seed, s.dst, depth + 1 FROM r JOIN s ON r.node = s.src),
-m AS (SELECT seed, node, min(depth) AS depth FROM r GROUP BY ALL)
-SELECT m.seed, m.node, m.depth, CAST(min(s.share) AS DOUBLE) AS share FROM m JOIN m p ON p.seed = m.seed AND p.depth = m.depth - 1 JOIN s ON s.src = p.node AND s.dst = m.node GROUP BY ALL"""
+z AS (SELECT seed, node, min(depth) AS depth FROM r GROUP BY ALL)
+SELECT z.seed, z.node, z.depth, CAST(min(s.share) AS DOUBLE) AS share FROM z JOIN z p ON p.seed = z.seed AND p.depth = z.depth - 1 JOIN s ON s.src = p.node AND s.dst = z.node GROUP BY ALL"""
 )
 def segment_ancestry_payload(spark, sf_dir):
     edges = _down(spark, sf_dir).withColumn("share", F.pmod(F.col("src") * 7 + F.col("dst"), F.lit(100)) / 100.0)
@@ -72,10 +72,12 @@ def segment_ancestry_payload(spark, sf_dir):
 
 
 @query(
-    f"""WITH RECURSIVE {_EDGES}, x AS (SELECT src, dst FROM e WHERE src % 7 = 0), u AS (SELECT src AS a, dst AS b FROM x UNION SELECT dst, src FROM x),
+    f"""WITH RECURSIVE {_EDGES}, x AS (SELECT p_partkey AS src, (17 * p_partkey + 5) % n AS dst FROM part, m WHERE p_partkey <> (17 * p_partkey + 5) % n), u AS (SELECT src AS a, dst AS b FROM x UNION SELECT dst, src FROM x),
 r(node, reach) AS (SELECT a, a FROM u UNION SELECT r.node, u.b FROM r JOIN u ON r.reach = u.a)
 SELECT min_reach AS component, count(*) AS members FROM (SELECT node, min(reach) AS min_reach FROM r GROUP BY node) AS x GROUP BY 1"""
 )
 def undirected_classes(spark, sf_dir):
-    found = components(_edges(spark, sf_dir).where("src % 7 = 0"), "src", "dst")
+    part = table(spark, sf_dir, "part")
+    hops = part.select(F.col("p_partkey").alias("src"), F.pmod(17 * F.col("p_partkey") + 5, F.lit(part.count())).alias("dst"))
+    found = components(hops, "src", "dst")
     return found.groupBy(F.col("root").alias("component")).agg((F.count("*") + 1).alias("members"))

@@ -81,15 +81,15 @@ def ranking_recall(spark, sf_dir):
 
 
 @query(
-    """WITH a AS (SELECT doc_id, source AS v FROM documents WHERE doc_id % 10 < 8), b AS (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN 'moved' ELSE source END AS v FROM documents WHERE doc_id % 10 > 2),
+    """WITH a AS (SELECT doc_id, source AS v FROM documents WHERE n_chars >= 500), b AS (SELECT doc_id, CASE WHEN n_chars >= 5000 THEN 'moved' ELSE source END AS v FROM documents WHERE lang <> 'es'),
 d AS (SELECT CASE WHEN a.doc_id IS NULL THEN 'entered' WHEN b.doc_id IS NULL THEN 'left' WHEN a.v <> b.v THEN 'flipped' END AS change FROM a FULL JOIN b USING (doc_id)) SELECT change, count(*) AS n FROM d WHERE change IS NOT NULL GROUP BY 1"""
 )
 def change_report(spark, sf_dir):
     from spoor.operators.changes import snapshot_diff
 
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("v"))
-    new = docs.where("doc_id % 10 > 2").withColumn("v", F.when(F.col("doc_id") % 7 == 0, "moved").otherwise(F.col("v")))
-    return snapshot_diff(docs.where("doc_id % 10 < 8"), new, "doc_id", "v").groupBy("change").agg(F.count("*").alias("n"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars", "lang", F.col("source").alias("v"))
+    new = docs.where("lang <> 'es'").withColumn("v", F.when(F.col("n_chars") >= 5000, "moved").otherwise(F.col("v")))
+    return snapshot_diff(docs.where("n_chars >= 500"), new, "doc_id", "v").groupBy("change").agg(F.count("*").alias("n"))
 
 
 @query(

@@ -21,15 +21,15 @@ def segment_offsets(spark, sf_dir):
     return found.select("doc_id", F.col("ordinal").cast("long").alias("ordinal"), F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), F.sha2("segment", 256).alias("sha"))
 
 
-@query("""WITH w AS (SELECT item_id, item_id % 8 AS block, list_distinct(regexp_extract_all(lower(text), '[a-z0-9_]{4,}')) AS a FROM benchmark),
+@query("""WITH w AS (SELECT item_id, item_id // 5 AS block, list_distinct(regexp_extract_all(lower(text), '[\\p{L}\\p{M}\\p{Nd}_]{4,}')) AS a FROM benchmark),
 p AS (SELECT x.item_id, y.item_id AS other, len(list_intersect(x.a, y.a)) / (len(x.a) + len(y.a) - len(list_intersect(x.a, y.a))) AS s FROM w x JOIN w y ON x.block = y.block AND x.item_id <> y.item_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY s DESC, other DESC) AS n, lead(s) OVER (PARTITION BY item_id ORDER BY s DESC, other DESC) AS runner_up FROM p)
-SELECT item_id, other, round(s, 9) AS score, round(runner_up, 9) AS runner_up FROM r WHERE n = 1 AND s >= 0.05""")
+SELECT item_id, other, round(s, 9) AS score, round(runner_up, 9) AS runner_up FROM r WHERE n = 1 AND s >= 0""")
 def word_jaccards(spark, sf_dir):
-    items = table(spark, sf_dir, "benchmark").withColumn("block", F.col("item_id") % 8)
+    items = table(spark, sf_dir, "benchmark").withColumn("block", F.floor(F.col("item_id") / 5))
     other = items.select(F.col("item_id").alias("other"), F.col("text").alias("other_text"), "block")
     score = F.when(F.col("item_id") != F.col("other"), word_jaccard(F.col("text"), F.col("other_text"))).otherwise(F.lit(-1.0))
-    best = best_in_block(items, other, "block", "item_id", "other", score, 0.05)
+    best = best_in_block(items, other, "block", "item_id", "other", score, 0.0)
     return best.select("item_id", "other", F.round("score", 9).alias("score"), F.round(F.when(F.col("runner_up") >= 0, F.col("runner_up")), 9).alias("runner_up"))
 
 
@@ -67,21 +67,21 @@ def idf_weights(spark, sf_dir):
 
 
 @query(f"""WITH t AS (SELECT doc_id, unnest({_sql_terms("text")}) AS term FROM documents), c AS (SELECT term, ln((SELECT count(*) FROM documents) / count(*)) AS weight FROM t GROUP BY term),
-u AS (SELECT conv_id * 1000 + turn AS unit, unnest({_sql_terms("text")}) AS term FROM conversations), q AS (SELECT item_id, unnest({_sql_terms("text")}) AS term FROM benchmark WHERE item_id < 10),
+u AS (SELECT conv_id * 1000 + turn AS unit, unnest({_sql_terms("text")}) AS term FROM conversations), q AS (SELECT item_id, unnest({_sql_terms("text")}) AS term FROM benchmark),
 s AS (SELECT item_id, unit, round(CAST(sum(CAST(weight AS DECIMAL(20, 10))) AS DOUBLE), 6) AS score, count(*) AS shared FROM q JOIN c USING (term) JOIN u USING (term) GROUP BY ALL HAVING count(*) >= 2)
 SELECT item_id, unit, score, shared, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, unit) AS rank FROM s) AS x WHERE rank <= 3""")
 def idf_rank_units(spark, sf_dir):
     weights = idf(table(spark, sf_dir, "documents"), "doc_id", "text")
     units = table(spark, sf_dir, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("unit"), "text")
-    return rank_units(table(spark, sf_dir, "benchmark").where("item_id < 10"), units, weights, "item_id", "unit", "text")
+    return rank_units(table(spark, sf_dir, "benchmark"), units, weights, "item_id", "unit", "text")
 
 
 @query()
 def idf_rank_windows(spark, sf_dir):
-    """The three best disjoint windows of each of three benchmark items in each document, framed by sentence ends."""
+    """The three best disjoint windows of each benchmark item in each document, framed by sentence ends."""
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     weights = idf(docs, "doc_id", "text")
-    top = rank_windows(table(spark, sf_dir, "benchmark").where("item_id < 3"), docs, weights, "item_id", "doc_id", "text", min_terms=4)
+    top = rank_windows(table(spark, sf_dir, "benchmark"), docs, weights, "item_id", "doc_id", "text", min_terms=4)
     return reframed(docs, top, "doc_id", "text").select("item_id", "doc_id", "rank", "start", "score", "begin", "end", "passage")
 
 
@@ -113,10 +113,10 @@ def text_sections(spark, sf_dir):
     return sections(lines.where(F.length("line").between(1, 80)), "doc_id", "start", "total", "line", min_len=400, merge_equal=True)
 
 
-@query("""WITH n AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS k, role FROM conversations WHERE NOT (conv_id % 5 = 0 AND turn = 2)),
+@query("""WITH n AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS k, role FROM conversations WHERE role <> 'system'),
 r AS (SELECT *, min(CASE WHEN k = turn THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn) AS ok FROM n) SELECT conv_id, count(*) AS turns FROM r WHERE ok = 1 GROUP BY conv_id""")
 def numbering_while_consecutive(spark, sf_dir):
-    rows = table(spark, sf_dir, "conversations").where("not (conv_id % 5 = 0 and turn = 2)").select("conv_id", "turn", (F.col("turn") + 1).alias("number"))
+    rows = table(spark, sf_dir, "conversations").where("role <> 'system'").select("conv_id", "turn", (F.col("turn") + 1).alias("number"))
     return consecutive(rows, "conv_id", "turn", "number").groupBy("conv_id").agg(F.count("*").alias("turns"))
 
 
@@ -165,12 +165,12 @@ def redact_export(spark, sf_dir):
     return flattened(withheld(docs, F.col("source") == "src0", "body", F.concat(F.lit("[withheld: "), F.col("source"), F.lit("]"))).select("doc_id", "body"), ["body"])
 
 
-@query("""WITH b AS (SELECT item_id % 4 AS block, item_id, list_distinct(regexp_extract_all(lower(text), '[a-z0-9_]{4,}')) AS a FROM benchmark),
+@query("""WITH b AS (SELECT item_id // 10 AS block, item_id, list_distinct(regexp_extract_all(lower(text), '[\\p{L}\\p{M}\\p{Nd}_]{4,}')) AS a FROM benchmark),
 p AS (SELECT x.item_id, y.item_id AS other, len(list_intersect(x.a, y.a)) / (len(x.a) + len(y.a) - len(list_intersect(x.a, y.a))) AS s FROM b x JOIN b y ON x.block = y.block AND x.item_id < y.item_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY s DESC, other DESC) AS n, lead(s) OVER (PARTITION BY item_id ORDER BY s DESC, other DESC) AS u FROM p)
-SELECT item_id, other FROM r WHERE n = 1 AND s >= 0.1 AND coalesce(u, 0) < 0.09""")
+SELECT item_id, other FROM r WHERE n = 1 AND s >= 0.01 AND coalesce(u, 0) < 0.01""")
 def unique_winners(spark, sf_dir):
-    items = table(spark, sf_dir, "benchmark").withColumn("block", F.col("item_id") % 4)
+    items = table(spark, sf_dir, "benchmark").withColumn("block", F.floor(F.col("item_id") / 10))
     other = items.select(F.col("item_id").alias("other"), F.col("text").alias("other_text"), "block")
     score = F.when(F.col("item_id") < F.col("other"), word_jaccard(F.col("text"), F.col("other_text"))).otherwise(F.lit(-1.0))
-    return unique_winner(best_in_block(items, other, "block", "item_id", "other", score, 0.0), 0.1, 0.09).select("item_id", "other")
+    return unique_winner(best_in_block(items, other, "block", "item_id", "other", score, 0.0), 0.01, 0.01).select("item_id", "other")
