@@ -91,7 +91,7 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before = mark
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = both.join(_least_neighbour(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(_least_neighbour(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u > v")
         least = _least_neighbour(down)
         hooks = down.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
