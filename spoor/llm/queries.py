@@ -11,6 +11,7 @@ VOCABULARY = "word_bpe_49k.json"
 
 
 def _documents(spark, sf_dir):
+    """The documents, dealt over all cores where one small file holds them; native operators read them as they are."""
     return spread(table(spark, sf_dir, "documents"))
 
 
@@ -31,7 +32,7 @@ def op4_url_filter(spark, sf_dir):
 
 
 def op5_sharding(spark, sf_dir):
-    return sharding.assign(_documents(spark, sf_dir))
+    return sharding.assign(table(spark, sf_dir, "documents"))
 
 
 def op6_chat(spark, sf_dir):
@@ -39,7 +40,7 @@ def op6_chat(spark, sf_dir):
 
 
 def op7_mixing(spark, sf_dir):
-    return mixing.mix(_documents(spark, sf_dir))
+    return mixing.mix(table(spark, sf_dir, "documents"))
 
 
 def op8_top_k(spark, sf_dir):
@@ -52,7 +53,7 @@ def op9_quality(spark, sf_dir):
 
 
 def op10_secrets(spark, sf_dir):
-    return secretscan.scan(_documents(spark, sf_dir))
+    return secretscan.scan(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (op1_simhash, op2_bpe, op3_language, op4_url_filter, op5_sharding, op6_chat, op7_mixing, op8_top_k, op9_quality, op10_secrets)}
