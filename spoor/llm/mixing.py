@@ -128,7 +128,8 @@ def repeated(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, id_col: str =
     times = mix(docs, weights, id_col, text_col, source_col, block).groupBy("doc_id").agg(F.round(F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).cast("int").alias("_times"))
     times = written(times.where("_times > 0"))
     rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"))
-    joined = rows.join(times, rows["id"].eqNullSafe(times["doc_id"]))
+    # Counts are the smaller side at every size: hashed by partition, so that no text is sorted.
+    joined = rows.join(times.hint("shuffle_hash"), rows["id"].eqNullSafe(times["doc_id"]))
     return joined.select("row", F.explode(F.sequence(F.lit(1), F.col("_times")))).select("row.*")
 
 

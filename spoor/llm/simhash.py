@@ -172,4 +172,5 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     classes = near_duplicates(docs, id_col, text_col, radius)
     kept = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
     rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"))
-    return rows.join(kept, rows["id"].eqNullSafe(kept["doc_id"]), "left_semi").select("row.*")
+    # The ids are the smaller side at every size: hashed by partition, so that no text is sorted.
+    return rows.join(kept.hint("shuffle_hash"), rows["id"].eqNullSafe(kept["doc_id"]), "left_semi").select("row.*")
