@@ -14,10 +14,8 @@ WINDOW, SHOWN, MIN_TERMS, RARE, SLACK = 400, 3, 2, math.log(200), 140
 def idf(docs: DataFrame, id_col: str, text_col: str, stopwords: tuple[str, ...] = ()) -> DataFrame:
     """(term, df, weight) with weight ln(N / df) over all documents."""
     each = docs.select(id_col, F.explode(F.array_distinct(terms(F.col(text_col), stopwords))).alias("term"))
-    n = docs.agg(F.count("*").alias("n"))
-    counts = each.groupBy("term").agg(F.count("*").alias("df"))
-    # One row: the number of documents.
-    return counts.join(F.broadcast(n)).select("term", "df", F.log(F.col("n") / F.col("df")).alias("weight"))
+    n = F.lit(docs.count())
+    return each.groupBy("term").agg(F.count("*").alias("df")).select("term", "df", F.log(n / F.col("df")).alias("weight"))
 
 
 def rank_units(

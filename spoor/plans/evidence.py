@@ -96,5 +96,4 @@ def enum_ordered(spark, sf_dir):
     """Rows by the rank of an enumeration, then the shortest first."""
     rank = F.when(F.col("role") == "assistant", 0).otherwise(1)
     rows = table(spark, sf_dir, "conversations").where("role <> 'system'")
-    page = rows.agg(F.count("*").alias("page"))
-    return rows.orderBy(rank, F.length("text"), "conv_id", "turn").limit(15).select("conv_id", "turn", F.length("text").cast("long").alias("n")).join(F.broadcast(page))
+    return rows.orderBy(rank, F.length("text"), "conv_id", "turn").limit(15).select("conv_id", "turn", F.length("text").cast("long").alias("n")).withColumn("page", F.lit(rows.count()))

@@ -127,8 +127,7 @@ def strongest_routes(spark, sf_dir):
 @query("SELECT * FROM (SELECT p_partkey, p_name, p_size, count(*) OVER () AS total FROM part WHERE p_type = 'PROMO' AND p_size >= 10) AS x WHERE p_partkey > 500 ORDER BY p_partkey LIMIT 20")
 def keyset_page(spark, sf_dir):
     found = table(spark, sf_dir, "part").where("p_type = 'PROMO' and p_size >= 10").select("p_partkey", "p_name", "p_size")
-    total = found.agg(F.count("*").alias("total"))
-    return found.where("p_partkey > 500").orderBy("p_partkey").limit(20).join(F.broadcast(total))
+    return found.where("p_partkey > 500").orderBy("p_partkey").limit(20).withColumn("total", F.lit(found.count()))
 
 
 @query("SELECT doc_id, source, sha256(CAST(doc_id AS VARCHAR) || '|' || source) AS digest FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) ORDER BY digest, doc_id LIMIT 40")
