@@ -22,6 +22,8 @@ from spoor.operators.closure import components
 SHINGLE, SEED = 4, 42
 #: Bits in which two linked fingerprints may differ.
 RADIUS = 4
+#: Words of a shingle and bits of each of two fingerprints for a similarity of 0.8: there the words differ in ten bits on average.
+WIDE_SHINGLE, WIDE_RADIUS = 5, 14
 #: Tiles that the distinct fingerprints are dealt to, and the fewest and the most of them in a tile.
 TILES, LEAST_TILE, MOST_TILE = 512, 256, 65536
 #: Comparisons that numpy makes at once, and pairs of rows up to which two blocks are compared rather than split further.
@@ -51,15 +53,19 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
     return int(np.packbits(2 * set_bits > n, bitorder="little").view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp) of every row. A null or blank text has fingerprint 0; null ids and repeated rows stay as they are."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, words: int = 1) -> DataFrame:
+    """(doc_id, fp, fp2) of every row; fp2 is the fingerprint under another seed if two words are asked for, else 0.
+
+    A null or blank text has fingerprint 0; null ids and repeated rows stay as they are.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [fingerprint(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.int64())], ["doc_id", "fp"])
+            texts = batch.column(1).to_pylist()
+            made = [[fingerprint(t, shingle, SEED + k) if k < words else 0 for t in texts] for k in range(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(x, pa.int64()) for x in made]], ["doc_id", "fp", "fp2"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long, fp2 long")
 
 
 def _near(a: np.ndarray, b: np.ndarray, ia: np.ndarray, ib: np.ndarray, deltas: tuple[int, ...], radius: int, mirror: bool, leaf: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -86,8 +92,12 @@ def _near(a: np.ndarray, b: np.ndarray, ia: np.ndarray, ib: np.ndarray, deltas:
             yield from _near(a, b, own, other, split, radius, mirror and d == 0, leaf)
 
 
-def _forest(a: np.ndarray, b: np.ndarray, same: bool, radius: int, leaf: int = LEAF) -> np.ndarray:
-    """Rows of (node, root) over the two tiles' words laid end to end: the links of their components within the pair."""
+def _forest(a: np.ndarray, b: np.ndarray, same: bool, radius: int, leaf: int = LEAF, second: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+    """Rows of (node, root) over the two tiles' words laid end to end: the links of their components within the pair.
+
+    ``second`` are the fingerprints' other words, which must lie as near. Tiles whose words agree in their half counts can
+    be split on; ``leaf`` at infinity leaves them whole.
+    """
     root = np.arange(len(a) + (0 if same else len(b)))
     shift = 0 if same else len(a)
     half = lambda x: tuple(int(np.bitwise_count(x[:1] & m).sum()) for m in HALVES)
@@ -96,7 +106,11 @@ def _forest(a: np.ndarray, b: np.ndarray, same: bool, radius: int, leaf: int = L
         step = max(1, CHUNK // max(1, len(ib)))
         for at in range(0, len(ia), step):
             u, v = np.nonzero(np.bitwise_count(a[ia[at : at + step], None] ^ b[ib][None, :]) <= radius)
-            u, v = ia[at + u], ib[v] + shift
+            u, v = ia[at + u], ib[v]
+            if second is not None and len(u):
+                near = np.bitwise_count(second[0][u] ^ second[1][v]) <= radius
+                u, v = u[near], v[near]
+            v = v + shift
             while len(u):
                 ru, rv = root[u], root[v]
                 open_ = ru != rv
@@ -111,12 +125,15 @@ def _forest(a: np.ndarray, b: np.ndarray, same: bool, radius: int, leaf: int = L
 
 
 def links(fps: DataFrame, radius: int = RADIUS, tiles: int = TILES) -> DataFrame:
-    """(a, b) fingerprints whose links span every component of the distinct values of ``fps.fp`` within ``radius`` bits.
+    """(a, b) keys of fingerprints whose links span every component of the distinct rows of ``fps`` (key, fp, fp2).
 
-    The cell table has at most 33 x 33 rows, so it may be broadcast whatever the corpus. The tile size grows with the
-    number of fingerprints up to ``MOST_TILE``; a crowded cell has several tiles, dealt by hash.
+    Fingerprints are linked if both words differ in at most ``radius`` bits. The cell table has at most 33 x 33 rows, so it may be
+    broadcast whatever the corpus. The tile size grows with the number of fingerprints up to ``MOST_TILE``; a crowded cell
+    has several tiles, dealt by hash. Beyond the narrow radius a cell takes in several counts, so that it still has few neighbours.
     """
-    words = fps.select("fp").distinct().withColumns({"hi": F.bit_count(F.shiftrightunsigned("fp", 32)), "lo": F.bit_count(F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF)))})
+    width = 1 if radius <= RADIUS else -(-radius // 2)
+    count = lambda c: F.floor(F.bit_count(c) / width).cast("int")
+    words = fps.select("key", "fp", "fp2").distinct().withColumns({"hi": count(F.shiftrightunsigned("fp", 32)), "lo": count(F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF)))})
     words = written(words)
     cells = words.groupBy("hi", "lo").agg(F.count("*").alias("n"))
     cells = cells.withColumn("total", F.sum("n").over(Window.partitionBy(F.lit(1))))
@@ -124,52 +141,59 @@ def links(fps: DataFrame, radius: int = RADIUS, tiles: int = TILES) -> DataFrame
     cells = cells.select("hi", "lo", F.ceil(F.col("n") / per_tile).alias("of"))
     tile = (
         words.join(F.broadcast(cells), ["hi", "lo"])
-        .groupBy("hi", "lo", F.pmod(F.xxhash64("fp"), F.col("of")).alias("tile"))
-        .agg(F.collect_list("fp").alias("members"))
+        .groupBy("hi", "lo", F.pmod(F.xxhash64("key"), F.col("of")).alias("tile"))
+        .agg(F.collect_list(F.struct("key", "fp", "fp2")).alias("members"))
     )
-    near = [(h, x) for h in range(radius + 1) for x in range(h - radius, radius - h + 1) if h or x >= 0]
+    least = lambda k: max(0, (abs(k) - 1) * width + 1)  # noqa: E731  how far counts differ at least, k cells apart
+    reach = range(-radius, radius + 1)
+    near = [(h, x) for h in reach for x in reach if (h, x) >= (0, 0) and least(h) + least(x) <= radius]
     left = dealt_anew(tile).select(
         F.explode(F.array(*[F.struct(F.lit(h).alias("dh"), F.lit(x).alias("dl")) for h, x in near])).alias("d"), "hi", "lo", F.col("tile").alias("tile_a"), F.col("members").alias("a")
     ).select((F.col("hi") + F.col("d.dh")).alias("hi"), (F.col("lo") + F.col("d.dl")).alias("lo"), "tile_a", "a", ((F.col("d.dh") == 0) & (F.col("d.dl") == 0)).alias("own"))
     pairs = left.join(dealt_anew(tile).withColumnRenamed("members", "b"), ["hi", "lo"]).where("not own or tile_a <= tile")
     pairs = pairs.select("a", "b", (F.col("own") & (F.col("tile_a") == F.col("tile"))).alias("same"))
+    leaf = LEAF if width == 1 else 1 << 62
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [(np.zeros(0, np.int64),) * 2]
             for x, y, same in zip(batch.column(0), batch.column(1), batch.column(2).to_pylist(), strict=True):
-                a, b = (z.values.to_numpy().view(np.uint64) for z in (x, y))  # bit counts of negative numbers are not what is wanted
-                node, root = _forest(a, b, same, radius)
-                both = a if same else np.concatenate([a, b])
-                found.append((both[node].view(np.int64), both[root].view(np.int64)))
+                # Unsigned, as bit counts of negative numbers are not what is wanted.
+                (keys_a, a, a2), (keys_b, b, b2) = ([z.values.field(k).to_numpy().view(np.uint64) for k in range(3)] for z in (x, y))
+                node, root = _forest(a, b, same, radius, leaf, (a2, b2))
+                keys = (keys_a if same else np.concatenate([keys_a, keys_b])).view(np.int64)
+                found.append((keys[node], keys[root]))
             u, v = (np.concatenate(x) for x in zip(*found, strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["a", "b"])
 
     return pairs.mapInArrow(run, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, shingle: int = SHINGLE, words: int = 1) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id, the least id among all documents linked to it, near or far.
 
-    Two documents are linked if their fingerprints differ in at most ``radius`` bits. Every row comes back, repeated
-    rows too; those without words share fingerprint zero and are linked like any other. A null id never is a
-    component_id unless no document of the component has another. Other columns are not read. Empty gives empty.
+    Two documents are linked if their fingerprints differ in at most ``radius`` bits, in each of two words if so asked. Every
+    row comes back, repeated rows too; those without words share fingerprint zero and are linked like any other. A null id
+    never is a component_id unless no document of the component has another. Other columns are not read. Empty gives empty.
     """
-    docs_fp = written(fingerprints(docs, id_col, text_col))
+    key = F.col("fp") if words == 1 else F.xxhash64("fp", "fp2")
+    docs_fp = written(fingerprints(docs, id_col, text_col, shingle, words).withColumn("key", key))
     stars = components(links(docs_fp, radius), "a", "b")
-    fps = docs_fp.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    rooted = written(fps.join(stars.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")))
+    fps = docs_fp.groupBy("key").agg(F.min("doc_id").alias("least"))
+    rooted = written(fps.join(stars.withColumnRenamed("node", "key"), "key", "left").select("key", "least", F.coalesce("root", "key").alias("root")))
     least = dealt_anew(rooted.groupBy("root").agg(F.min("least").alias("component_id")))
-    named = rooted.select("fp", "root").join(least, "root").select("fp", "component_id")
-    return docs_fp.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    named = rooted.select("key", "root").join(least, "root").select("key", "component_id")
+    return docs_fp.join(named, "key").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = WIDE_RADIUS, shingle: int = WIDE_SHINGLE, words: int = 2) -> DataFrame:
     """The rows of ``docs`` whose document is the least id of its component; rows that repeat an id stay or go together.
 
-    Rows whose id is null are kept only where they share a component with no other document's id.
+    By default near means that shingles of five words agree to 0.8 or more: two fingerprints of different seeds, each within
+    WIDE_RADIUS bits. Documents with nothing in common differ in half the bits; that both words come so near by chance has
+    odds of about one in 10**11. Rows whose id is null are kept only where they share a component with no other's id.
     """
-    classes = near_duplicates(docs, id_col, text_col, radius)
+    classes = near_duplicates(docs, id_col, text_col, radius, shingle, words)
     kept = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
     rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"))
     # The ids are the smaller side at every size: hashed by partition, so that no text is sorted.

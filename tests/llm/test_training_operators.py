@@ -81,7 +81,7 @@ def test_links_span_every_component(spark, seeds, flips):
     values = list(seeds)
     for k, bits in flips:
         values.append(values[k % len(values)] ^ sum(1 << b for b in bits))
-    df = spark.createDataFrame([(v - 2**64 if v >= 2**63 else v,) for v in values], "fp long")
+    df = spark.createDataFrame([(x, x, 0) for x in (v - 2**64 if v >= 2**63 else v for v in values)], "key long, fp long, fp2 long")
     up = {v: v for v in values}
 
     def find(x):
@@ -113,6 +113,30 @@ def test_splitting_a_pair_of_tiles_loses_no_link(seeds, flips):
             assert whole.tolist() == split.tolist()
 
 
+def jaccard_of_shingles(a, b, n=5):
+    x, y = ({tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} for w in (words_of(t.lower()) for t in (a, b)))
+    return len(x & y) / len(x | y)
+
+
+def test_near_copies_are_dropped_and_others_stay(spark):
+    rng = np.random.default_rng(5)
+    fresh = lambda n: ["".join(rng.choice(list("abcdefgh"), 6)) for _ in range(n)]
+    texts, copies = [], {}
+    for _ in range(60):
+        base = fresh(300)
+        texts.append(" ".join(base))
+        for edits in (1, 3, 5):
+            own = list(base)
+            for at in rng.choice(300, edits, replace=False):
+                own[at] = fresh(1)[0]
+            copies[len(texts)] = jaccard_of_shingles(texts[-1 - (len(texts) - 1) % 4], " ".join(own))
+            texts.append(" ".join(own))
+    kept = {r["doc_id"] for r in simhash.drop_near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert {k for k in range(0, len(texts), 4)} <= kept
+    near = [k for k, j in copies.items() if j >= 0.85]
+    assert len(near) > 100 and np.mean([k not in kept for k in near]) > 0.95
+
+
 def test_near_duplicates_on_odd_input(spark, odd, none):
     found = simhash.near_duplicates(odd).collect()
     assert len(found) == odd.count()
