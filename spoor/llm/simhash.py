@@ -33,8 +33,8 @@ HALVES = (np.uint64(0xFFFFFFFF00000000), np.uint64(0x00000000FFFFFFFF))
 SPLITS = tuple((part, np.uint64(mask)) for part, mask in ((0, 0xFFFF << 48), (1, 0xFFFF << 16), (0, 0xFF << 40), (1, 0xFF << 8), (2, 0xFF << 56), (3, 0xFF << 24)))
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
-    """The 64-bit SimHash of a text's word shingles, as a signed number; zero without words."""
+def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED, distinct: bool = False) -> int:
+    """The 64-bit SimHash of a text's word shingles, repeats included unless ``distinct``, as a signed number; zero without words."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: only A-Z change, only ASCII blanks split
     if not words:
         return 0
@@ -46,6 +46,9 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
         starts = [0, *(ends[: n - 1] + 1).tolist()]
         digest = xxhash.xxh64_intdigest
         hashes = np.array([digest(joined[s:e], seed) for s, e in zip(starts, ends[shingle - 1 :].tolist(), strict=True)], np.uint64)
+    if distinct:
+        hashes = np.unique(hashes)
+        n = len(hashes)
     set_bits = np.zeros(64, np.int64)
     for at in range(0, n, 4096):
         part = np.unpackbits(hashes[at : at + 4096].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -56,13 +59,16 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, words: int = 1) -> DataFrame:
     """(doc_id, fp, fp2) of every row; fp2 is the fingerprint under another seed if two words are asked for, else 0.
 
+    Two words are taken over distinct shingles, for they stand for a similarity of sets: texts that say one thing over and
+    over have so few shingles that their repeats, counted, come near by chance.
+
     A null or blank text has fingerprint 0; null ids and repeated rows stay as they are.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            made = [[fingerprint(t, shingle, SEED + k) if k < words else 0 for t in texts] for k in range(2)]
+            made = [[fingerprint(t, shingle, SEED + k, words > 1) if k < words else 0 for t in texts] for k in range(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(x, pa.int64()) for x in made]], ["doc_id", "fp", "fp2"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long, fp2 long")

@@ -22,7 +22,7 @@ def test_stages_hold(spark):
         if k < 4:
             assert docs.columns == names
         if name == "near_duplicates":
-            prints = {d: [simhash.fingerprint(r["text"], 5, 42 + k) for k in range(2)] for d, r in kept["language"].items()}
+            prints = {d: [simhash.fingerprint(r["text"], 5, 42 + k, True) for k in range(2)] for d, r in kept["language"].items()}
             near = lambda a, b: all(((x ^ y) % 2**64).bit_count() <= 14 for x, y in zip(prints[a], prints[b], strict=True))
             order, root = sorted(prints), {}
             for d in order:  # the least document that each reaches, by a plain flood
