@@ -15,7 +15,7 @@ from spoor.llm.common import WORD, null_safe, written
 WEIGHTS, MOST = (5, 2, 1), 3
 #: Words in a block and its slot.
 BLOCK = 64
-#: 2**32 over the golden ratio, odd, so that 2**32 slots visit every point once.
+#: 2**32 over the golden ratio, odd: no point comes twice within 2**31 slots, after which the schedule repeats.
 GOLDEN, POINTS = 2654435769, 1 << 32
 #: Rows in a run whose total is taken in one window partition, runs in a stretch, and strips that the points are cut into.
 RUN, STRETCH, STRIPS = 256, 256, 1024

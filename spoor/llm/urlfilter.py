@@ -4,11 +4,10 @@ Strict terms reject a url at one hit; soft terms only when several distinct ones
 neighbour in the url is a letter or digit. A rule that fits the url outranks the vocabulary, the longest rule first.
 """
 
-from collections.abc import Iterator
 from functools import cache
 
 import ahocorasick
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,8 +51,6 @@ def with_term_counts(pages: DataFrame, url_col: str = "url", strict: tuple[str,
 
     @F.pandas_udf("struct<strict_hits:long,soft_terms:long>")
     def run(urls):
-        import pandas as pd
-
         return pd.DataFrame([term_counts(u, strict, soft) for u in urls], columns=["strict_hits", "soft_terms"])
 
     return pages.withColumn("_terms", run(F.col(url_col).cast("string"))).withColumns({"strict_hits": F.col("_terms.strict_hits"), "soft_terms": F.col("_terms.soft_terms")}).drop("_terms")
