@@ -9,7 +9,6 @@ def sections(headers: DataFrame, key: str, start: str, total: str, name: str, mi
 
     With ``merge_equal`` a header that repeats the one before it, as on every page, opens no section.
     """
-    w = Window.partitionBy(key).orderBy(start)
     rows = headers.select(key, F.col(start).alias("start"), F.col(total).alias("_total"), F.col(name).alias("name"))
     w = Window.partitionBy(key).orderBy("start", "name")
     if merge_equal:
