@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spoor.operators.closure import components
-from spoor.operators.shingles import INDEX_STEP, PROBE_STEP, WIDTH, block_windows, carried_share, prior_art, window_index_join, window_key
+from spoor.operators.shingles import INDEX_STEP, PROBE_STEP, WIDTH, asked_for, block_windows, carried_share, prior_art, window_index_join, window_key
 from spoor.registry import query
 from spoor.sources.tables import spread, table
 
@@ -84,6 +84,6 @@ SELECT CASE WHEN found / windows >= 0.9 THEN 'covered' WHEN found / windows >= 0
 )
 def coverage_partition(spark, sf_dir):
     items = block_windows(table(spark, sf_dir, "benchmark"), "item_id", "text", WIDTH, 1).select("item_id", *window_key("w")).distinct()
-    docs = block_windows(spread(table(spark, sf_dir, "documents")), "doc_id", "text", WIDTH, 1).select(*window_key("w"), F.lit(1).alias("there")).distinct()
+    docs = asked_for(block_windows(spread(table(spark, sf_dir, "documents")), "doc_id", "text", WIDTH, 1).select(*window_key("w"), F.lit(1).alias("there")), items)
     share = items.join(docs, ["h1", "h2"], "left").groupBy("item_id").agg((F.count("there") / F.count("*")).alias("share"))
     return share.groupBy(F.when(F.col("share") >= 0.9, "covered").when(F.col("share") >= 0.1, "partly").otherwise("absent").alias("cover")).agg(F.count("*").alias("items"))
