@@ -135,9 +135,10 @@ def links(fps: DataFrame, radius: int = RADIUS, tiles: int = TILES) -> DataFrame
 
     Fingerprints are linked if both words differ in at most ``radius`` bits. The cell table has at most 33 x 33 rows, so it may be
     broadcast whatever the corpus. The tile size grows with the number of fingerprints up to ``MOST_TILE``; a crowded cell
-    has several tiles, dealt by hash. Beyond the narrow radius a cell takes in several counts, so that it still has few neighbours.
+    has several tiles, dealt by hash. Beyond the narrow radius a cell takes in several counts: few enough cells for each
+    tile to have few neighbours, and enough for no cell to hold much of the work.
     """
-    width = 1 if radius <= RADIUS else -(-radius // 2)
+    width = 1 if radius <= RADIUS else -(-radius // 4)
     count = lambda c: F.floor(F.bit_count(c) / width).cast("int")
     words = fps.select("key", "fp", "fp2").distinct().withColumns({"hi": count(F.shiftrightunsigned("fp", 32)), "lo": count(F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF)))})
     words = written(words)
