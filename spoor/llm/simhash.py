@@ -111,11 +111,14 @@ def _forest(a: np.ndarray, b: np.ndarray, same: bool, radius: int, leaf: int = L
     for ia, ib in _near(a, b, np.arange(len(a)), np.arange(len(b)), deltas, radius, same, leaf):
         step = max(1, CHUNK // max(1, len(ib)))
         for at in range(0, len(ia), step):
-            u, v = np.nonzero(np.bitwise_count(a[ia[at : at + step], None] ^ b[ib][None, :]) <= radius)
+            near = np.bitwise_count(a[ia[at : at + step], None] ^ b[ib][None, :]) <= radius
+            if near.any():  # what is connected already, as most of a large group soon is, needs no link
+                near &= root[ia[at : at + step], None] != root[ib + shift][None, :]
+            u, v = np.nonzero(near)
             u, v = ia[at + u], ib[v]
             if second is not None and len(u):
-                near = np.bitwise_count(second[0][u] ^ second[1][v]) <= radius
-                u, v = u[near], v[near]
+                both = np.bitwise_count(second[0][u] ^ second[1][v]) <= radius
+                u, v = u[both], v[both]
             v = v + shift
             while len(u):
                 ru, rv = root[u], root[v]
