@@ -1,6 +1,7 @@
 """Secret scan in DataFrame functions only: three base patterns, and a randomness test battery for what they miss.
 
-Runs of at least LEAST key-like characters are candidates. From its characters an encoding is inferred, and with it an
+Runs of at least LEAST key-like characters beside the base spans are candidates, whole and cut at the characters that only
+one of two encodings has, as a path or a prefix may stand before a key; '=' ends a run and belongs to it as padding only. From its characters an encoding is inferred, and with it an
 alphabet. Three tests ask whether the run could be a uniform draw from that alphabet: chi-squared over the characters,
 runs above and below the middle of the alphabet, and lag-one serial correlation. A run is let go if the tests reject
 randomness; the cut-off is Benjamini and Hochberg's, over the whole corpus, in each class of encoding and length, so that
@@ -20,9 +21,15 @@ BASE = (
     ("access", r"AKIA[A-Z0-9]+", 0, 20),
     ("hex", r"[0-9a-f]{24,}", 0, 24),
 )
-#: Key-like characters of a candidate, and how many at least.
+#: Fewest characters of a candidate; the runs that are candidates: whole, cut at '/' and '+', cut at '-' and '_', and cut at
+#: all four. What one of the others finds as well is left to it by what must stand before and after, so none comes twice.
 LEAST = 20
-CANDIDATE = r"[A-Za-z0-9+/_=-]{%d,}" % LEAST
+PADDING = r"(?:=+(?![A-Za-z0-9+/_=-]))?"
+CANDIDATES = (
+    r"[A-Za-z0-9+/_-]{%d,}%s" % (LEAST, PADDING),
+    *(r"(?<=[%s])[A-Za-z0-9%s]{%d,}%s|(?<![A-Za-z0-9+/_-])[A-Za-z0-9%s]{%d,}+(?=[%s])" % (at, more, LEAST, PADDING, more, LEAST, at) for at, more in (("+/", "_-"), ("_-", "+/"))),
+    r"(?<=[_-])[A-Za-z0-9]{%d,}+(?=[+/])|(?<=[+/])[A-Za-z0-9]{%d,}+(?=[_-])" % (LEAST, LEAST),
+)
 _AZ, _az, _09 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
 #: Encodings from narrow to wide: name, what a run must match whole (padding aside), what it must hold, and its alphabet.
 ENCODINGS = (
@@ -118,15 +125,42 @@ def _ranked(spans: Column, rank: int) -> Column:
     return F.transform(spans, lambda x: F.struct(x["start"].alias("start"), F.lit(rank).alias("rank"), x["end"].alias("end")))
 
 
+def _blanked(text: Column, spans: Column) -> Column:
+    """The text with blanks in place of the spans, which are in order of their starts; places stay as they are."""
+
+    def step(state: Column, x: Column) -> Column:
+        start = F.greatest(state["at"], x["start"])
+        gap = F.substring(text, state["at"] + 1, start - state["at"])
+        return F.struct(F.greatest(state["at"], x["end"]).alias("at"), F.array_append(state["parts"], F.concat(gap, F.repeat(F.lit(" "), x["end"] - start))).alias("parts"))
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
+    return F.aggregate(spans, start, step, lambda s: F.concat(F.array_join(s["parts"], ""), F.substring(text, s["at"] + 1, F.length(text))))
+
+
+def _merged(spans: Column) -> Column:
+    """Spans in order of their starts, those that overlap as one."""
+
+    def step(found: Column, x: Column) -> Column:
+        last = F.try_element_at(found, F.lit(-1))
+        one = F.struct(last["start"].alias("start"), last["rank"].alias("rank"), F.greatest(last["end"], x["end"]).alias("end"))
+        return F.when(last["end"] > x["start"], F.array_append(F.slice(found, 1, F.size(found) - 1), one)).otherwise(F.array_append(found, x))
+
+    overlap = F.exists(F.zip_with(spans, F.slice(spans, 2, F.greatest(F.size(spans), F.lit(1))), lambda x, y: y["start"] < x["end"]), lambda x: F.coalesce(x, F.lit(False)))
+    return F.when(overlap, F.aggregate(spans, F.array().cast("array<struct<start:int,rank:int,end:int>>"), step)).otherwise(spans)
+
+
 def scanned(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` plus ``_base``, array<struct<start,rank,end>> of base spans, and ``_tested``, the candidates beside them."""
+    """``docs`` plus ``_base``, array<struct<start,rank,end>> of base spans, and ``_tested``, the candidates beside them, whole and cut."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    out = docs.withColumns({f"_{name}": _spans(text, pattern, group, least) for name, pattern, group, least in BASE} | {"_candidates": _spans(text, CANDIDATE, 0, LEAST)})
+    out = docs.withColumns({f"_{name}": _spans(text, pattern, group, least) for name, pattern, group, least in BASE})
     ranked = [_ranked(F.col(f"_{name}"), rank) for rank, (name, *_) in enumerate(BASE)]
     out = out.withColumn("_base", F.array_sort(F.concat(*ranked)))
-    beside = F.filter("_candidates", lambda c: ~F.exists("_base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
-    tested = F.filter(F.transform(beside, _tested), lambda x: x.isNotNull() & (x["bits"] >= BITS))
-    return out.withColumn("_tested", F.when(F.size("_candidates") > 0, tested)).drop("_candidates", *[f"_{name}" for name, *_ in BASE])
+    out = out.withColumn("_beside", F.when(F.size("_base") > 0, _blanked(text, F.col("_base"))).otherwise(text))
+    out = out.withColumn("_whole", _spans(F.col("_beside"), CANDIDATES[0], 0, LEAST))
+    cut = F.concat("_whole", *[_spans(F.col("_beside"), pattern, 0, LEAST) for pattern in CANDIDATES[1:]])
+    out = out.withColumn("_candidates", F.when(F.size("_whole") > 0, cut))
+    tested = F.filter(F.transform("_candidates", _tested), lambda x: x.isNotNull() & (x["bits"] >= BITS))
+    return out.withColumn("_tested", tested).drop("_beside", "_whole", "_candidates", *[f"_{name}" for name, *_ in BASE])
 
 
 def cut_offs(found: DataFrame, fdr: float = FDR, least_p: float = LEAST_P) -> dict[str, float]:
@@ -142,7 +176,7 @@ def cut_offs(found: DataFrame, fdr: float = FDR, least_p: float = LEAST_P) -> di
 def _secret(cuts: dict[str, float], least_p: float) -> Column:
     known = F.create_map(*[F.lit(y) for x in cuts.items() for y in x]) if cuts else F.create_map().cast("map<string,double>")
     passing = F.filter("_tested", lambda x: x["p"] > F.coalesce(F.try_element_at(known, x["class"]), F.lit(least_p)))
-    return F.coalesce(_ranked(passing, len(BASE)), F.array().cast("array<struct<start:int,rank:int,end:int>>"))
+    return F.coalesce(_merged(F.array_sort(_ranked(passing, len(BASE)))), F.array().cast("array<struct<start:int,rank:int,end:int>>"))
 
 
 def _joined(spans: Column) -> Column:
@@ -154,7 +188,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fdr: f
     """doc_id, n_assign, n_access, n_hex, base_sha256 and spans of every row.
 
     Spans are kind:start:end over the whole match, by start, then kind. Spans of kind ``random`` are the method's and never
-    overlap a base span. A null text is empty and has none; rows repeat as given; other columns are not read.
+    overlap a base span or each other. A null text is empty and has none; rows repeat as given; other columns are not read.
     """
     found = written(scanned(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))).drop("text"))
     cuts = cut_offs(found, fdr, least_p)

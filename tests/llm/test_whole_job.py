@@ -3,7 +3,7 @@
 import numpy as np
 import pyarrow.parquet as pq
 
-from spoor.llm import simhash
+from spoor.llm import secretscan, simhash
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -53,3 +53,26 @@ def test_only_similar_documents_of_the_table_are_dropped(spark):
     t = pq.read_table(f"{SMALL}/documents.parquet")
     texts = dict(zip(t["doc_id"].to_pylist(), t["text"].to_pylist(), strict=True))
     assert sorted(kept_of(spark, texts)) == sorted(least_of_similar(texts))
+
+
+# --- secrets
+
+
+def test_keys_beside_names_paths_prefixes_and_base_spans_are_found(spark):
+    bare, slashed = "PvmW0QdpaJD6oCzfV1NIuk8Io5yaGKbXJD2aSJd7", "V6+o9jl8zSOwW/rXL+iuItEnuj+hlrWB8gpj7kts"
+    dashed, small = "EZDdKzunX7ukI7UeWaF3iA7H50VFEsMJe-L8GfG_", "211hvu2o31k2dk845agi0dnacp4wz3nm"
+    access = "AKIA" + "Q7ZK2M9XW4PLR6TB"
+    texts = {
+        f"AccountKey={slashed}==;next": slashed + "==", f"https://x.org/q?sig={bare}&a=b": bare, f"AWS_KEY={slashed} end": slashed, f"é😀 com/api-v1/{bare} end": bare, f"com/api-v1/{dashed}": dashed,
+        f"key-{small}": small, f"{access}/{bare} end": bare, f"id_{small}/{bare}": bare, f"my-long_name=other/{bare}": bare,
+    }
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    cleaned = {r["doc_id"]: r["text"] for r in secretscan.redact(docs).collect()}
+    for r in secretscan.scan(docs).collect():
+        text = list(texts)[r["doc_id"]]
+        spans = [x.split(":") for x in r["spans"].split(",")]
+        assert any(text[int(a) : int(b)].endswith(texts[text]) for kind, a, b in spans if kind == "random"), text
+        places = sorted((int(a), int(b)) for _, a, b in spans)
+        assert all(b <= c for (_, b), (c, _) in zip(places, places[1:])), text
+        assert texts[text] not in cleaned[r["doc_id"]]
+    assert cleaned[3].startswith("é😀 com/api-") and cleaned[3].endswith(" end") and small not in cleaned[7]
