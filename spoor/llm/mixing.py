@@ -2,7 +2,7 @@
 
 Slots of BLOCK words are laid out; slot s has the golden-ratio point s * 2654435769 mod 2**32, and the cumulative weight
 interval that the point falls in names its source. The k-th slot of a source takes the k-th block of equal size from the
-source's documents, shuffled by hash and laid end to end, and begins again after the last one. Running totals are taken
+source's documents, shuffled by hash and laid end to end, over and over. Running totals are taken
 over hash-ordered runs of bounded size and their sums, never over a whole source in one task.
 """
 
@@ -79,9 +79,14 @@ def schedule(spark, wanted: DataFrame, total: int, block: int = BLOCK) -> DataFr
     return ranked.select("key", "k", F.round(amount).cast("long").alias("amount")).where("amount > 0")
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block: int = BLOCK) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block: int = BLOCK, stopping: bool = False) -> DataFrame:
     """doc_id, size, source_size, target and taken (words that the mix takes of the document, repeats counted) of every row.
 
+    A source has as many slots as its target calls for, and they cut the endlessly repeated stream of its words: together they
+    take its first words up to the target, to the nearest whole number, however small the source, and no slot need be laid out.
+    If ``stopping``, as in the query whose SQL says so, slots are those that the schedule's points name, and one on the source's
+    last block takes what that block holds: sources of few words fall short of their targets.
+
     A null text has size 0 and is never taken. A null source is a source of its own, the last. Rows that repeat are
     shuffled apart only if id or text differ; equal ones share what falls to them in no particular order. Other columns
     are not read; an empty table gives none.
@@ -105,6 +110,11 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, id_col: str = "doc_
     laid = sized.join(per_source, "key")
     run = F.floor(F.col("h") / F.lit(1 << 48) * F.ceil(F.col("n") / RUN))
     laid = written(_running(laid, "key", run, ["h", "doc_id", "size"], "size", "start"))
+    if not stopping:
+        words = F.round("target").cast("long")
+        over = F.greatest(F.lit(0), F.least("size", words % F.col("source_size") - F.col("start")))
+        taken = F.when(F.col("size") > 0, F.floor(words / F.col("source_size")) * F.col("size") + over).otherwise(0)
+        return laid.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"))
     # What each document has in each block.
     begin, end = F.col("start"), F.col("start") + F.col("size")
     pieces = laid.where("size > 0").select("key", "doc_id", "h", "start", "size", F.explode(F.sequence(F.floor(begin / block), F.floor((end - 1) / block))).alias("block"))
@@ -134,7 +144,7 @@ def repeated(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, id_col: str =
 
 
 def oracle(weights: tuple[int, ...] = WEIGHTS, block: int = BLOCK) -> str:
-    """DuckDB SQL of :func:`mix`."""
+    """DuckDB SQL of :func:`mix`, stopping."""
     return f"""
 WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
   CAST(('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':mix'), 1, 12)) AS BIGINT) AS h FROM documents),

@@ -40,7 +40,7 @@ def op6_chat(spark, sf_dir):
 
 
 def op7_mixing(spark, sf_dir):
-    return mixing.mix(table(spark, sf_dir, "documents"))
+    return mixing.mix(table(spark, sf_dir, "documents"), stopping=True)
 
 
 def op8_top_k(spark, sf_dir):

@@ -3,7 +3,7 @@
 import numpy as np
 import pyarrow.parquet as pq
 
-from spoor.llm import secretscan, simhash
+from spoor.llm import mixing, secretscan, simhash
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -76,3 +76,26 @@ def test_keys_beside_names_paths_prefixes_and_base_spans_are_found(spark):
         assert all(b <= c for (_, b), (c, _) in zip(places, places[1:])), text
         assert texts[text] not in cleaned[r["doc_id"]]
     assert cleaned[3].startswith("é😀 com/api-") and cleaned[3].endswith(" end") and small not in cleaned[7]
+
+
+# --- mixing
+
+
+def test_small_sources_meet_their_targets(spark):
+    rng = np.random.default_rng(7)
+    rows, sizes = [], {f"a{n:03}": n for n in (1, 2, 10, 63, 64, 65, 100, 128, 199, 200)} | {"z": 20_000}
+    for source, n in sizes.items():
+        while n:
+            size = min(n, int(rng.integers(1, 40)))
+            rows.append((len(rows), "w " * size, source))
+            n -= size
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    source_of, found = {d: s for d, _, s in rows}, {}
+    for r in mixing.mix(docs).collect():
+        assert 0 <= r["taken"] <= 3 * r["size"]
+        x = found.setdefault(source_of[r["doc_id"]], [0, r["target"]])
+        x[0] += r["taken"]
+    assert all(taken == round(target) for taken, target in found.values())
+    assert all(found[s][0] == 3 * n for s, n in sizes.items() if n <= 200)
+    times = {r["doc_id"]: r["count"] for r in mixing.repeated(docs).groupBy("doc_id").count().collect()}
+    assert all(times.get(d) == 3 for d, _, s in rows if s != "z")
