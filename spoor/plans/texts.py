@@ -82,7 +82,7 @@ def idf_rank_windows(spark, sf_dir):
     """The three best disjoint windows of each benchmark item in each document, framed by sentence ends."""
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     weights = idf(docs, "doc_id", "text")
-    top = rank_windows(table(spark, sf_dir, "benchmark"), docs, weights, "item_id", "doc_id", "text", min_terms=4)
+    top = rank_windows(table(spark, sf_dir, "benchmark"), docs, weights, "item_id", "doc_id", "text")
     return reframed(docs, top, "doc_id", "text").select("item_id", "doc_id", "rank", "start", "score", "begin", "end", "passage")
 
 
