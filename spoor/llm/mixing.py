@@ -1,9 +1,10 @@
 """Mixing sources to target weights by a low-discrepancy schedule.
 
 Slots of BLOCK words are laid out; slot s has the golden-ratio point s * 2654435769 mod 2**32, and the cumulative weight
-interval that the point falls in names its source. The k-th slot of a source takes the k-th block of equal size from the
-source's documents, shuffled by hash and laid end to end, over and over. Running totals are taken
-over hash-ordered runs of bounded size and their sums, never over a whole source in one task.
+interval that the point falls in names its source. A source's documents, shuffled by hash and laid end to end, are a tape
+that begins anew at its end; its k-th slot takes the tape's k-th block of BLOCK words. A source has as many slots as its
+target calls for: those that its points name beyond are cut, those that they lack stand at the schedule's end. Running totals
+are taken over hash-ordered runs of bounded size and their sums, never over a whole source in one task.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -64,7 +65,11 @@ def _running(rows: DataFrame, key: str, run: Column, order: list, value: str, ou
 
 
 def schedule(spark, wanted: DataFrame, total: int, block: int = BLOCK) -> DataFrame:
-    """(key, k, amount): the slots that a source's target calls for, numbered from 0 in schedule order, and their words."""
+    """(key, k, amount): the slots of each source of ``wanted`` (key, source, target), in schedule order from 0, and their words.
+
+    The words of a source's slots sum up to its target, to the nearest whole number. Points fall so evenly that a source lacks
+    at most a few dozen slots, however many it has.
+    """
     edges = Window.partitionBy(F.lit(1)).orderBy(F.col("source").asc_nulls_last())
     upto = F.round(F.sum("target").over(edges) / total * POINTS).cast("long")
     spans = wanted.withColumn("high", upto).withColumn("low", F.coalesce(F.lag("high").over(edges), F.lit(0))).where("high > low")
@@ -74,18 +79,19 @@ def schedule(spark, wanted: DataFrame, total: int, block: int = BLOCK) -> DataFr
     slots = slots.join(spans, "strip").where("point >= low and point < high").select("key", "target", "s", F.lit(1).alias("one"))
     # Slots of a source with share p lie 1/p apart, so runs of one length in s would be uneven: the run grows with 1/p.
     apart = F.greatest(F.lit(1.0), F.lit(float(total)) / F.col("target"))
-    ranked = _running(slots, "key", F.floor(F.col("s") / (F.lit(RUN) * apart)), ["s"], "one", "k")
-    amount = F.least(F.lit(float(block)), F.col("target") - F.col("k") * block)
-    return ranked.select("key", "k", F.round(amount).cast("long").alias("amount")).where("amount > 0")
+    named = _running(slots, "key", F.floor(F.col("s") / (F.lit(RUN) * apart)), ["s"], "one", "k").select("key", "target", "k")
+    had = slots.groupBy("key").agg(F.count("*").alias("had"))
+    calls_for = F.ceil(F.round("target") / block)
+    lacking = wanted.join(had, "key", "left").withColumn("had", F.coalesce("had", F.lit(0))).where(F.col("had") < calls_for)
+    lacking = lacking.select("key", "target", F.explode(F.sequence("had", calls_for - 1)).alias("k"))
+    amount = F.least(F.lit(block), F.round("target").cast("long") - F.col("k") * block)
+    return named.unionByName(lacking).select("key", "k", amount.cast("long").alias("amount")).where("amount > 0")
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block: int = BLOCK, stopping: bool = False) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block: int = BLOCK) -> DataFrame:
     """doc_id, size, source_size, target and taken (words that the mix takes of the document, repeats counted) of every row.
 
-    A source has as many slots as its target calls for, and they cut the endlessly repeated stream of its words: together they
-    take its first words up to the target, to the nearest whole number, however small the source, and no slot need be laid out.
-    If ``stopping``, as in the query whose SQL says so, slots are those that the schedule's points name, and one on the source's
-    last block takes what that block holds: sources of few words fall short of their targets.
+    What is taken of a source's documents sums up to its target, to the nearest whole number, however small the source.
 
     A null text has size 0 and is never taken. A null source is a source of its own, the last. Rows that repeat are
     shuffled apart only if id or text differ; equal ones share what falls to them in no particular order. Other columns
@@ -104,28 +110,20 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, id_col: str = "doc_
     sizes = sized.groupBy("key").agg(F.first("source").alias("source"), F.sum("size").alias("source_size"), F.count("*").alias("n"))
     wanted = written(targets(sizes, weights))
     total = wanted.agg(F.sum("source_size")).first()[0] or 0
-    per_source = wanted.select("key", "source_size", "target", "n")
+    laid = sized.join(wanted.select("key", "source_size", "target", "n"), "key")
     if not total:
-        return sized.join(per_source, "key").select("doc_id", "size", "source_size", "target", F.lit(0).cast("long").alias("taken"))
-    laid = sized.join(per_source, "key")
+        return laid.select("doc_id", "size", "source_size", "target", F.lit(0).cast("long").alias("taken"))
     run = F.floor(F.col("h") / F.lit(1 << 48) * F.ceil(F.col("n") / RUN))
     laid = written(_running(laid, "key", run, ["h", "doc_id", "size"], "size", "start"))
-    if not stopping:
-        words = F.round("target").cast("long")
-        over = F.greatest(F.lit(0), F.least("size", words % F.col("source_size") - F.col("start")))
-        taken = F.when(F.col("size") > 0, F.floor(words / F.col("source_size")) * F.col("size") + over).otherwise(0)
-        return laid.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"))
-    # What each document has in each block.
-    begin, end = F.col("start"), F.col("start") + F.col("size")
-    pieces = laid.where("size > 0").select("key", "doc_id", "h", "start", "size", F.explode(F.sequence(F.floor(begin / block), F.floor((end - 1) / block))).alias("block"))
-    low, high = F.greatest(F.col("start"), F.col("block") * block), F.least(end, (F.col("block") + 1) * block)
-    pieces = pieces.select("key", "block", "start", "size", (low - F.col("block") * block).alias("from"), (high - F.col("block") * block).alias("to"))
-    # What the slots take of each block: whole, and for a source's last slot its first words only.
-    blocks = F.ceil(F.col("source_size") / block)
-    slots = schedule(spark, wanted.select("key", "source", "target"), total, block).join(wanted.select("key", "source_size"), "key")
-    uses = slots.where(F.col("k") < MOST * blocks).select("key", (F.col("k") % blocks).alias("block"), "amount").groupBy("key", "block", "amount").agg(F.count("*").alias("times"))
-    taken = pieces.join(uses, ["key", "block"]).withColumn("words", F.greatest(F.lit(0), F.least("to", "amount") - F.col("from")) * F.col("times"))
-    taken = taken.groupBy("key", "start", "size").agg(F.sum("words").alias("taken"))
+    # What each document has in each block of the tape: once for each time that the tape has passed it before it ends.
+    ends = F.round("target").cast("long")
+    passes = F.sequence(F.lit(0).cast("long"), F.floor((ends - 1 - F.col("start")) / F.col("source_size")))
+    pieces = laid.where((F.col("size") > 0) & (F.col("start") < ends)).select("key", "start", "size", "source_size", ends.alias("stop"), F.explode(passes).alias("times"))
+    pieces = pieces.withColumn("begin", F.col("start") + F.col("times") * F.col("source_size")).withColumn("end", F.least(F.col("begin") + F.col("size"), "stop"))
+    pieces = pieces.select("key", "start", "size", "begin", "end", F.explode(F.sequence(F.floor(F.col("begin") / block), F.floor((F.col("end") - 1) / block))).alias("k"))
+    slots = schedule(spark, wanted.select("key", "source", "target"), total, block)
+    words = F.least(F.col("end"), F.col("k") * block + F.col("amount")) - F.greatest(F.col("begin"), F.col("k") * block)
+    taken = pieces.join(slots, ["key", "k"]).withColumn("words", words).groupBy("key", "start", "size").agg(F.sum("words").alias("taken"))
     out = laid.join(taken, ["key", "start", "size"], "left")
     return out.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
@@ -143,8 +141,8 @@ def repeated(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, id_col: str =
     return joined.select("row", F.explode(F.sequence(F.lit(1), F.col("_times")))).select("row.*")
 
 
-def oracle(weights: tuple[int, ...] = WEIGHTS, block: int = BLOCK) -> str:
-    """DuckDB SQL of :func:`mix`, stopping."""
+def oracle(weights: tuple[int, ...] = WEIGHTS) -> str:
+    """DuckDB SQL of :func:`mix`, without slots: a source's words in shuffled order, over and over, up to its target."""
     return f"""
 WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
   CAST(('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':mix'), 1, 12)) AS BIGINT) AS h FROM documents),
@@ -154,16 +152,7 @@ l AS (SELECT *, sum(source_size) OVER () - coalesce(sum(most) OVER f, 0) AS rest
   WINDOW f AS (ORDER BY most / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 v AS (SELECT CAST(arg_min(CAST(rest AS DOUBLE) / CAST(open AS DOUBLE), (CAST(most AS DOUBLE) / weight, place)) AS DOUBLE) AS level FROM l WHERE most * open >= rest * weight),
 t AS (SELECT source, place, source_size, CASE WHEN most <= level * weight THEN CAST(most AS DOUBLE) ELSE level * weight END AS target FROM w, v),
-e AS (SELECT *, CAST(round(sum(target) OVER (ORDER BY place) / sum(source_size) OVER () * {POINTS}.0) AS BIGINT) AS high FROM t),
-r AS (SELECT *, coalesce(lag(high) OVER (ORDER BY place), 0) AS low FROM e),
-slots AS (SELECT s, (s * {GOLDEN}) % {POINTS} AS point FROM (SELECT unnest(range(0, CAST(ceil((SELECT sum(size) FROM d) / {block}.0) AS BIGINT))) AS s) AS n),
-k AS (SELECT place, target, source_size, row_number() OVER (PARTITION BY place ORDER BY s) - 1 AS k FROM slots JOIN r ON point >= low AND point < high),
-u AS (SELECT place, k % ((source_size + {block - 1}) // {block}) AS block, CAST(round(least({block}.0, target - k * {block})) AS BIGINT) AS amount FROM k
-  WHERE k < {MOST} * ((source_size + {block - 1}) // {block})),
-uses AS (SELECT place, block, amount, count(*) AS times FROM u WHERE amount > 0 GROUP BY ALL),
-laid AS (SELECT d.*, t.place, t.source_size, t.target, coalesce(sum(size) OVER (PARTITION BY t.place ORDER BY h, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
-pieces AS (SELECT *, unnest(range(CAST(start // {block} AS BIGINT), CAST((start + size - 1) // {block} + 1 AS BIGINT))) AS block FROM laid WHERE size > 0),
-words AS (SELECT p.place, start, size, sum(greatest(0, least(least(start + size, (p.block + 1) * {block}) - p.block * {block}, amount) - (greatest(start, p.block * {block}) - p.block * {block})) * times) AS taken
-  FROM pieces p JOIN uses USING (place, block) GROUP BY ALL)
-SELECT doc_id, size, source_size, target, CAST(coalesce(taken, 0) AS BIGINT) AS taken FROM laid LEFT JOIN words USING (place, start, size)"""
+laid AS (SELECT d.*, t.source_size, t.target, CAST(round(t.target) AS BIGINT) AS words,
+  coalesce(sum(size) OVER (PARTITION BY t.place ORDER BY h, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+  CAST(CASE WHEN size > 0 THEN words // source_size * size + greatest(0, least(size, words % source_size - start)) ELSE 0 END AS BIGINT) AS taken FROM laid"""

@@ -292,7 +292,7 @@ def test_mix_keeps_its_bounds(spark, odd, none):
         x[1] += r["size"]
     assert abs(sum(t for _, t in per) - sum(r["size"] for r in found)) < 1e-6 * sum(r["size"] for r in found)
     for (size, target), (taken, own) in per.items():
-        assert size == own and target <= 3 * size + 1e-9 and abs(taken - target) <= 4 * mixing.BLOCK
+        assert size == own and target <= 3 * size + 1e-9 and abs(taken - target) <= 1
     assert mixing.mix(odd).count() == odd.count() and mixing.mix(none).count() == 0
     assert mixing.repeated(odd).columns == odd.columns and mixing.repeated(none).count() == 0
 
