@@ -62,26 +62,29 @@ class Encoder(dict):
         ids.append(self.last[raw[-1]])
         n, merges = len(ids), self.merges
         after, before = [*range(1, n), -1], [*range(-1, n - 1)]
-        queue = [(found >> 20) << 24 | i for i, (x, y) in enumerate(zip(ids, ids[1:])) if (found := merges.get(x << 20 | y))]
+        # A queue entry is one number: the merge's rank over as many bits as the word's places need.
+        bits = n.bit_length()
+        place = (1 << bits) - 1
+        queue = [(found >> 20) << bits | i for i, (x, y) in enumerate(zip(ids, ids[1:])) if (found := merges.get(x << 20 | y))]
         heapq.heapify(queue)
         while queue:
             top = heapq.heappop(queue)
-            i = top & 0xFFFFFF
+            i = top & place
             j = after[i]
             if j < 0 or ids[i] < 0:
                 continue
             found = merges.get(ids[i] << 20 | ids[j])
-            if found is None or found >> 20 != top >> 24:
+            if found is None or found >> 20 != top >> bits:
                 continue  # stale: one of the two symbols has merged meanwhile
             ids[i], ids[j] = found & 0xFFFFF, -1
             k = after[i] = after[j]
             if k >= 0:
                 before[k] = i
                 if found := merges.get(ids[i] << 20 | ids[k]):
-                    heapq.heappush(queue, (found >> 20) << 24 | i)
+                    heapq.heappush(queue, (found >> 20) << bits | i)
             k = before[i]
             if k >= 0 and (found := merges.get(ids[k] << 20 | ids[i])):
-                heapq.heappush(queue, (found >> 20) << 24 | k)
+                heapq.heappush(queue, (found >> 20) << bits | k)
         return [x for x in ids if x >= 0]
 
     def __missing__(self, run: str) -> tuple[str, str]:
