@@ -3,7 +3,10 @@
 import numpy as np
 import pyarrow.parquet as pq
 
-from spoor.llm import mixing, secretscan, simhash
+import public_tokenizers
+from tokenizers import Tokenizer
+
+from spoor.llm import bpe, mixing, queries, secretscan, sharding, simhash, topk
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -99,3 +102,52 @@ def test_small_sources_meet_their_targets(spark):
     assert all(found[s][0] == 3 * n for s, n in sizes.items() if n <= 200)
     times = {r["doc_id"]: r["count"] for r in mixing.repeated(docs).groupBy("doc_id").count().collect()}
     assert all(times.get(d) == 3 for d, _, s in rows if s != "z")
+
+
+# --- shards
+
+
+def test_many_equal_rows_keep_to_the_limit(spark, tmp_path):
+    rows = [(7, "x" * 100)] * 1000 + [(None, "y" * 100)] * 500 + [(k, "z" * 50) for k in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = sharding.assign(docs, 2_000).collect()
+    sizes = {}
+    for r in found:
+        sizes[r["shard"]] = sizes.get(r["shard"], 0) + r["n_bytes"]
+    assert len(found) == 1600 and max(sizes.values()) <= 2_000
+    sharding.write_shards(docs, str(tmp_path / "s"), 2_000)
+    wrote = spark.read.parquet(str(tmp_path / "s"))
+    assert wrote.count() == 1600 and max(r["n"] for r in wrote.selectExpr("shard", "octet_length(text) as b").groupBy("shard").agg({"b": "sum"}).toDF("shard", "n").collect()) <= 2_000
+
+
+# --- encoding
+
+
+def test_a_word_of_any_length_is_encoded(spark):
+    lib = Tokenizer.from_file(public_tokenizers.path(queries.VOCABULARY))
+    own = bpe.Encoder(public_tokenizers.path(queries.VOCABULARY))
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 3, 255, 256, 257, 70_000):
+        word = "".join(rng.choice(list("etaoinshrdlu"), n))
+        assert own.encode(word) == lib.encode(word, add_special_tokens=False).ids
+
+
+# --- search
+
+
+def test_values_of_any_size_are_exact(spark):
+    import math
+    from fractions import Fraction
+
+    rng = np.random.default_rng(2)
+    vectors = [[float(x) for x in rng.normal(size=3) * 10.0 ** rng.choice([0, 0, 6, 9, 12, 200])] for _ in range(60)] + [[1e9, -1e9, 0.5], [1e9, -1e9, 0.5], [1.7e308, 0.0, 0.0]]
+    found = {}
+    df = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    for groups in (1, 7):
+        found = {}
+        for r in topk.top_k(df, k=9, every=5, groups=groups).orderBy("query_id", "rank").collect():
+            found.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+        whole = [[math.floor(64 * Fraction(x)) for x in v] for v in vectors]
+        for q in range(0, len(vectors), 5):
+            want = sorted(((-sum(x * y for x, y in zip(whole[q], v, strict=True)), k) for k, v in enumerate(whole) if k != q))[:9]
+            assert found[q] == [(k, min(2**63 - 1, max(-(2**63), -s))) for s, k in want]
