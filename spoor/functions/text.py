@@ -86,6 +86,46 @@ def terms(text: Column, stopwords: tuple[str, ...] = (), least: int = 4) -> Colu
     return F.transform(kept, lambda t: F.when((F.length(t) > 5) & t.endswith("s") & ~t.endswith("ss"), F.substring(t, F.lit(1), F.length(t) - 1)).otherwise(t))
 
 
+#: Members of a block of :func:`running_ends`.
+_BLOCK = 64
+
+
+def running_ends(lengths: Column) -> Column:
+    """The running totals of an array of whole numbers, each with its own.
+
+    Totals are taken within blocks and over blocks, as appending to one array costs its length each time.
+    """
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / _BLOCK).cast("int")), lambda b: F.slice(lengths, b * _BLOCK + 1, F.lit(_BLOCK)))
+    none = F.array().cast("array<int>")
+
+    def totals(values: Column, start: Column) -> Column:
+        step = lambda s, x: F.struct((s["at"] + x).cast("int").alias("at"), F.array_append(s["out"], (s["at"] + x).cast("int")).alias("out"))
+        return F.aggregate(values, F.struct(start.cast("int").alias("at"), none.alias("out")), step, lambda s: s["out"])
+
+    def over(parts: Column) -> Column:
+        sums = F.transform(parts, lambda p: F.aggregate(p, F.lit(0), lambda s, x: s + x))
+        before = F.concat(F.array(F.lit(0)), F.slice(totals(sums, F.lit(0)), 1, F.size(parts) - 1))
+        return F.flatten(F.zip_with(parts, before, totals))
+
+    # One evaluation of the blocks: a lambda over an array of one.
+    return F.when(F.size(lengths) > 0, F.get(F.transform(F.array(blocks), over), F.lit(0))).otherwise(none)
+
+
+def places(text: Column, pattern: str) -> Column:
+    """array<struct<start,end,hit>> of the leftmost matches of a pattern that don't overlap, in code points; none in a null text.
+
+    What split() leaves between the matches and the matches themselves, in turn, give the places.
+    """
+
+    def of(x: Column) -> Column:
+        ends = running_ends(F.zip_with(x["gaps"], x["hits"], lambda g, h: F.length(g) + F.length(h)))
+        return F.zip_with(ends, x["hits"], lambda e, h: F.struct((e - F.length(h)).alias("start"), e.alias("end"), h.alias("hit")))
+
+    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    both = F.struct(F.slice(F.split(text, pattern, -1), 1, F.size(hits)).alias("gaps"), hits.alias("hits"))
+    return F.when(text.rlike(pattern), F.get(F.transform(F.array(both), of), F.lit(0))).otherwise(F.array().cast("array<struct<start:int,end:int,hit:string>>"))
+
+
 def evidence(text: Column, start: Column, end: Column, width: int = 200, least: int = 60) -> Column:
     """About ``width`` characters around a span, spaces collapsed; null if fewer than ``least`` are left."""
     begin = F.greatest(F.lit(0), F.floor((start + end - width) / 2)).cast("int")

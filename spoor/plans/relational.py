@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from spoor.operators.aggregates import concat_distinct, confusion, first_per_group, percentage, preferred_mode, row_counts, state_intersection, strongest_route, wilson_lower
 from spoor.operators.changes import compact_changes, fold_copies, latest_verdict, replay, snapshot_diff
-from spoor.operators.classify import by_pattern, reason_ladder, rejections, verdict
+from spoor.operators.classify import by_pattern, outcome, reason_ladder, rejections, unread_labels, verdict
 from spoor.operators.sampling import sha_sample
 from spoor.registry import query
 from spoor.sources.tables import table
@@ -62,6 +62,44 @@ def outcome_family(spark, sf_dir):
     return table(spark, sf_dir, "orders").groupBy(by_pattern(F.col("o_orderpriority"), _LADDER).alias("family"), "o_orderstatus").agg(F.count("*").alias("n"))
 
 
+#: Published outcomes and procedural states as the two chambers write them, with family and ground; the last of each is not a label of any family.
+_PUBLISHED = (
+    ("Adopté", "adopted", None), ("Adopté - vote unique", "adopted", None), ("Rejeté", "rejected", None), ("Rejeté - vote unique", "rejected", None), ("Retiré", "withdrawn", None),
+    ("Retiré avant séance", "withdrawn", None), ("Cet amendement est retiré avant séance", "withdrawn", None), ("Non soutenu", "not_moved", None), ("Tombé", "lapsed", None), ("Irrecevable", "inadmissible", None),
+    ("Irrecevable art. 40 C", "inadmissible", "article 40"), ("Irrecevable art. 45, al. 1 C (cavalier)", "inadmissible", "article 45"), ("Irrecevable art. 41 C", "inadmissible", "article 41"),
+    ("Irrecevable art. 44 bis, al. 5 et 6 RS (entonnoir)", "inadmissible", "article 44 bis"), ("Irrecevable LOLFSS", "inadmissible", "LOLFSS"), ("Irrecevable LOLF", "inadmissible", "LOLF"),
+    ("Recevable art. 40 C / LOLF", "undecided", None), (" ", "unknown", None), (None, "unknown", None), ("Discuté", "unknown", None),
+)
+_STATES = (("A discuter", "undecided", None), ("À discuter", "undecided", None), ("Irrecevable 40", "inadmissible", "article 40"), ("Irrecevable 45", "inadmissible", "article 45"), (None, "unknown", None), ("En traitement", "unknown", None))
+
+
+def _labelled(spark, sf_dir):
+    at = lambda labels, key: F.element_at(F.array(*[F.lit(x[0]).cast("string") for x in labels]), (F.pmod(key, F.lit(len(labels))) + 1).cast("int"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", at(_PUBLISHED, "o_orderkey").alias("published"), at(_STATES, "o_custkey").alias("state"))
+
+
+def _values(labels):
+    text = lambda x: "NULL" if x is None else "'" + x + "'"
+    return "(VALUES " + ", ".join(f"({k}, {', '.join(map(text, x))})" for k, x in enumerate(labels)) + ")"
+
+
+_LABELS = f"""p AS (SELECT * FROM {_values(_PUBLISHED)} AS y(k, label, family, ground)), s AS (SELECT * FROM {_values(_STATES)} AS y(k, label, family, ground)),
+r AS (SELECT p.label AS published, s.label AS state, p.family <> 'unknown' AS first, p.family AS pf, p.ground AS pg, s.family AS sf, s.ground AS sg FROM orders JOIN p ON p.k = o_orderkey % {len(_PUBLISHED)} JOIN s ON s.k = o_custkey % {len(_STATES)})"""
+
+
+@query(f"WITH {_LABELS} SELECT CASE WHEN first THEN pf ELSE sf END AS family, CASE WHEN first THEN pg ELSE sg END AS ground, CASE WHEN first THEN 'outcome' WHEN sf <> 'unknown' THEN 'state' END AS source, count(*) AS n FROM r GROUP BY ALL")
+def outcome_labels(spark, sf_dir):
+    """Outcomes of proposals by family, ground and the column that told."""
+    found = _labelled(spark, sf_dir).select(outcome(F.col("published"), F.col("state")).alias("x"))
+    return found.groupBy("x.family", "x.ground", "x.source").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {_LABELS} SELECT coalesce(nullif(trim(published), ''), state) AS label, count(*) AS n FROM r WHERE NOT first AND sf = 'unknown' AND coalesce(nullif(trim(published), ''), state) IS NOT NULL GROUP BY 1")
+def outcome_contract(spark, sf_dir):
+    """Labels that no family reads: only the two that were put in as such."""
+    return unread_labels(_labelled(spark, sf_dir), "published", "state")
+
+
 @query("""WITH f AS (SELECT c_mktsegment, c_custkey, max(o_orderstatus = 'F') AS a, max(o_totalprice > 495000) AS b, count(o_orderkey) > 12 AS c FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY ALL)
 SELECT c_mktsegment, CASE WHEN b THEN 'large' WHEN c THEN 'frequent' WHEN a THEN 'finished' ELSE 'silent' END AS verdict, count(*) AS n FROM f GROUP BY ALL""")
 def verdict_flags(spark, sf_dir):
