@@ -7,15 +7,18 @@ split by the counts of 16-bit and then 8-bit parts, and blocks whose counts diff
 ever a Spark row: a pair of tiles gives back a spanning forest of its links, of at most one link a fingerprint.
 
 Documents are dropped by more than their fingerprints: there the tiles only name candidates, and each is checked by the
-exact Jaccard similarity of the two documents' sets of shingles.
+exact Jaccard similarity of the two documents' sets of shingles. Those tiles go by the sizes of the sets too, as sets of
+which one is too small can't be similar.
 """
 
+import math
 from collections.abc import Iterator
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spoor.llm.common import dealt_anew, written
@@ -31,8 +34,14 @@ WIDE_SHINGLE, SIMILARITY = 5, 0.8
 WIDE_RADIUS, WIDE_TOTAL = 20, 36
 #: Odd factors that reorder a set's hashes: the least of each order names a star of documents that are checked first.
 ORDERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
+#: Bits of a shingle's hash that its set keeps, in whole bytes; documents whose sets are in a worker's memory at once.
+KEPT_BYTES, SLICE = 5, 256
+#: Bit counts of both words that one cell of the wide comparison takes in.
+CELL_BITS = 12
 #: Tiles that the distinct fingerprints are dealt to, and the fewest and the most of them in a tile.
-TILES, LEAST_TILE, MOST_TILE = 512, 256, 65536
+TILES, LEAST_TILE, MOST_TILE = 512, 2048, 65536
+#: Pairs of rows, and rows of tiles, that a task of comparisons is dealt about.
+ROW_PAIRS, TILE_ROWS = 1 << 31, 1 << 20
 #: Comparisons that numpy makes at once, and pairs of rows up to which two blocks are compared rather than split further.
 CHUNK, LEAF = 1 << 18, 1 << 20
 #: The halves of a word that tiles go by, and how they are split on: which part, and the bits of its upper half.
@@ -54,10 +63,9 @@ def shingle_hashes(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -
     return np.array([digest(joined[s:e], seed) for s, e in zip(starts, ends[shingle - 1 :].tolist(), strict=True)], np.uint64)
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED, distinct: bool = False) -> int:
-    """The 64-bit SimHash of a text's word shingles, repeats included unless ``distinct``, as a signed number; zero without words."""
-    hashes = shingle_hashes(text, shingle, seed)
-    return _majority(np.unique(hashes) if distinct else hashes)
+def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
+    """The 64-bit SimHash of a text's word shingles, repeats included, as a signed number; zero without words."""
+    return _majority(shingle_hashes(text, shingle, seed))
 
 
 def _majority(hashes: np.ndarray) -> int:
@@ -72,22 +80,15 @@ def _majority(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * set_bits > n, bitorder="little").view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, words: int = 1) -> DataFrame:
-    """(doc_id, fp, fp2) of every row; fp2 is the fingerprint under another seed if two words are asked for, else 0.
-
-    Two words are taken over distinct shingles, for they stand for a similarity of sets: texts that say one thing over and
-    over have so few shingles that their repeats, counted, come near by chance.
-
-    A null or blank text has fingerprint 0; null ids and repeated rows stay as they are.
-    """
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
+    """(doc_id, fp) of every row. A null or blank text has fingerprint 0; null ids and repeated rows stay as they are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            made = [[fingerprint(t, shingle, SEED + k, words > 1) if k < words else 0 for t in texts] for k in range(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(x, pa.int64()) for x in made]], ["doc_id", "fp", "fp2"])
+            made = [fingerprint(t.as_py(), shingle) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.int64())], ["doc_id", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long, fp2 long")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
 
 
 def _near(a: np.ndarray, b: np.ndarray, ia: np.ndarray, ib: np.ndarray, deltas: tuple[int, ...], radius: int, mirror: bool, leaf: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -114,12 +115,8 @@ def _near(a: np.ndarray, b: np.ndarray, ia: np.ndarray, ib: np.ndarray, deltas:
             yield from _near(a, b, own, other, split, radius, mirror and d == 0, leaf)
 
 
-def _forest(a: np.ndarray, b: np.ndarray, same: bool, radius: int, leaf: int = LEAF, second: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
-    """Rows of (node, root) over the two tiles' words laid end to end: the links of their components within the pair.
-
-    ``second`` are the fingerprints' other words, which must lie as near. Tiles whose words agree in their half counts can
-    be split on; ``leaf`` at infinity leaves them whole.
-    """
+def _forest(a: np.ndarray, b: np.ndarray, same: bool, radius: int, leaf: int = LEAF) -> np.ndarray:
+    """Rows of (node, root) over the two tiles' words laid end to end: the links of their components within the pair."""
     root = np.arange(len(a) + (0 if same else len(b)))
     shift = 0 if same else len(a)
     half = lambda x: tuple(int(np.bitwise_count(x[:1] & m).sum()) for m in HALVES)
@@ -132,9 +129,6 @@ def _forest(a: np.ndarray, b: np.ndarray, same: bool, radius: int, leaf: int = L
                 near &= root[ia[at : at + step], None] != root[ib + shift][None, :]
             u, v = np.nonzero(near)
             u, v = ia[at + u], ib[v]
-            if second is not None and len(u):
-                both = np.bitwise_count(second[0][u] ^ second[1][v]) <= radius
-                u, v = u[both], v[both]
             v = v + shift
             while len(u):
                 ru, rv = root[u], root[v]
@@ -149,99 +143,105 @@ def _forest(a: np.ndarray, b: np.ndarray, same: bool, radius: int, leaf: int = L
     return np.stack([node, root[node]])
 
 
-def _tile_pairs(words: DataFrame, radius: int, tiles: int) -> DataFrame:
-    """(a, b, same): pairs of tiles, as lists of rows of ``words`` (key, fp, ...), that may hold rows with fp at most ``radius`` bits apart.
+def _tile_pairs(words: DataFrame, cell: dict[str, Column], near: list[tuple[int, int]], tiles: int) -> DataFrame:
+    """(a, b, same): pairs of tiles, as lists of rows of ``words`` (key and others), of cells that lie at one of the steps ``near``.
 
-    The cell table has at most 33 x 33 rows, so it may be broadcast whatever the corpus. The tile size grows with the number
-    of fingerprints up to ``MOST_TILE``; a crowded cell has several tiles, dealt by hash. Beyond the narrow radius a cell
-    takes in several counts: few enough cells for each tile to have few neighbours, and enough for no cell to hold much of
-    the work.
+    ``cell`` are two small whole numbers of a row, and ``near`` their differences within which rows may be linked, of each
+    two opposite ones the greater. A cell has as many tiles as it needs, dealt by hash; their size grows with the number of
+    rows up to ``MOST_TILE``. The table of cells is bounded by what the numbers can be, whatever the corpus, and so may be
+    broadcast and read by the driver. Every pair of tiles has a key of its own, so that no cell is one task's work.
     """
-    width = 1 if radius <= RADIUS else -(-radius // 4)
-    count = lambda c: F.floor(F.bit_count(c) / width).cast("int")
+    x, y = cell
     members = F.struct(*words.columns)
-    words = words.withColumns({"hi": count(F.shiftrightunsigned("fp", 32)), "lo": count(F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF)))})
-    words = written(words)
-    cells = words.groupBy("hi", "lo").agg(F.count("*").alias("n"))
-    cells = cells.withColumn("total", F.sum("n").over(Window.partitionBy(F.lit(1))))
-    per_tile = F.greatest(F.lit(LEAST_TILE), F.least(F.lit(MOST_TILE), F.ceil(F.col("total") / tiles)))
-    cells = cells.select("hi", "lo", F.ceil(F.col("n") / per_tile).alias("of"))
-    tile = (
-        words.join(F.broadcast(cells), ["hi", "lo"])
-        .groupBy("hi", "lo", F.pmod(F.xxhash64("key"), F.col("of")).alias("tile"))
-        .agg(F.collect_list(members).alias("members"))
-    )
-    least = lambda k: max(0, (abs(k) - 1) * width + 1)  # noqa: E731  how far counts differ at least, k cells apart
-    reach = range(-radius, radius + 1)
-    near = [(h, x) for h in reach for x in reach if (h, x) >= (0, 0) and least(h) + least(x) <= radius]
-    left = dealt_anew(tile).select(
-        F.explode(F.array(*[F.struct(F.lit(h).alias("dh"), F.lit(x).alias("dl")) for h, x in near])).alias("d"), "hi", "lo", F.col("tile").alias("tile_a"), F.col("members").alias("a")
-    ).select((F.col("hi") + F.col("d.dh")).alias("hi"), (F.col("lo") + F.col("d.dl")).alias("lo"), "tile_a", "a", ((F.col("d.dh") == 0) & (F.col("d.dl") == 0)).alias("own"))
-    pairs = left.join(dealt_anew(tile).withColumnRenamed("members", "b"), ["hi", "lo"]).where("not own or tile_a <= tile")
+    words = written(words.withColumns(cell))
+    cells = words.groupBy(x, y).agg(F.count("*").alias("n")).toArrow().to_pylist()
+    size = max(LEAST_TILE, min(MOST_TILE, -(-sum(c["n"] for c in cells) // tiles)))
+    of = {(c[x], c[y]): -(-c["n"] // size) for c in cells}
+    spark = words.sparkSession
+    known = F.broadcast(spark.createDataFrame([(*k, n) for k, n in of.items()], f"{x} int, {y} int, of int"))
+    tile = words.join(known, [x, y]).groupBy(x, y, F.pmod(F.xxhash64("key"), F.col("of")).cast("int").alias("tile")).agg(F.collect_list(members).alias("members"))
+    tile = written(tile)
+    met = size * sum(n * of.get((c[0] + s[0], c[1] + s[1]), 0) for c, n in of.items() for s in near)
+    parts = max(2 * spark.sparkContext.defaultParallelism, met * size // ROW_PAIRS, met // TILE_ROWS)
+    steps = F.explode(F.array(*[F.struct(F.lit(h).alias("x"), F.lit(w).alias("y")) for h, w in near])).alias("step")
+    left = tile.select(steps, x, y, F.col("tile").alias("tile_a"), F.col("members").alias("a"))
+    own = (F.col("step.x") == 0) & (F.col("step.y") == 0)
+    left = left.select((F.col(x) + F.col("step.x")).alias(x), (F.col(y) + F.col("step.y")).alias(y), "tile_a", "a", own.alias("own")).join(known, [x, y])
+    left = left.select(x, y, "tile_a", "a", "own", F.explode(F.sequence(F.when(F.col("own"), F.col("tile_a")).otherwise(F.lit(0)), F.col("of") - 1)).alias("tile"))
+    keys = [x, y, "tile"]
+    pairs = left.repartition(parts, *keys).join(tile.withColumnRenamed("members", "b").repartition(parts, *keys), keys)
     return pairs.select("a", "b", (F.col("own") & (F.col("tile_a") == F.col("tile"))).alias("same"))
 
 
 def links(fps: DataFrame, radius: int = RADIUS, tiles: int = TILES) -> DataFrame:
-    """(a, b) keys of fingerprints whose links span every component of the distinct rows of ``fps`` (key, fp, fp2).
+    """(a, b) keys of fingerprints whose links span every component of the distinct rows of ``fps`` (key, fp).
 
-    Fingerprints are linked if both words differ in at most ``radius`` bits.
+    Fingerprints are linked if they differ in at most ``radius`` bits. Cells are the bit counts of their halves.
     """
-    pairs = _tile_pairs(fps.select("key", "fp", "fp2").distinct(), radius, tiles)
-    leaf = LEAF if radius <= RADIUS else 1 << 62
+    count = lambda c: F.bit_count(c).cast("int")
+    halves = {"hi": count(F.shiftrightunsigned("fp", 32)), "lo": count(F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF)))}
+    near = [(h, x) for h, x in product(range(-radius, radius + 1), repeat=2) if (h, x) >= (0, 0) and abs(h) + abs(x) <= radius]
+    pairs = _tile_pairs(fps.select("key", "fp").distinct(), halves, near, tiles)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(np.zeros(0, np.int64),) * 2]
             for x, y, same in zip(batch.column(0), batch.column(1), batch.column(2).to_pylist(), strict=True):
                 # Unsigned, as bit counts of negative numbers are not what is wanted.
-                (keys_a, a, a2), (keys_b, b, b2) = ([z.values.field(k).to_numpy().view(np.uint64) for k in range(3)] for z in (x, y))
-                node, root = _forest(a, b, same, radius, leaf, (a2, b2))
-                keys = (keys_a if same else np.concatenate([keys_a, keys_b])).view(np.int64)
-                found.append((keys[node], keys[root]))
-            u, v = (np.concatenate(x) for x in zip(*found, strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["a", "b"])
+                (keys_a, a), (keys_b, b) = ([z.values.field(k).to_numpy() for k in range(2)] for z in (x, y))
+                node, root = _forest(a.view(np.uint64), b.view(np.uint64), same, radius)
+                keys = keys_a if same else np.concatenate([keys_a, keys_b])
+                yield pa.RecordBatch.from_arrays([pa.array(keys[node], pa.int64()), pa.array(keys[root], pa.int64())], ["a", "b"])
 
     return pairs.mapInArrow(run, "a long, b long").distinct()
 
 
 def shingle_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = WIDE_SHINGLE) -> DataFrame:
-    """(doc_id, key, fp, fp2, n, least, hashes) of every row: its set of shingle hashes, how many, two fingerprints, and the least in each of ORDERS.
+    """(doc_id, place, key, fp, fp2, n, m0, m1, ..., hashes) of every row: its set of shingle hashes in order, KEPT_BYTES each, and what goes before it.
 
-    Rows have one key if and only if they have one set; key 0 is the set of a null or blank text.
+    Rows have one key if and only if they have one set; key 0 is the set of a null or blank text. ``n`` is the size of the
+    set, ``m`` its least members in each of ORDERS, ``place`` a number of the row.
     """
-    names = ["doc_id", "key", "fp", "fp2", "n", "least", "hashes"]
+    names = ["doc_id", "key", "fp", "fp2", "n", *[f"m{k}" for k in range(len(ORDERS))], "hashes"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for text in batch.column(1):
-                hashes = np.unique(shingle_hashes(text.as_py(), shingle))
-                key = xxhash.xxh64_intdigest(hashes.tobytes(), SEED) if len(hashes) else 0
-                least = [(hashes * m).min() for m in ORDERS] if len(hashes) else []
-                rows.append((np.uint64(key), _majority(hashes), fingerprint(text.as_py(), shingle, SEED + 1, True), len(hashes), np.array(least, np.uint64).view(np.int64), hashes.view(np.int64)))
-            keys, fp, fp2, n, least, hashes = zip(*rows, strict=True) if rows else ((),) * 6
-            lists = [pa.array(list(x), pa.list_(pa.int64())) for x in (least, hashes)]
-            numbers = [pa.array(np.array(keys, np.uint64).view(np.int64)), *[pa.array(list(x), pa.int64()) for x in (fp, fp2, n)]]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *numbers, *lists], names)
-
-    schema = "doc_id long, key long, fp long, fp2 long, n long, least array<long>, hashes array<long>"
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE):
+                batch, rows, sets = whole.slice(at, SLICE), [], []
+                for text in batch.column(1):
+                    hashes = np.unique(shingle_hashes(text.as_py(), shingle))
+                    # A second fingerprint from the same hashes, mixed anew.
+                    other = hashes * ORDERS[0]
+                    own = np.unique(hashes >> np.uint64(64 - 8 * KEPT_BYTES))
+                    sets.append(np.ascontiguousarray(own.view(np.uint8).reshape(-1, 8)[:, :KEPT_BYTES]).tobytes())
+                    key = xxhash.xxh64_intdigest(sets[-1], SEED) if len(hashes) else 0
+                    rows.append((key, *(x % 2**64 for x in (_majority(hashes), _majority(other ^ other >> np.uint64(29)))), len(own), *((hashes * m).min() if len(hashes) else 0 for m in ORDERS)))
+                made = np.array(rows, np.uint64).reshape(-1, len(names) - 2).view(np.int64)
+                yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c) for c in made.T.copy()], pa.array(sets, pa.binary())], names)
+
+    schema = "doc_id long, " + ", ".join(f"{c} long" for c in names[1:-1]) + ", hashes binary"
+    found = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
+    return found.withColumn("place", F.monotonically_increasing_id())
 
 
 def candidates(words: DataFrame, similarity: float = SIMILARITY, radius: int = WIDE_RADIUS, total: int = WIDE_TOTAL, tiles: int = TILES) -> DataFrame:
     """(a, b) keys of the rows of ``words`` (key, fp, fp2, n, root) whose roots differ and whose similarity may be as high.
 
-    First words differ in at most ``radius`` bits, both together in ``total``, and the sizes of the sets allow it.
+    First words differ in at most ``radius`` bits, both together in ``total``, and the sizes of the sets allow it. Cells go by
+    the logarithm of the size, whose steps are the least similarity, and by the bit counts of both words.
     """
+    step = -math.log(similarity) * (1 + 1e-9)
+    cell = {"band": F.floor(F.log("n") / step).cast("int"), "bits": F.floor((F.bit_count("fp") + F.bit_count("fp2")) / CELL_BITS).cast("int")}
+    reach = (total - 1) // CELL_BITS + 1
+    near = [(h, x) for h, x in product((0, 1), range(-reach, reach + 1)) if (h, x) >= (0, 0)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for x, y, same in zip(batch.column(0), batch.column(1), batch.column(2).to_pylist(), strict=True):
                 (keys_a, a, a2, n_a, root_a), (keys_b, b, b2, n_b, root_b) = ([z.values.field(k).to_numpy() for k in range(5)] for z in (x, y))
                 a, a2, b, b2 = (z.view(np.uint64) for z in (a, a2, b, b2))  # bit counts of negative numbers are not what is wanted
-                step = max(1, CHUNK // max(1, len(b)))
-                for at in range(0, len(a), step):
-                    near = np.bitwise_count(a[at : at + step, None] ^ b[None, :]) <= radius
+                rows = max(1, CHUNK // max(1, len(b)))
+                for at in range(0, len(a), rows):
+                    near = np.bitwise_count(a[at : at + rows, None] ^ b[None, :]) <= radius
                     u, v = np.divmod(np.flatnonzero(near), len(b))
                     u += at
                     fits = (root_a[u] != root_b[v]) & (np.bitwise_count(a[u] ^ b[v]) + np.bitwise_count(a2[u] ^ b2[v]) <= total)
@@ -251,33 +251,50 @@ def candidates(words: DataFrame, similarity: float = SIMILARITY, radius: int = W
                     if fits.any():
                         yield pa.RecordBatch.from_arrays([pa.array(keys_a[u[fits]], pa.int64()), pa.array(keys_b[v[fits]], pa.int64())], ["a", "b"])
 
-    return _tile_pairs(words, radius, tiles).mapInArrow(run, "a long, b long")
+    return _tile_pairs(words.where("n > 0").select("key", "fp", "fp2", "n", "root"), cell, near, tiles).mapInArrow(run, "a long, b long")
+
+
+def _members(packed: bytes) -> np.ndarray:
+    wide = np.zeros((len(packed) // KEPT_BYTES, 8), np.uint8)
+    wide[:, :KEPT_BYTES] = np.frombuffer(packed, np.uint8).reshape(-1, KEPT_BYTES)
+    return wide.view(np.uint64).ravel()
 
 
 def similar(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The (a, b) whose sets of ``sets`` (key, hashes; one row a key) have this Jaccard similarity at least, exactly."""
-    ends = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    sets = written(sets.join(ends, "key", "left_semi"))
-    one = lambda c: sets.select(F.col("key").alias(c), F.col("hashes").alias(f"hashes_{c}"))
-    both = pairs.join(one("a"), "a").join(one("b"), "b")
-    common = F.size(F.array_intersect("hashes_a", "hashes_b"))
-    return both.where(common / (F.size("hashes_a") + F.size("hashes_b") - common) >= similarity).select("a", "b")
+    """The (a, b), places of ``sets`` (place, hashes), whose sets have this Jaccard similarity at least, exactly.
+
+    Both joins shuffle ``sets`` alike, so Spark shuffles it once; a few pairs are broadcast to it instead.
+    """
+    one = lambda c: sets.select(F.col("place").alias(c), F.col("hashes").alias(f"of_{c}"))
+    both = pairs.join(one("a"), "a").join(one("b"), "b").select("a", "b", "of_a", "of_b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = []
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                x, y = _members(x.as_py()), _members(y.as_py())
+                common = np.count_nonzero(np.take(y, np.searchsorted(y, x), mode="clip") == x)
+                kept.append(common >= similarity * (len(x) + len(y) - common))
+            yield batch.select([0, 1]).filter(pa.array(kept, pa.bool_()))
+
+    return both.mapInArrow(run, "a long, b long")
 
 
-def _similar_links(docs_fp: DataFrame, similarity: float) -> DataFrame:
-    """(a, b) keys of :func:`shingle_sets` that span the components of similar sets.
+def _similar_links(one: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(a, b) keys of ``one`` (key, fp, fp2, n, m0, m1, ...) that span the components of similar sets of ``sets``.
 
     Stars of those that agree in a least hash are checked first: they join most of a group of near copies with one link
     each, and only candidates that are not connected yet need a check of their own.
     """
-    one = docs_fp.groupBy("key").agg(*[F.first(c).alias(c) for c in ("fp", "fp2", "n", "least")])
-    one, sets = written(one), docs_fp.select("key", "hashes").dropDuplicates(["key"])
-    by = one.select("key", "n", F.posexplode("least").alias("order", "value"))
-    hubs = by.groupBy("order", "value").agg(F.min_by("key", F.xxhash64("key", "order")).alias("hub"), F.count("*").alias("of")).where("of > 1")
-    stars = by.join(hubs, ["order", "value"]).where("key <> hub").select(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b")).distinct()
+    least = F.array(*[F.col(f"m{k}") for k in range(len(ORDERS))])
+    by = one.where("n > 0").select("key", "n", F.posexplode(least).alias("order", "value"))
+    hub = F.min_by(F.struct("key", "n"), F.xxhash64("key", "order"))
+    hubs = by.groupBy("order", "value").agg(hub.alias("hub"), F.count("*").alias("of")).where("of > 1").select("order", "value", F.col("hub.key").alias("hub"), F.col("hub.n").alias("hub_n"))
+    stars = by.join(hubs, ["order", "value"]).where("key <> hub").where(F.least("n", "hub_n") >= similarity * F.greatest("n", "hub_n"))
+    stars = stars.select(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b")).distinct()
     first = written(similar(written(stars), sets, similarity))
     roots = components(first, "a", "b").withColumnRenamed("node", "key")
-    words = written(one.join(roots, "key", "left").select("key", "fp", "fp2", "n", F.coalesce("root", "key").alias("root")))
+    words = one.join(roots, "key", "left").select("key", "fp", "fp2", "n", F.coalesce("root", "key").alias("root"))
     return first.unionByName(similar(written(candidates(words, similarity)), sets, similarity))
 
 
@@ -291,15 +308,14 @@ def _classes(docs_fp: DataFrame, found: DataFrame) -> DataFrame:
     return docs_fp.join(named, "key")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, shingle: int = SHINGLE, words: int = 1) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id, the least id among all documents linked to it, near or far.
 
-    Two documents are linked if their fingerprints differ in at most ``radius`` bits, in each of two words if so asked. Every
-    row comes back, repeated rows too; those without words share fingerprint zero and are linked like any other. A null id
-    never is a component_id unless no document of the component has another. Other columns are not read. Empty gives empty.
+    Two documents are linked if their fingerprints differ in at most ``radius`` bits. Every row comes back, repeated rows too;
+    those without words share fingerprint zero and are linked like any other. A null id never is a component_id unless no
+    document of the component has another. Other columns are not read. Empty gives empty.
     """
-    key = F.col("fp") if words == 1 else F.xxhash64("fp", "fp2")
-    docs_fp = written(fingerprints(docs, id_col, text_col, shingle, words).withColumn("key", key))
+    docs_fp = written(fingerprints(docs, id_col, text_col, shingle).withColumn("key", F.col("fp")))
     return _classes(docs_fp, links(docs_fp, radius)).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
@@ -307,12 +323,17 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """The rows of ``docs`` whose document is the least id of its component; rows that repeat an id stay or go together.
 
     Two documents are linked only if their sets of shingles of five words have a Jaccard similarity of 0.8 or more, which is
-    computed exactly. Fingerprints only name the pairs to compare: by the usual model at most one pair in a thousand at 0.8
-    is not named, of sets of four and five shingles about one in two hundred. Texts without words are all alike. Rows whose
-    id is null are kept only where they share a component with no other's id.
+    computed from the whole sets of 40-bit hashes. Fingerprints only name the pairs to compare: by the usual model at most one
+    pair in a thousand at 0.8 is not named, of sets of four and five shingles about one in two hundred. Texts without words
+    are all alike. Rows whose id is null are kept only where they share a component with no other's id.
     """
-    docs_fp = written(shingle_sets(docs, id_col, text_col, shingle))
-    classes = _classes(docs_fp.select("doc_id", "key"), _similar_links(docs_fp, similarity))
+    sets = written(shingle_sets(docs, id_col, text_col, shingle))
+    rest = ("fp", "fp2", "n", *[f"m{k}" for k in range(len(ORDERS))])
+    # Rows of one key are one node of the graph, known by the place of the first.
+    one = written(sets.groupBy("key").agg(F.min("place").alias("node"), *[F.first(c).alias(c) for c in rest]))
+    found = _similar_links(one.select(F.col("node").alias("key"), *rest), sets.select("place", "hashes"), similarity)
+    named = sets.select("doc_id", "key").join(one.select("key", "node"), "key").select("doc_id", F.col("node").alias("key"))
+    classes = _classes(written(named), found)
     kept = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
     rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"))
     # The ids are the smaller side at every size: hashed by partition, so that no text is sorted.

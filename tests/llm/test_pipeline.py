@@ -5,9 +5,10 @@ import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from spoor.llm import bpe, mixing, simhash
+from spoor.llm import bpe, mixing
 from spoor.llm.queries import VOCABULARY
 from tests.llm.test_training_operators import plain_spans
+from tests.llm.test_whole_job import least_of_similar
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -22,20 +23,7 @@ def test_stages_hold(spark):
         if k < 4:
             assert docs.columns == names
         if name == "near_duplicates":
-            prints = {d: [simhash.fingerprint(r["text"], 5, 42 + k, True) for k in range(2)] for d, r in kept["language"].items()}
-            near = lambda a, b: all(((x ^ y) % 2**64).bit_count() <= 14 for x, y in zip(prints[a], prints[b], strict=True))
-            order, root = sorted(prints), {}
-            for d in order:  # the least document that each reaches, by a plain flood
-                if d not in root:
-                    open_ = [d]
-                    root[d] = d
-                    while open_:
-                        now = open_.pop()
-                        for other in order:
-                            if other not in root and near(now, other):
-                                root[other] = d
-                                open_.append(other)
-            assert set(kept[name]) == set(root.values())
+            assert set(kept[name]) == least_of_similar({d: r["text"] for d, r in kept["language"].items()})
         if name == "secrets":
             assert set(kept[name]) == set(kept["near_duplicates"])
             for d, r in kept[name].items():
