@@ -18,8 +18,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Distinct runs of text whose encoding a worker remembers before it starts anew.
-REMEMBERED = 500_000
+#: Distinct runs of text whose encoding a worker remembers before it starts anew, some 60 MB of them.
+REMEMBERED = 100_000
 #: Documents whose ids are in a worker's memory at once.
 SLICE = 128
 
@@ -146,7 +146,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         for whole in batches:
             for at in range(0, whole.num_rows, SLICE):
                 batch = whole.slice(at, SLICE)
-                made = [np.array(own.encode(t), np.int32) for t in batch.column(len(rest)).to_pylist()]
+                made = [np.array(own.encode(t.as_py()), np.int32) for t in batch.column(len(rest))]
                 sizes = np.array([len(x) for x in made], np.int64)
                 offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(made)))
@@ -168,14 +168,17 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids", out_col: str = "
 
 
 def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, and SHA-256 of the ids and of the decoded text; one row for each row, null texts as empty."""
+    """doc_id, n_tokens, and SHA-256 of the ids and of the decoded text; one row for each row, null texts as empty.
+
+    Null ids and repeated rows stay as they are; an empty table gives none.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path)
         for batch in batches:
             sizes, of_ids, of_text = [], [], []
-            for text in batch.column(1).to_pylist():
-                made = list(map(own.__getitem__, own.runs(text or "")))
+            for text in batch.column(1):
+                made = list(map(own.__getitem__, own.runs(text.as_py() or "")))
                 ids = " ".join([x[0] for x in made])
                 sizes.append(ids.count(" ") + 1 if ids else 0)
                 of_ids.append(hashlib.sha256(ids.encode()).hexdigest())

@@ -13,10 +13,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spoor.llm.common import written
+
 #: n of the n-grams, and the buckets that they are hashed to: with the number of languages this bounds the model.
 ORDER, BUCKETS = 3, 1 << 14
 #: Added to every count; the penalty for one more language, in log-likelihood for each log of the document's n-grams.
 SMOOTHING, PENALTY = 0.5, 2.0
+#: Languages that a model may have; with ORDER and BUCKETS this bounds what the driver and each worker hold.
+MOST_LANGS = 512
+#: Languages whose counts a task holds between two batches before it gives them on.
+HELD_LANGS = 64
 #: Rounds of expectation-maximisation for each candidate set.
 ROUNDS = 12
 UNDETERMINED = "und"
@@ -37,17 +43,24 @@ def gram_counts(rows: DataFrame, lang_col: str, text_col: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables: dict[str, np.ndarray] = {}
+
+        def added_up() -> Iterator[pa.RecordBatch]:
+            for lang, own in tables.items():
+                at = np.nonzero(own)[0]
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(own[at], pa.int64())], ["lang", "bucket", "n"])
+            tables.clear()
+
         for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 own = tables.setdefault(lang, np.zeros(BUCKETS, np.int64))
-                found = grams(text)
+                found = grams(text.as_py())
                 if len(found) < BUCKETS // 8:
                     np.add.at(own, found, 1)
                 else:
                     own += np.bincount(found, minlength=BUCKETS)
-        for lang, own in tables.items():
-            at = np.nonzero(own)[0]
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(own[at], pa.int64())], ["lang", "bucket", "n"])
+            if len(tables) > HELD_LANGS:
+                yield from added_up()
+        yield from added_up()
 
     rows = rows.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).where("lang is not null and text is not null")
     return rows.mapInArrow(run, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
@@ -100,10 +113,12 @@ def mixture(chance: np.ndarray, n: np.ndarray, share: np.ndarray) -> tuple[np.nd
 def train(rows: DataFrame, lang_col: str = "lang", text_col: str = "text") -> Model:
     """Learn from every row whose language and text are not null; no such row gives a model that predicts nothing.
 
-    The driver receives one number for each language and bucket that occurs: languages x 16,384 at most.
+    The driver receives one number for each language and bucket that occurs: MOST_LANGS x BUCKETS at most.
     """
-    found = gram_counts(rows, lang_col, text_col).toArrow()
-    langs = sorted(set(found["lang"].to_pylist()))
+    counted = written(gram_counts(rows, lang_col, text_col))
+    if len(names := counted.select("lang").distinct().limit(MOST_LANGS + 1).collect()) > MOST_LANGS:
+        raise ValueError(f"more than {MOST_LANGS} languages to learn: clean the column first")
+    langs, found = sorted(r["lang"] for r in names), counted.toArrow()
     counts = np.full((BUCKETS, len(langs)), SMOOTHING)
     place = {x: k for k, x in enumerate(langs)}
     np.add.at(counts, (found["bucket"].to_numpy(), np.array([place[x] for x in found["lang"].to_pylist()], int)), found["n"].to_numpy())
@@ -121,7 +136,7 @@ def predict(rows: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
-            made = [own.predict(t) for t in batch.column(len(rest)).to_pylist()]
+            made = [own.predict(t.as_py()) for t in batch.column(len(rest))]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(rest)], pa.array([x[0] for x in made], pa.string()), pa.array([x[1] for x in made], pa.float64())], [*rest, "lang_pred", "score"])
 
     schema = rows.select(*rest, F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
@@ -134,7 +149,12 @@ def fold(id_col: str = "doc_id") -> Column:
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """doc_id, held_out, lang_pred and score of every row, learned from the rows that are not held out."""
+    """doc_id, held_out, lang_pred and score of every row, learned from the rows that are not held out.
+
+    A null id is not held out. Repeated rows come back as often, and each is learned from. A table without rows gives none;
+    one without rows to learn from gives ``und`` throughout. A text that is null or has no letter is ``und`` with score 0.
+    More than MOST_LANGS distinct values of ``lang`` are an error, for a model of them would have no bound.
+    """
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).withColumn("held_out", fold("doc_id"))
     return predict(docs.drop("lang"), train(docs.where("not held_out"), "lang", "text"))
 
@@ -147,7 +167,7 @@ def keep_identified(docs: DataFrame, least: float = 0.5, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
-            made = [own.predict(t) for t in batch.column(batch.schema.get_field_index(text_col)).to_pylist()]
+            made = [own.predict(t.as_py()) for t in batch.column(batch.schema.get_field_index(text_col))]
             yield batch.filter(pa.array([lang != UNDETERMINED and score >= least for lang, score in made], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

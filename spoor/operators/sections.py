@@ -43,6 +43,26 @@ def overlaps(a_start: Column, a_end: Column, b_start: Column, b_end: Column) ->
     return (a_start < b_end) & (b_start < a_end)
 
 
+def overlap_join(left: DataFrame, right: DataFrame, start: str, end: str, bucket: int, keys: list[str] | None = None) -> DataFrame:
+    """Pairs of left and right spans that share a moment, each once; other columns of both sides come back, those of right spans' ends don't.
+
+    Spans are half-open timestamps and are dealt to buckets of so many microseconds. A pair meets in the bucket where the later
+    of the two begins and nowhere else: each side's beginnings meet the other side's buckets. A span is so copied to each
+    bucket that it reaches, and buckets are to be about as long as a usual span. A span with a null start or end overlaps none.
+    """
+    keys = keys or []
+    at = lambda c: F.floor(F.unix_micros(c.cast("timestamp")) / bucket)
+    rest = [c for c in right.columns if c not in (start, end, *keys)]
+    r = right.select(*keys, F.col(start).alias("_from"), F.col(end).alias("_to"), *rest)
+    reach = lambda rows, a, b: rows.withColumn("_bucket", F.explode(F.sequence(at(F.col(a)), at(F.col(b)))))
+    begun = lambda rows, a: rows.withColumn("_bucket", at(F.col(a)))
+    hit = overlaps(F.col(start), F.col(end), F.col("_from"), F.col("_to"))
+    on = [*keys, "_bucket"]
+    later_right = reach(left, start, end).join(begun(r, "_from"), on).where(hit & (F.col("_from") >= F.col(start)))
+    later_left = begun(left, start).join(reach(r, "_from", "_to"), on).where(hit & (F.col("_from") < F.col(start)))
+    return later_right.unionByName(later_left).drop("_bucket", "_from", "_to")
+
+
 def in_bands(anchors: DataFrame, cells: DataFrame, page: list[str], y: str, tolerance: float = 8.0) -> DataFrame:
     """Cells with the anchor whose band [y, next y), moved up by a tolerance, holds them: a backward as-of by page.
 

@@ -3,7 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from spoor.operators.sections import overlaps
+from spoor.operators.sections import overlap_join
 from spoor.operators.similarity import word_jaccard
 from spoor.operators.temporal import asof_forward, asof_interval, in_force, last_before, lineage_rank, with_intervals
 from spoor.registry import query
@@ -94,15 +94,12 @@ def last_mention(spark, sf_dir):
 @query(
     """WITH s AS (SELECT event_id, user_id, ts AS a, coalesce(lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id), ts) AS b, event_type FROM events),
 q AS (SELECT * FROM s WHERE event_type = 'purchase'), o AS (SELECT * FROM s WHERE event_type = 'signup')
-SELECT q.event_id AS purchase, o.event_id AS signup FROM q JOIN o ON q.user_id // 15 = o.user_id // 15 AND q.a < o.b AND o.a < q.b"""
+SELECT o.event_id AS signup, count(*) AS purchases, min(q.event_id) AS least, max(q.event_id) AS greatest FROM q JOIN o ON q.a < o.b AND o.a < q.b GROUP BY 1"""
 )
 def interval_overlap(spark, sf_dir):
-    """Spans of two kinds that overlap in time within a cohort of fifteen users: a range join on hour buckets, each pair kept in its first one."""
+    """How many purchases' spans each signup's span overlaps, among all users, and the least and greatest of them."""
     events = table(spark, sf_dir, "events").select("event_id", "user_id", F.col("ts").alias("a"), "event_type")
     events = events.withColumn("b", F.coalesce(F.lead("a").over(Window.partitionBy("user_id").orderBy("a", "event_id")), F.col("a")))
-    hour = lambda c: F.floor(F.unix_micros(c.cast("timestamp")) / 3_600_000_000)
-    spans = events.withColumn("bucket", F.explode(F.sequence(hour(F.col("a")), hour(F.col("b"))))).withColumn("cohort", F.floor(F.col("user_id") / 15))
-    left = spans.where("event_type = 'purchase'").select("cohort", F.col("event_id").alias("purchase"), F.col("a").alias("qa"), F.col("b").alias("qb"), "bucket")
-    right = spans.where("event_type = 'signup'").select("cohort", F.col("event_id").alias("signup"), F.col("a").alias("oa"), F.col("b").alias("ob"), "bucket")
-    both = left.join(right, ["cohort", "bucket"]).where(overlaps(F.col("qa"), F.col("qb"), F.col("oa"), F.col("ob")))
-    return both.where(F.col("bucket") == F.greatest(hour(F.col("qa")), hour(F.col("oa")))).select("purchase", "signup")
+    spans = lambda kind, name: events.where(F.col("event_type") == kind).select(F.col("event_id").alias(name), "a", "b")
+    found = overlap_join(spans("signup", "signup"), spans("purchase", "purchase"), "a", "b", bucket=3_600_000_000)
+    return found.groupBy("signup").agg(F.count("*").alias("purchases"), F.min("purchase").alias("least"), F.max("purchase").alias("greatest"))

@@ -8,7 +8,7 @@ from spoor.operators.constraints import broken, check_edges, orphans, repeated,
 from spoor.operators.ranking import idf, rank_units, rank_windows, reframed
 from spoor.operators.sections import consecutive, first_of, in_bands, sections, segments
 from spoor.operators.shingles import PROBE_STEP, WIDTH, block_windows, carried_share
-from spoor.operators.similarity import best_in_block, trigram_containment, unique_winner, word_jaccard
+from spoor.operators.similarity import best_of, long_words, similarity_join, trigram_containment, unique_winner
 from spoor.registry import query
 from spoor.sources.tables import spread, table
 
@@ -22,16 +22,31 @@ def segment_offsets(spark, sf_dir):
     return found.select("doc_id", F.col("ordinal").cast("long").alias("ordinal"), F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), F.sha2("segment", 256).alias("sha"))
 
 
-@query("""WITH w AS (SELECT item_id, item_id // 5 AS block, list_distinct(regexp_extract_all(lower(text), '[\\p{L}\\p{M}\\p{Nd}_]{4,}')) AS a FROM benchmark),
-p AS (SELECT x.item_id, y.item_id AS other, len(list_intersect(x.a, y.a)) / (len(x.a) + len(y.a) - len(list_intersect(x.a, y.a))) AS s FROM w x JOIN w y ON x.block = y.block AND x.item_id <> y.item_id),
-r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY s DESC, other DESC) AS n, lead(s) OVER (PARTITION BY item_id ORDER BY s DESC, other DESC) AS runner_up FROM p)
-SELECT item_id, other, round(s, 9) AS score, round(runner_up, 9) AS runner_up FROM r WHERE n = 1 AND s >= 0""")
+#: Least similarity of a winner, and below which its runner-up must stay.
+WINNER, RUNNER_UP = 0.6, 0.5
+_LONG = "list_distinct(regexp_extract_all(lower({}), '[\\p{{L}}\\p{{M}}\\p{{Nd}}_]{{4,}}'))"
+_SCORED = f"""e AS (SELECT item_id || ':' || k AS item_id, string_split_regex(text, '[\\n.!?]')[k] AS line FROM (SELECT *, unnest(range(1, len(string_split_regex(text, '[\\n.!?]')) + 1)) AS k FROM benchmark) AS x),
+i AS (SELECT item_id, unnest({_LONG.format("line")}) AS w, len({_LONG.format("line")}) AS n FROM e),
+d AS (SELECT DISTINCT line FROM (SELECT unnest(string_split_regex(text, '[\\n.!?]')) AS line FROM documents) AS x),
+l AS (SELECT md5(line) AS other, unnest({_LONG.format("line")}) AS w, len({_LONG.format("line")}) AS n FROM d),
+c AS (SELECT item_id, other, count(*) AS common, any_value(i.n) AS a, any_value(l.n) AS b FROM i JOIN l USING (w) GROUP BY ALL),
+s AS (SELECT item_id, other, common / (a + b - common) AS score FROM c WHERE common / (a + b - common) >= {RUNNER_UP}),
+r AS (SELECT *, row_number() OVER k AS n, lead(score) OVER k AS runner_up FROM s WINDOW k AS (PARTITION BY item_id ORDER BY score DESC, other DESC))"""
+
+
+def _scored(spark, sf_dir):
+    """(item_id, other, score): sentences of benchmark items and distinct ones of documents that share half of their long words or more."""
+    items = table(spark, sf_dir, "benchmark").select("item_id", F.posexplode(F.split("text", r"[\n.!?]")).alias("k", "line"))
+    items = items.select(F.concat_ws(":", "item_id", F.col("k") + 1).alias("item_id"), long_words(F.col("line")).alias("words"))
+    sentences = spread(table(spark, sf_dir, "documents")).select(F.explode(F.split("text", r"[\n.!?]")).alias("line")).distinct()
+    return similarity_join(items, sentences.select(F.md5("line").alias("other"), long_words(F.col("line")).alias("words")), "item_id", "other", "words", RUNNER_UP)
+
+
+@query(f"WITH {_SCORED} SELECT item_id, other, round(score, 9) AS score, round(runner_up, 9) AS runner_up FROM r WHERE n = 1 AND score >= {WINNER}")
 def word_jaccards(spark, sf_dir):
-    items = table(spark, sf_dir, "benchmark").withColumn("block", F.floor(F.col("item_id") / 5))
-    other = items.select(F.col("item_id").alias("other"), F.col("text").alias("other_text"), "block")
-    score = F.when(F.col("item_id") != F.col("other"), word_jaccard(F.col("text"), F.col("other_text"))).otherwise(F.lit(-1.0))
-    best = best_in_block(items, other, "block", "item_id", "other", score, 0.0)
-    return best.select("item_id", "other", F.round("score", 9).alias("score"), F.round(F.when(F.col("runner_up") >= 0, F.col("runner_up")), 9).alias("runner_up"))
+    """The sentence that resembles an item's sentence most, among all sentences of all documents."""
+    best = best_of(_scored(spark, sf_dir), "item_id", "other", WINNER)
+    return best.select("item_id", "other", F.round("score", 9).alias("score"), F.round("runner_up", 9).alias("runner_up"))
 
 
 _TRIGRAMS = "list_distinct(list_transform(range(1, greatest(len(w) - 1, 1)), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))"
@@ -164,12 +179,7 @@ def redact_export(spark, sf_dir):
     return flattened(withheld(docs, F.col("source") == "src0", "body", F.concat(F.lit("[withheld: "), F.col("source"), F.lit("]"))).select("doc_id", "body"), ["body"])
 
 
-@query("""WITH b AS (SELECT item_id // 10 AS block, item_id, list_distinct(regexp_extract_all(lower(text), '[\\p{L}\\p{M}\\p{Nd}_]{4,}')) AS a FROM benchmark),
-p AS (SELECT x.item_id, y.item_id AS other, len(list_intersect(x.a, y.a)) / (len(x.a) + len(y.a) - len(list_intersect(x.a, y.a))) AS s FROM b x JOIN b y ON x.block = y.block AND x.item_id < y.item_id),
-r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY s DESC, other DESC) AS n, lead(s) OVER (PARTITION BY item_id ORDER BY s DESC, other DESC) AS u FROM p)
-SELECT item_id, other FROM r WHERE n = 1 AND s >= 0.01 AND coalesce(u, 0) < 0.01""")
+@query(f"WITH {_SCORED} SELECT item_id, other FROM r WHERE n = 1 AND score >= {WINNER} AND coalesce(runner_up, 0) < {RUNNER_UP}")
 def unique_winners(spark, sf_dir):
-    items = table(spark, sf_dir, "benchmark").withColumn("block", F.floor(F.col("item_id") / 10))
-    other = items.select(F.col("item_id").alias("other"), F.col("text").alias("other_text"), "block")
-    score = F.when(F.col("item_id") < F.col("other"), word_jaccard(F.col("text"), F.col("other_text"))).otherwise(F.lit(-1.0))
-    return unique_winner(best_in_block(items, other, "block", "item_id", "other", score, 0.0), 0.01, 0.01).select("item_id", "other")
+    """Sentences of items whose best match has no second that comes near."""
+    return unique_winner(best_of(_scored(spark, sf_dir), "item_id", "other", WINNER), WINNER, RUNNER_UP).select("item_id", "other")
