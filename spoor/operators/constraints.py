@@ -29,6 +29,16 @@ def repeated(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
 
 
+def target_iff_internal(edges: DataFrame, target: str = "target", scope: str = "scope") -> DataFrame:
+    """Edges that have a target and don't lie within, or lie within and have none."""
+    return edges.where(F.col(target).isNotNull() != F.coalesce(F.col(scope) == "internal", F.lit(False)))
+
+
+def not_exactly_one(rows: DataFrame, *columns: str) -> DataFrame:
+    """Rows of which none or several of the columns are set."""
+    return rows.where(reduce(lambda a, b: a + b, [F.col(c).isNotNull().cast("int") for c in columns]) != 1)
+
+
 def check_edges(edges: DataFrame, proofs: DataFrame, fks: list[tuple[str, DataFrame, str]], key: list[str], least: int = 60) -> DataFrame:
     """(rule, violations): a derived edge has a proof, a proof has ``least`` characters, keys exist, and edges are distinct."""
     rules = [

@@ -44,7 +44,7 @@ def reframed(docs: DataFrame, hits: DataFrame, id_col: str, text_col: str, size:
     joined = hits.join(docs.select(id_col, F.col(text_col).alias("_t")), id_col)
     head = F.substring("_t", F.greatest(F.lit(0), F.col("start") - slack) + 1, F.least(F.lit(slack), F.col("start")))
     # The last sentence end within the slack before the window, and the first one after it.
-    back = F.length(F.regexp_extract(head, r"(?s)[.!?\n]\s*([^.!?\n]*)$", 1))
+    back = F.length(F.regexp_extract(head, r"(?s)[.!?\n]\s*([^.!?\n]*)\z", 1))
     begin = F.when(F.col("start") == 0, 0).when(head.rlike(r"[.!?\n]"), F.col("start") - back).otherwise(F.col("start"))
     stop = F.least(F.col("start") + size, F.length("_t"))
     tail = F.substring("_t", stop + 1, F.lit(slack))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from spoor.operators.closure import components
 from spoor.operators.shingles import INDEX_STEP, PROBE_STEP, WIDTH, asked_for, block_windows, carried_share, prior_art, window_index_join, window_key
 from spoor.registry import query
-from spoor.sources.tables import spread, table
+from spoor.sources.tables import spread, table, written
 
 _WINDOWS = f"""
 iw AS (SELECT item_id, pos, substr(text, CAST(pos + 1 AS BIGINT), {WIDTH}) AS w FROM (SELECT item_id, text, unnest(range(0, length(text) - {WIDTH} + 1, {PROBE_STEP})) AS pos FROM benchmark WHERE length(text) >= {WIDTH}) AS x),
@@ -49,25 +49,34 @@ def discriminant_windows(spark, sf_dir):
 def prior_art_guard(spark, sf_dir):
     items, docs = _windows(spark, sf_dir)
     known = docs.join(items.select(*[c.alias(f"_{k}") for k, c in enumerate(window_key("w"))]).distinct(), (window_key("w")[0] == F.col("_0")) & (window_key("w")[1] == F.col("_1")), "left_semi")
-    known = known.select("doc_id", "source", "w").distinct()
+    # Read twice by the operator, and small beside the windows of all documents.
+    known = written(known.select("doc_id", "source", "w").distinct())
     return prior_art(known, "doc_id", "doc_id", "source").groupBy("doc_id").agg(F.count("*").alias("fresh"))
 
 
+#: The share of a document's long lines that it has in common with the first document that holds them, from which on it is a copy.
+COPIED = 0.5
+
+
 @query(
-    """WITH RECURSIVE lines AS (SELECT DISTINCT doc_id, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents) AS x WHERE length(line) >= 60),
-rare AS (SELECT line, min(doc_id) AS low FROM lines GROUP BY line HAVING count(*) BETWEEN 2 AND 5),
-same AS (SELECT text, min(doc_id) AS low FROM documents GROUP BY text),
-e AS (SELECT doc_id AS a, low AS b FROM lines JOIN rare USING (line) WHERE doc_id <> low UNION SELECT doc_id, low FROM documents JOIN same USING (text) WHERE doc_id <> low),
+    f"""WITH RECURSIVE lines AS (SELECT DISTINCT doc_id, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents) AS x WHERE length(line) >= 60),
+firsts AS (SELECT line, min(doc_id) AS low FROM lines GROUP BY line), sizes AS (SELECT doc_id, count(*) AS n FROM lines GROUP BY 1),
+e AS (SELECT doc_id AS a, low AS b FROM (SELECT doc_id, low, count(*) AS common FROM lines JOIN firsts USING (line) WHERE doc_id <> low GROUP BY ALL) AS x JOIN sizes USING (doc_id) WHERE common >= {COPIED} * n
+  UNION SELECT doc_id, low FROM documents JOIN (SELECT text, min(doc_id) AS low FROM documents GROUP BY text) AS same USING (text) WHERE doc_id <> low),
 u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
 r(node, reach) AS (SELECT a, a FROM u UNION SELECT r.node, u.b FROM r JOIN u ON r.reach = u.a)
 SELECT node AS doc_id, min(reach) AS component FROM r GROUP BY node"""
 )
 def duplicate_clusters(spark, sf_dir):
+    """Documents whose text, or at least half of whose long lines, another document held first. A line that many share is a link for none
+    of whom it isn't half."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    lines = docs.select("doc_id", F.explode(F.split("text", "\n")).alias("line")).where(F.length("line") >= 60).select("doc_id", *window_key("line")).distinct()
-    # Each shared line links its documents to the least of them: a star, not all pairs.
-    rare = lines.groupBy("h1", "h2").agg(F.min("doc_id").alias("low"), F.count("*").alias("n")).where("n between 2 and 5")
-    stars = lines.join(rare, ["h1", "h2"]).select("doc_id", "low")
+    lines = docs.select("doc_id", F.explode(F.split("text", "\n")).alias("line")).where(F.length("line") >= WIDTH).select("doc_id", *window_key("line")).distinct()
+    # Each line names its first holder: a star, not all pairs.
+    firsts = lines.groupBy("h1", "h2").agg(F.min("doc_id").alias("low"))
+    shared = lines.join(firsts, ["h1", "h2"]).groupBy("doc_id", "low").agg(F.count("*").alias("common"))
+    sizes = shared.groupBy("doc_id").agg(F.sum("common").alias("n"))
+    stars = shared.where("doc_id <> low").join(sizes, "doc_id").where(F.col("common") >= COPIED * F.col("n")).select("doc_id", "low")
     whole = docs.select("doc_id", F.sha2("text", 256).alias("sha"))
     stars = stars.unionByName(whole.join(whole.groupBy("sha").agg(F.min("doc_id").alias("low")), "sha").select("doc_id", "low"))
     found = components(stars, "doc_id", "low")

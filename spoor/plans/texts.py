@@ -1,11 +1,13 @@
 """Texts: segments, similarity, rarity-weighted ranking, markup, citations, constraints and exports."""
 
-from pyspark.sql import Window
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spoor.functions import text as X
-from spoor.operators.constraints import broken, check_edges, orphans, repeated, violations
-from spoor.operators.ranking import idf, rank_units, rank_windows, reframed
+from spoor.operators.constraints import broken, check_edges, not_exactly_one, orphans, repeated, target_iff_internal, violations
+from spoor.operators.ranking import SLACK, WINDOW, idf, rank_units, rank_windows, reframed
 from spoor.operators.sections import consecutive, first_of, in_bands, sections, segments
 from spoor.operators.shingles import PROBE_STEP, WIDTH, block_windows, carried_share
 from spoor.operators.similarity import best_of, long_words, similarity_join, trigram_containment, unique_winner
@@ -92,7 +94,22 @@ def idf_rank_units(spark, sf_dir):
     return rank_units(table(spark, sf_dir, "benchmark"), units, weights, "item_id", "unit", "text")
 
 
-@query()
+def _sql_round(rank: int) -> str:
+    """The best window of each item and document that overlaps none of the rounds before."""
+    before = f"s{rank - 1}"
+    kept = "s" if rank == 1 else f"(SELECT {before}.* FROM {before} JOIN b{rank - 1} USING (item_id, doc_id) WHERE abs({before}.start - b{rank - 1}.start) >= {WINDOW})"
+    return f"s{rank} AS (SELECT * FROM {kept} AS x), b{rank} AS (SELECT item_id, doc_id, {rank} AS rank, max(score) AS score, arg_min(start, (-score, start)) AS start FROM s{rank} GROUP BY ALL)"
+
+
+@query(f"""WITH t AS (SELECT doc_id, unnest({_sql_terms("text")}) AS term FROM documents), c AS (SELECT term, ln((SELECT count(*) FROM documents) / count(*)) AS weight FROM t GROUP BY term),
+w AS (SELECT doc_id, CAST(start AS INTEGER) AS start, substr(text, start + 1, {WINDOW}) AS w FROM (SELECT doc_id, text, unnest(range(0, greatest(0, length(text) - {WINDOW // 2 + 1}) + 1, {WINDOW // 2})) AS start FROM documents WHERE length(text) > 0) AS x),
+u AS (SELECT doc_id, start, unnest({_sql_terms("w")}) AS term FROM w), q AS (SELECT item_id, unnest({_sql_terms("text")}) AS term FROM benchmark),
+s AS (SELECT item_id, doc_id, start, round(CAST(sum(CAST(weight AS DECIMAL(20, 10))) AS DOUBLE), 6) AS score FROM q JOIN c USING (term) JOIN u USING (term) GROUP BY ALL HAVING count(*) >= 2),
+{", ".join(_sql_round(k) for k in (1, 2, 3))}, r AS (SELECT * FROM b1 UNION ALL SELECT * FROM b2 UNION ALL SELECT * FROM b3),
+h AS (SELECT r.*, text, substr(text, greatest(0, start - {SLACK}) + 1, least({SLACK}, start)) AS head, least(start + {WINDOW}, length(text)) AS stop FROM r JOIN documents USING (doc_id)),
+f AS (SELECT *, CAST(CASE WHEN start = 0 THEN 0 WHEN regexp_matches(head, '[.!?\\n]') THEN start - length(regexp_extract(head, '(?s)[.!?\\n]\\s*([^.!?\\n]*)$', 1)) ELSE start END AS INTEGER) AS "begin",
+  CAST(stop + length(regexp_extract(substr(text, stop + 1, {SLACK}), '(?s)^[^.!?\\n]*[.!?\\n]', 0)) AS INTEGER) AS "end" FROM h)
+SELECT item_id, doc_id, CAST(rank AS INTEGER) AS rank, start, score, "begin", "end", trim(substr(text, "begin" + 1, "end" - "begin")) AS passage FROM f""")
 def idf_rank_windows(spark, sf_dir):
     """The three best disjoint windows of each benchmark item in each document, framed by sentence ends."""
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -101,7 +118,15 @@ def idf_rank_windows(spark, sf_dir):
     return reframed(docs, top, "doc_id", "text").select("item_id", "doc_id", "rank", "start", "score", "begin", "end", "passage")
 
 
-@query()
+_SPACES = "[\\s\\x{00A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+"
+
+
+@query(f"""WITH a AS (SELECT page_id, html, regexp_replace(html, '(?is)<script\\b.*?</script>|<style\\b.*?</style>|<!--.*?-->', '', 'g') AS h FROM pages),
+b AS (SELECT page_id, html, regexp_replace(regexp_replace(h, '(?i)<br\\s*/?>|</(p|div|li|h[1-6]|tr|article|title)>', chr(10), 'g'), '<[^>]*>', '', 'g') AS h FROM a),
+c AS (SELECT page_id, html, replace(replace(replace(replace(replace(replace(h, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS h FROM b),
+d AS (SELECT page_id, html, array_to_string(list_filter(list_transform(string_split(h, chr(10)), lambda x: trim(regexp_replace(x, '{_SPACES}', ' ', 'g'))), lambda x: x <> ''), chr(10)) AS t FROM c)
+SELECT page_id, CAST(length(t) AS INTEGER) AS n_chars, sha256(t) AS sha,
+  CAST(len(list_filter(list_transform(string_split_regex(html, '(?i)</p>|<br\\s*/?>'), lambda x: trim(regexp_replace(regexp_replace(x, '<[^>]*>', '', 'g'), '{_SPACES}', ' ', 'g'))), lambda x: length(x) >= 15)) AS INTEGER) AS paragraphs FROM d""")
 def html_texts(spark, sf_dir):
     text = X.html_text(F.col("html"))
     return table(spark, sf_dir, "pages").select("page_id", F.length(text).alias("n_chars"), F.sha2(text, 256).alias("sha"), F.size(X.paragraphs(F.col("html"))).alias("paragraphs"))
@@ -149,26 +174,36 @@ def anchored_rows(spark, sf_dir):
     return in_bands(anchors, cells, ["o_custkey"], "y").select("o_custkey", "cell", F.col("anchor_key").alias("anchor"))
 
 
-def built_edges(spark, sf_dir):
-    """Edges from documents to the benchmark items that they reproduce, and their proofs."""
-    found = carried_share(block_windows(spread(table(spark, sf_dir, "documents")), "doc_id", "text"), block_windows(table(spark, sf_dir, "benchmark"), "item_id", "text", WIDTH, 1), "doc_id", "item_id")
-    found = found.withColumn("proof_id", F.sha2("proof", 256))
-    return found.select("doc_id", "item_id", "proof_id", F.lit("derived").alias("method"), "share"), found.select("proof_id", F.col("proof").alias("window")).distinct()
+_JUDGED = """e AS (SELECT l.doc_id, source, quality, toxic, CASE WHEN quality = 1 THEN 'declared' ELSE 'derived' END AS method, CASE WHEN n_chars >= 200 THEN sha256(text) END AS proof_id, lang FROM labels l JOIN documents USING (doc_id)),
+p AS (SELECT DISTINCT sha256(text) AS proof_id, left(text, 60) AS w FROM documents WHERE lang <> 'es')"""
 
 
-@query("""SELECT 'proof_required' AS rule, 0 AS violations UNION ALL SELECT 'proof_length', 0 UNION ALL SELECT 'proof_exists', 0 UNION ALL SELECT 'unique', 0 UNION ALL SELECT 'fk_doc_id', 0 UNION ALL SELECT 'fk_item_id', 0
-UNION ALL SELECT 'orders_customer', count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)
+@query(f"""WITH {_JUDGED} SELECT 'proof_required' AS rule, count(*) AS violations FROM e WHERE method <> 'declared' AND proof_id IS NULL UNION ALL SELECT 'proof_length', count(*) FROM p WHERE w IS NULL OR length(w) < 60
+UNION ALL SELECT 'proof_exists', count(*) FROM e WHERE proof_id IS NOT NULL AND proof_id NOT IN (SELECT proof_id FROM p WHERE proof_id IS NOT NULL)
+UNION ALL SELECT 'unique', count(*) FROM (SELECT 1 FROM e GROUP BY source, lang, quality HAVING count(*) > 1) AS x UNION ALL SELECT 'fk_doc_id', count(*) FROM e WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE n_chars < 5000)
+UNION ALL SELECT 'target_iff_internal', count(*) FROM e WHERE (source IS NOT NULL AND source <> 'src1') <> coalesce(lang = 'en', false) UNION ALL SELECT 'exactly_one', count(*) FROM e WHERE coalesce(quality = 1, false) = coalesce(toxic = 1, false)
+UNION ALL SELECT 'orders_customer', count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)
 UNION ALL SELECT 'orders_custkey_date_unique', count(*) FROM (SELECT 1 FROM orders GROUP BY o_custkey, o_orderdate HAVING count(*) > 1) AS x
 UNION ALL SELECT 'balance_not_negative', count(*) FROM customer WHERE c_acctbal < 0""")
 def constraints_report(spark, sf_dir):
-    edges, proofs = built_edges(spark, sf_dir)
+    """Rules over edges from judged documents and over the star schema, each with rows that break it."""
     t = lambda n: table(spark, sf_dir, n)
-    report = check_edges(edges, proofs, [("doc_id", t("documents"), "doc_id"), ("item_id", t("benchmark"), "item_id")], ["doc_id", "item_id"])
-    return (
-        report.unionByName(violations("orders_customer", orphans(t("orders"), "o_custkey", t("customer"), "c_custkey")))
-        .unionByName(violations("orders_custkey_date_unique", repeated(t("orders"), ["o_custkey", "o_orderdate"])))
-        .unionByName(violations("balance_not_negative", broken(t("customer"), F.col("c_acctbal") >= 0)))
-    )
+    docs = t("documents").withColumn("sha", F.sha2("text", 256))
+    edges = t("labels").join(docs, "doc_id").select(
+        "doc_id", "source", "lang", "quality", F.when(F.col("quality") == 1, "declared").otherwise("derived").alias("method"), F.when(F.col("n_chars") >= 200, F.col("sha")).alias("proof_id"),
+        F.when(F.col("source") != "src1", F.col("doc_id")).alias("target"), F.when(F.col("lang") == "en", "internal").otherwise("external").alias("scope"),
+        F.when(F.col("quality") == 1, 1).alias("good"), F.when(F.col("toxic") == 1, 1).alias("bad"),
+    )
+    proofs = docs.where("lang <> 'es'").select(F.col("sha").alias("proof_id"), F.substring("text", 1, 60).alias("window")).distinct()
+    rules = [
+        check_edges(edges, proofs, [("doc_id", docs.where("n_chars < 5000"), "doc_id")], ["source", "lang", "quality"]),
+        violations("target_iff_internal", target_iff_internal(edges)),
+        violations("exactly_one", not_exactly_one(edges, "good", "bad")),
+        violations("orders_customer", orphans(t("orders"), "o_custkey", t("customer").where("c_acctbal >= 0"), "c_custkey")),
+        violations("orders_custkey_date_unique", repeated(t("orders"), ["o_custkey", "o_orderdate"])),
+        violations("balance_not_negative", broken(t("customer"), F.col("c_acctbal") >= 0)),
+    ]
+    return reduce(DataFrame.unionByName, rules)
 
 
 @query("""SELECT doc_id, CASE WHEN source = 'src0' THEN '[withheld: src0]' ELSE translate(left(text, 60), chr(9) || chr(10) || chr(13), '   ') END AS body FROM documents""")

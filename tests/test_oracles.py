@@ -22,7 +22,8 @@ def test_same_rows_as_sql(spark, duck, name):
 
 @pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLES)))
 def test_runs(spark, name):
-    assert registry.QUERIES[name](spark, SF).columns
+    found = registry.QUERIES[name](spark, SF)
+    assert len(found.collect()) == found.count()
 
 
 def test_every_oracle_has_a_query():
