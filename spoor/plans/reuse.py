@@ -16,7 +16,7 @@ dw AS (SELECT DISTINCT doc_id, source, substr(text, CAST(pos + 1 AS BIGINT), {WI
 
 def _windows(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     items = block_windows(table(spark, sf_dir, "benchmark"), "item_id", "text", WIDTH, PROBE_STEP)
-    return items, block_windows(spread(table(spark, sf_dir, "documents")), ["doc_id", "source"], "text", WIDTH, INDEX_STEP)
+    return items, block_windows(spread(table(spark, sf_dir, "documents")), ["doc_id", "source"], "text", WIDTH, INDEX_STEP, hashed=True)
 
 
 @query(f"WITH {_WINDOWS} SELECT doc_id, item_id, count(*) AS hits FROM iw JOIN dw USING (w) GROUP BY doc_id, item_id")
@@ -48,9 +48,9 @@ def discriminant_windows(spark, sf_dir):
 )
 def prior_art_guard(spark, sf_dir):
     items, docs = _windows(spark, sf_dir)
-    known = docs.join(items.select(*[c.alias(f"_{k}") for k, c in enumerate(window_key("w"))]).distinct(), (window_key("w")[0] == F.col("_0")) & (window_key("w")[1] == F.col("_1")), "left_semi")
+    known = docs.join(items.select(*window_key("w")).distinct(), ["h1", "h2"], "left_semi")
     # Read twice by the operator, and small beside the windows of all documents.
-    known = written(known.select("doc_id", "source", "w").distinct())
+    known = written(known.select("doc_id", "source", "h1", "h2").distinct())
     return prior_art(known, "doc_id", "doc_id", "source").groupBy("doc_id").agg(F.count("*").alias("fresh"))
 
 
@@ -93,6 +93,6 @@ SELECT CASE WHEN found / windows >= 0.9 THEN 'covered' WHEN found / windows >= 0
 )
 def coverage_partition(spark, sf_dir):
     items = block_windows(table(spark, sf_dir, "benchmark"), "item_id", "text", WIDTH, 1).select("item_id", *window_key("w")).distinct()
-    docs = asked_for(block_windows(spread(table(spark, sf_dir, "documents")), "doc_id", "text", WIDTH, 1).select(*window_key("w"), F.lit(1).alias("there")), items)
+    docs = asked_for(block_windows(spread(table(spark, sf_dir, "documents")), "doc_id", "text", WIDTH, 1, hashed=True).select("h1", "h2", F.lit(1).alias("there")), items)
     share = items.join(docs, ["h1", "h2"], "left").groupBy("item_id").agg((F.count("there") / F.count("*")).alias("share"))
     return share.groupBy(F.when(F.col("share") >= 0.9, "covered").when(F.col("share") >= 0.1, "partly").otherwise("absent").alias("cover")).agg(F.count("*").alias("items"))

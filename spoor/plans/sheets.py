@@ -132,7 +132,7 @@ SELECT *, CASE WHEN items = 0 THEN 0 ELSE round((found / items + 1.96 * 1.96 / (
 def ranking_recall(spark, sf_dir):
     """How often an item's true source is among the three documents that rank highest by rarity, with Wilson's lower bound."""
     items, docs = table(spark, sf_dir, "benchmark"), spread(table(spark, sf_dir, "documents"))
-    truth = carried_share(block_windows(items, "item_id", "text", WIDTH, PROBE_STEP), block_windows(docs, "doc_id", "text"), "item_id", "doc_id").select("item_id", F.col("doc_id").alias("truth"))
+    truth = carried_share(block_windows(items, "item_id", "text", WIDTH, PROBE_STEP), block_windows(docs, "doc_id", "text", hashed=True), "item_id", "doc_id").select("item_id", F.col("doc_id").alias("truth"))
     ranked = rank_units(items, docs, idf(docs, "doc_id", "text"), "item_id", "doc_id", "text", k=3)
     hit = truth.join(ranked, "item_id", "left").groupBy("item_id").agg(F.bool_or(F.col("doc_id") == F.col("truth")).alias("hit"), F.min(F.when(F.col("doc_id") == F.col("truth"), F.col("rank"))).alias("rank"))
     out = hit.agg(F.count("*").alias("items"), F.count_if("hit").alias("found"), F.count_if(F.col("rank") == 1).alias("first"))

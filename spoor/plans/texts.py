@@ -64,7 +64,7 @@ SELECT item_id, doc_id, round(len(list_intersect(x, y)) / len(x), 9) AS share FR
 def trigram_containments(spark, sf_dir):
     """How much of an item's word trigrams its likeliest source holds; sources come from shared windows, not from all pairs."""
     items, docs = table(spark, sf_dir, "benchmark"), spread(table(spark, sf_dir, "documents"))
-    pairs = carried_share(block_windows(items, "item_id", "text", WIDTH, PROBE_STEP), block_windows(docs, "doc_id", "text"), "item_id", "doc_id").select("item_id", "doc_id")
+    pairs = carried_share(block_windows(items, "item_id", "text", WIDTH, PROBE_STEP), block_windows(docs, "doc_id", "text", hashed=True), "item_id", "doc_id").select("item_id", "doc_id")
     both = pairs.join(items.select("item_id", F.col("text").alias("part")), "item_id").join(docs.select("doc_id", "text"), "doc_id")
     share = trigram_containment(F.col("part"), F.col("text"))
     return both.select("item_id", "doc_id", F.round(share, 9).alias("share")).where("share is not null")
