@@ -33,8 +33,32 @@ def events_stream(spark, sf_dir):
     source = _events(spark, sf_dir)
     source.repartition(4, "event_id").write.parquet(f"{folder}/in")
     stream = read_increments(spark, f"{folder}/in", source.schema, files_per_trigger=1)
-    run = apply_increments(stream, f"{folder}/snapshots", f"{folder}/checkpoint", "user_id", ["ts", "event_id"], "event_type = 'error'")
+    run = apply_increments(stream, f"{folder}/snapshots", f"{folder}/checkpoint", "user_id", ["ts", "event_id"])
     run.awaitTermination()
-    last = max(p["batchId"] for p in run.recentProgress if p["numInputRows"] > 0)
-    found = current(spark, f"{folder}/snapshots", last, "event_type = 'error'")
+    batches = [p["batchId"] for p in run.recentProgress if p["numInputRows"] > 0]
+    if not batches:
+        return source.select("user_id", "event_id", "event_type").limit(0)
+    found = current(spark, f"{folder}/snapshots", max(batches), "user_id", ["ts", "event_id"], "event_type = 'error'")
     return written(found.select("user_id", "event_id", "event_type"))
+
+
+@query(
+    """SELECT CAST(date_trunc('hour', ts) AS VARCHAR) AS start, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events
+WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR GROUP BY ALL"""
+)
+def late_events(spark, sf_dir):
+    """Windows of a stream in increments by time, of which the last repeats the oldest events: they come too late and count nowhere.
+
+    A window is given out when the watermark has passed its end, and then only.
+    """
+    folder = f"{shared_dir(spark)}/spoor-stream-{uuid.uuid4().hex}"
+    source = _events(spark, sf_dir)
+    span = source.agg(F.min("ts").alias("low"), F.max("ts").alias("high")).first()
+    if span["low"] is None:
+        return counts_by_window(source, "ts", "event_type").withColumn("start", F.date_format("start", "yyyy-MM-dd HH:mm:ss"))
+    part = F.least(F.lit(2), F.floor(3 * (F.unix_micros("ts") - F.unix_micros(F.lit(span["low"]))) / F.greatest(F.lit(1), F.unix_micros(F.lit(span["high"])) - F.unix_micros(F.lit(span["low"])))))
+    for k in (0, 1, 2, 0):
+        source.where(part == k).write.mode("append").parquet(f"{folder}/in")
+        stream = counts_by_window(spark.readStream.schema(source.schema).parquet(f"{folder}/in"), "ts", "event_type")
+        stream.writeStream.format("parquet").outputMode("append").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{folder}/out").withColumn("start", F.date_format("start", "yyyy-MM-dd HH:mm:ss"))

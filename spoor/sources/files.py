@@ -194,13 +194,21 @@ def pdf_text(spark: SparkSession, folder: str, extract, pattern: str = "*.pdf")
 
 
 def read_act(files: DataFrame) -> DataFrame:
-    """(path, kind, number, text): recitals and articles of a European act by their anchors; an unnumbered recital has none."""
+    """(path, kind, number, text): recitals and articles of a European act by their anchors; an unnumbered recital has none.
+
+    Older layouts have no anchors: their recitals are paragraphs that begin with a number in parentheses or, older still,
+    with the word for "whereas".
+    """
     t = F.col("text")
+    lead = r"^(?:\s|<[^>]*>|&nbsp;)*"
+    every = F.regexp_extract_all(t, F.lit(r"(?s)<p\b[^>]*>(.*?)</p>"), F.lit(1))
+    numbered, plainest = F.filter(every, lambda x: x.rlike(lead + r"\(\d{1,3}\)")), F.filter(every, lambda x: x.rlike(lead + r"(?iu)(?:considérant|whereas)\b"))
     recital = F.regexp_extract_all(t, F.lit(r'(?s)<div[^>]*id="rct_\d+"[^>]*>.*?</div>'), F.lit(0))
+    recital = F.when(F.size(recital) > 0, recital).when(F.size(numbered) > 0, numbered).otherwise(plainest)
     article = F.regexp_extract_all(t, F.lit(r'(?s)<div[^>]*id="art_[^"]+"[^>]*>.*?</div>'), F.lit(0))
     plain = lambda x: collapsed(html_unescape(F.regexp_replace(x, "<[^>]*>", " ")))
     both = files.select("path", F.explode(recital).alias("x"), F.lit("recital").alias("kind")).unionByName(files.select("path", F.explode(article).alias("x"), F.lit("article").alias("kind")))
-    number = F.when(F.col("kind") == "recital", F.regexp_extract("x", r"\((\d+)\)", 1)).otherwise(F.regexp_extract("x", r'id="art_([^"]+)"', 1))
+    number = F.when(F.col("kind") == "recital", F.regexp_extract("x", lead + r"\((\d+)\)", 1)).otherwise(F.regexp_extract("x", r'id="art_([^"]+)"', 1))
     return both.select("path", "kind", F.nullif(number, F.lit("")).alias("number"), plain(F.col("x")).alias("text"))
 
 

@@ -11,9 +11,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; a new local one only where that is unset."""
+    """The folder named in ``spark.checkpoint.dir``; where that is unset a new one on this machine, if Spark runs on it alone."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir is not set: it must name a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="spoor-checkpoint-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder

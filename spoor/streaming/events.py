@@ -1,5 +1,7 @@
 """Streams: increments folded into a snapshot, and windowed aggregates with late data."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -12,29 +14,45 @@ def read_increments(spark: SparkSession, folder: str, schema, files_per_trigger:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(folder)
 
 
-def apply_increments(stream: DataFrame, snapshots: str, checkpoint: str, key: str, order: list[str], is_delete: str, once: bool = True) -> StreamingQuery:
-    """Overlay each batch on the snapshot of the batch before, and write the next one beside it.
+#: Batches after which their changes are folded into a base.
+COMPACT_EVERY = 16
+
+
+def _last(changes: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """The last change of each key. Deleted keys stay as tombstones, so that an older change that arrives late doesn't bring them back."""
+    rest = [c for c in changes.columns if c != key]
+    return changes.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_last")).select(key, "_last.*").select(*changes.columns)
+
+
+def _changes(spark: SparkSession, snapshots: str, version: int, every: int) -> DataFrame:
+    """The last base up to a version and the changes since."""
+    base = (version + 1) // every * every - 1
+    folders = [f"{snapshots}/base-{base}"] * (base >= 0) + [f"{snapshots}/{n}" for n in range(base + 1, version + 1)]
+    return spark.read.parquet(*folders)
+
+
+def apply_increments(stream: DataFrame, snapshots: str, checkpoint: str, key: str, order: list[str], once: bool = True, every: int = COMPACT_EVERY) -> StreamingQuery:
+    """Keep each batch's last change of each key, and fold them all into a base after ``every`` batches.
 
-    A batch reads version n - 1 and writes version n, so that a batch that is run again gives the same table; with
-    nothing new there is no batch. Changes keep their order by ``order`` and not by arrival.
+    Batch n writes folder n and, when its turn comes, base-n, from folders that no longer change; a batch that is run again
+    gives the same. With nothing new there is no batch. Changes keep their order by ``order`` and not by arrival.
     """
 
     def fold(batch: DataFrame, n: int) -> None:
-        spark = batch.sparkSession
-        base = spark.read.schema(batch.schema).parquet(f"{snapshots}/{n - 1}") if n else spark.createDataFrame([], batch.schema)
-        # Deleted keys are kept as tombstones, so that an older change that arrives late doesn't bring them back.
-        every = base.unionByName(batch)
-        rest = [c for c in every.columns if c != key]
-        last = every.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_last")).select(key, "_last.*")
-        last.select(*batch.columns).write.mode("overwrite").parquet(f"{snapshots}/{n}")
+        _last(batch, key, order).write.mode("overwrite").parquet(f"{snapshots}/{n}")
+        if (n + 1) % every == 0:
+            spark = batch.sparkSession
+            since = spark.read.parquet(*[f"{snapshots}/{m}" for m in range(n - every + 1, n + 1)])
+            before = [spark.read.parquet(f"{snapshots}/base-{n - every}")] if n >= every else []
+            _last(reduce(DataFrame.unionByName, [since, *before]), key, order).write.mode("overwrite").parquet(f"{snapshots}/base-{n}")
 
     writer = stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
-def current(spark: SparkSession, snapshots: str, version: int, is_delete: str) -> DataFrame:
-    """The living rows of a snapshot."""
-    return spark.read.parquet(f"{snapshots}/{version}").where(~F.coalesce(F.expr(is_delete), F.lit(False)))
+def current(spark: SparkSession, snapshots: str, version: int, key: str, order: list[str], is_delete: str, every: int = COMPACT_EVERY) -> DataFrame:
+    """The living rows after a batch."""
+    return _last(_changes(spark, snapshots, version, every), key, order).where(~F.coalesce(F.expr(is_delete), F.lit(False)))
 
 
 def counts_by_window(events: DataFrame, time: str, kind: str, width: str = "1 hour", late: str = "2 hours") -> DataFrame:
