@@ -18,8 +18,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Distinct runs of text whose encoding a worker remembers before it starts anew, some 60 MB of them.
-REMEMBERED = 100_000
+#: Distinct runs of text whose encoding a worker remembers before it starts anew, some 120 MB of them.
+REMEMBERED = 200_000
 #: Documents whose ids are in a worker's memory at once.
 SLICE = 128
 
