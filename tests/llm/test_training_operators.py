@@ -219,6 +219,15 @@ def test_urls_on_odd_input(spark):
     assert [v[3] for v in found[7:11]] == ["block", "allow", "block", "allow"]
     assert found[12][:2] == ("b:", "//c/d")
     assert urlfilter.judge(df.limit(0)).count() == 0
+    more = ["http://a/éporn", "http://a/" + "x" * 100_000 + "/porn", "http://a/porn/porn?xxx", "http://a/click?ads&promo&sale", "http://a/click?ads&promo", "http://a/bet?click", "http://a/glücksspiel?bet"]
+    twice = spark.createDataFrame([(k, u, "x") for k, u in enumerate(more * 2)], "page_id long, url string, soft_terms string")
+    found = [(r["verdict"], r["strict_hits"], r["soft_terms"], r["soft_points"]) for r in urlfilter.judge(twice).orderBy("page_id").collect()]
+    assert found[:7] == found[7:] == [("allow", 0, 0, 0), ("block", 1, 0, 0), ("block", 3, 0, 0), ("block", 0, 4, 100), ("allow", 0, 3, 75), ("allow", 0, 2, 75), ("block", 0, 2, 100)]
+
+
+def test_a_vocabulary_is_read(tmp_path):
+    (tmp_path / "v").write_text("# terms\nBad\nso\t50\n\n", encoding="utf-8")
+    assert urlfilter.read_vocabulary(str(tmp_path / "v")) == {"bad": 100, "so": 50}
 
 
 # --- shards

@@ -11,6 +11,18 @@ from spoor.llm import bpe, mixing, queries, secretscan, sharding, simhash, topk
 SMALL = "/root/testdata/sf0.001"
 
 
+def plain_spans(text):
+    from tests.llm.test_training_operators import plain_spans as plain
+
+    return plain(text)
+
+
+def digest(spans):
+    from tests.llm.test_training_operators import digest as plain
+
+    return plain(spans)
+
+
 def least_of_similar(texts, similarity=0.8):
     """The least id of each component of texts whose sets of five-word shingles are as similar, by comparing all pairs."""
     sets = {}
@@ -52,6 +64,25 @@ def test_only_similar_documents_are_dropped(spark):
     assert sorted(kept_of(spark, texts)) == sorted(least_of_similar(texts))
 
 
+def test_crowds_of_documents_that_share_much(spark):
+    """Some hundred that share a passage and stay below 0.8 of each other, and among them some that don't: each link counts."""
+    rng = np.random.default_rng(12)
+    fresh = lambda n: ["".join(rng.choice(list("abcdefgh"), 7)) for _ in range(n)]
+    passage, texts = fresh(300), []
+    for k in range(240):
+        own = fresh(40)
+        texts.append(" ".join(passage + own))
+        if k % 12 == 0:
+            texts.append(" ".join(passage[:295] + own))
+    texts = dict(enumerate(texts))
+    assert sorted(kept_of(spark, texts)) == sorted(least_of_similar(texts))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    sets = simhash.shingle_sets(docs).toArrow().select(["place", "fp", "fp2", "n", "hashes"]).to_pylist()
+    words = spark.createDataFrame([(r["place"], r["fp"], r["fp2"], r["n"], r["place"]) for r in sets], "key long, fp long, fp2 long, n long, root long")
+    found = simhash.candidates(words).collect()
+    assert len(found) <= (simhash.SPARSE + 2) * len(texts) and any(r["block"] is not None for r in found)
+
+
 def test_only_similar_documents_of_the_table_are_dropped(spark):
     t = pq.read_table(f"{SMALL}/documents.parquet")
     texts = dict(zip(t["doc_id"].to_pylist(), t["text"].to_pylist(), strict=True))
@@ -81,6 +112,29 @@ def test_keys_beside_names_paths_prefixes_and_base_spans_are_found(spark):
     assert cleaned[3].startswith("é😀 com/api-") and cleaned[3].endswith(" end") and small not in cleaned[7]
 
 
+def test_long_texts_are_cut_where_no_secret_stands(spark):
+    rng = np.random.default_rng(4)
+    alphabet = list("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnpqrstuvwxyz0123456789")
+    key = lambda n: "".join(rng.choice(alphabet, n))
+    some = ["password = ", "token:  'abcdef1", "é", "😀 ", "word ", "and ", "\n", "AKIA" + "Q7ZK2M9XW4PLR6TB" * 2, "0123456789abcdef" * 3, "api_key", " : ", '"secret"', "=", " ", "a-b_c/d+e", "."]
+    texts = ["".join(rng.choice(some, 20_000)), "".join(s for _ in range(800) for s in (key(40), ", ", "x" * int(rng.integers(1, 30)), " ")), "token=abcdef:" * 3000, key(30_000), "password  =  " + "k" * 9000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r for r in secretscan.scan(docs).collect()}
+    cleaned = {r["doc_id"]: r["text"] for r in secretscan.redact(docs).collect()}
+    names = ["assign", "access", "hex", "random"]
+    for k, text in enumerate(texts):
+        assert found[k]["base_sha256"] == digest(plain_spans(text)), k
+        spans = sorted((int(a), names.index(kind), int(b)) for kind, a, b in (x.split(":") for x in found[k]["spans"].split(",") if x))
+        assert found[k]["spans"] == ",".join(f"{names[r]}:{a}:{b}" for a, r, b in spans)
+        out, at = [], 0
+        for a, _, b in spans:
+            if a >= at:
+                out += [text[at:a], secretscan.REDACTED]
+            at = max(at, b)
+        assert cleaned[k] == "".join(out) + text[at:]
+    assert found[1]["spans"].count("random") > 700
+
+
 # --- mixing
 
 
