@@ -127,6 +127,23 @@ def test_instructions_glyphs_and_classes(spark):
     assert rows(edges.renumbering_classes(pairs, "a", "b")) == [("L1", "L1"), ("L2", "L1"), ("L3", "L1"), ("L8", "L8"), ("L9", "L8")]
 
 
+def test_guards_of_the_passage_edge(spark):
+    text = "".join(chr(97 + i % 23) for i in range(60))
+    probe = spark.createDataFrame([("p1", True, False, None), ("p2", False, True, None), ("p3", False, False, None), ("p4", False, False, "L1")], "passage string, title boolean, old boolean, destination string")
+    probe = probe.withColumns({"dossier": F.lit("d"), "w": F.lit(text)})
+    index = spark.createDataFrame([("s", "L1", "d", text)], "segment string, article string, dossier string, w string")
+    classes = spark.createDataFrame([("L1", "L1")], "number string, class string")
+    found = edges.results_from(probe, index, classes, F.lit(True), [("title_zone", F.col("title"))], F.col("old"))
+    assert {r["passage"]: r["reason"] for r in found.collect()} == {"p1": "title_zone", "p2": "prior_art", "p3": None, "p4": None}
+
+
+def test_content_decides_where_a_number_slid(spark):
+    said = [" ".join(f"w{k}{i}" for i in range(20)) for k in range(4)]
+    versions = spark.createDataFrame([("L1", said[0]), ("L2", said[1]), ("L3", said[2]), ("L4", said[2])], "number string, text string")
+    claims = spark.createDataFrame([("a", "L1", said[0]), ("b", "L1", said[1]), ("c", "L1", said[2]), ("d", "L1", said[3]), ("e", "L9", "few words"), ("f", "L1", None)], "claim string, number string, text string")
+    assert rows(edges.content_checked(claims, versions)) == [("a", "L1", "kept"), ("b", "L2", "moved"), ("c", None, "unresolved"), ("d", None, "unresolved"), ("e", "L9", "short"), ("f", "L1", "short")]
+
+
 # --- joins
 
 
