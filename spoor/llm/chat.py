@@ -8,12 +8,13 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import cache
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spoor.llm.template import compile_template
+from spoor.llm.template import compile_stream, compile_template
 
 #: The template of the query and its control strings.
 TEMPLATE = (
@@ -22,6 +23,8 @@ TEMPLATE = (
     "<|end|>\n{% endfor %}"
 )
 TURN = re.compile(r"<\|turn\|>(.*?)<\|text\|>(.*?)<\|end\|>\n", re.S)
+#: Characters of a piece of a conversation, from which on it is given out at the end of a turn.
+PIECE = 1 << 20
 #: A conversation whose texts are another format's control strings.
 PROBE = ((-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]"))
 
@@ -39,23 +42,20 @@ def renderer(template: str):
     return compile_template(template, {"escape": escape})
 
 
+@cache
+def streamer(template: str):
+    return compile_stream(template, "messages", {"escape": escape})
+
+
 def read_back(formatted: str) -> list[tuple[str, str]]:
     """(role, text) of every turn of a formatted conversation."""
     return [(unescape(r), unescape(t)) for r, t in TURN.findall(formatted)]
 
 
-def _conversations(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, list[dict]]]:
-    """Runs of rows of one conversation, from rows in order; one conversation at a time is in memory."""
-    now, turns = None, []
+def _turns(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, dict]]:
     for batch in batches:
-        for conv, role, text in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-            if turns and conv != now:
-                yield now, turns
-                turns = []
-            now = conv
-            turns.append({"role": role or "", "text": text or ""})
-    if turns:
-        yield now, turns
+        for conv, role, text in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+            yield conv, {"role": role.as_py() or "", "text": text.as_py() or ""}
 
 
 def _in_order(rows: DataFrame) -> DataFrame:
@@ -64,52 +64,74 @@ def _in_order(rows: DataFrame) -> DataFrame:
 
 
 def _batched(rows: Iterator[tuple], schema: pa.Schema, size: int = 1024) -> Iterator[pa.RecordBatch]:
-    held = []
+    """Rows in batches of ``size``, fewer if their texts are long."""
+    held, chars = [], 0
     for row in rows:
         held.append(row)
-        if len(held) == size:
+        chars += sum(len(x) for x in row if isinstance(x, str))
+        if len(held) == size or chars > 4 * PIECE:
             yield pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip(zip(*held, strict=True), schema, strict=True)], schema=schema)
-            held = []
+            held, chars = [], 0
     if held:
         yield pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip(zip(*held, strict=True), schema, strict=True)], schema=schema)
 
 
-def format_conversations(rows: DataFrame, template: str = TEMPLATE) -> DataFrame:
-    """conv_id, formatted and loss_spans (array of start and end, in code points) of every conversation.
+def format_conversations(rows: DataFrame, template: str = TEMPLATE, piece: int = PIECE) -> DataFrame:
+    """conv_id, start, formatted and loss_spans (array of start and end) of every conversation; places in its code points.
 
     Rows go by turn, then role, then text, nulls first; null roles and texts are empty. Rows whose conv_id is null are one
-    conversation. A conversation is one training example, so it is rendered whole, by one task. Other columns are not
-    read; an empty table gives none.
+    conversation. A conversation is one row unless it is long: then it comes in pieces of ``piece`` characters and what ends
+    the turn, of which ``start`` tells the place. One task renders a conversation, turn by turn, and holds a piece of it and not
+    the whole; a template that asks for the messages twice holds them all. Other columns are not read; an empty table gives none.
     """
-    schema = pa.schema([("conv_id", pa.int64()), ("formatted", pa.string()), ("loss_spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
+    schema = pa.schema([("conv_id", pa.int64()), ("start", pa.int64()), ("formatted", pa.string()), ("loss_spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        render = renderer(template)
-        made = ((conv, *render(messages=turns)) for conv, turns in _conversations(batches))
-        yield from _batched(((c, text, [{"start": s, "end": e} for s, e in spans]) for c, text, spans in made), schema)
+        stream = streamer(template)
+        groups = groupby(_turns(batches), key=lambda x: x[0])
+        made = ((conv, *found) for conv, turns in groups for found in stream((t for _, t in turns), piece))
+        yield from _batched(((c, start, text, [{"start": s, "end": e} for s, e in spans]) for c, start, text, spans in made), schema)
 
-    return _in_order(rows).mapInArrow(run, "conv_id long, formatted string, loss_spans array<struct<start:long,end:long>>")
+    return _in_order(rows).mapInArrow(run, "conv_id long, start long, formatted string, loss_spans array<struct<start:long,end:long>>")
 
 
 def digests(formatted: DataFrame) -> DataFrame:
-    """What :func:`format_conversations` gave, read back: n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars."""
+    """What :func:`format_conversations` gave, read back: n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars.
+
+    Pieces are taken in the order in which they were given; a conversation begins where ``start`` is nought.
+    """
     schema = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
 
-    def one(conv: int | None, text: str, spans: list[dict]) -> tuple:
-        turns = read_back(text)
-        said = "".join(f"{role}\n{what}\n" for role, what in turns)
-        loss = "".join(unescape(text[x["start"] : x["end"]]) for x in spans)
-        sha = lambda s: hashlib.sha256(s.encode("utf-8", "surrogatepass")).hexdigest()
-        return conv, len(turns), sha(said), len(loss), sha(loss), len(text)
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in batches:
+            yield from ((conv.as_py(), start.as_py(), text.as_py(), spans.as_py()) for conv, start, text, spans in zip(*batch.columns, strict=True))
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        now = None
+        for conv, start, text, spans in pieces(batches):
+            if start == 0:
+                if now is not None:
+                    yield now[0], now[1], now[2].hexdigest(), now[3], now[4].hexdigest(), now[5]
+                now = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
+            for role, said in read_back(text):
+                now[1] += 1
+                now[2].update(f"{role}\n{said}\n".encode("utf-8", "surrogatepass"))
+            for x in spans:
+                loss = unescape(text[x["start"] - start : x["end"] - start])
+                now[3] += len(loss)
+                now[4].update(loss.encode("utf-8", "surrogatepass"))
+            now[5] += len(text)
+        if now is not None:
+            yield now[0], now[1], now[2].hexdigest(), now[3], now[4].hexdigest(), now[5]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield from _batched((one(*row) for row in zip(*(c.to_pylist() for c in batch.columns), strict=True)), schema)
+        yield from _batched(whole(batches), schema)
 
-    return formatted.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return formatted.select("conv_id", "start", "formatted", "loss_spans").mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
 def with_probe(rows: DataFrame) -> DataFrame:
+    """``rows`` and the probe's; rows that have its id already are of the same conversation."""
     probe = rows.sparkSession.createDataFrame(list(PROBE), "conv_id long, turn long, role string, text string")
     return rows.select("conv_id", "turn", "role", "text").unionByName(probe)
 

@@ -12,7 +12,7 @@ returns the text and the spans of it that stand in generation blocks.
 """
 
 import re
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from typing import Any
 
 TAG = re.compile(r"\{\{(.*?)\}\}|\{%(.*?)%\}", re.S)
@@ -213,66 +213,120 @@ def _value(node: tuple, filters: Mapping[str, Callable[[str], str]]) -> Callable
 
 
 class _Output:
+    """What has been rendered since it was last taken, and how much there was in all."""
+
     def __init__(self):
         self.parts: list[str] = []
-        self.length = 0
+        self.length = self.taken = 0
         self.spans: list[tuple[int, int]] = []
 
     def add(self, text: str) -> None:
         self.parts.append(text)
         self.length += len(text)
 
+    def take(self) -> tuple[int, str, list[tuple[int, int]]]:
+        """(start, text, spans) of what is new."""
+        new = self.taken, "".join(self.parts), self.spans
+        self.parts, self.spans, self.taken = [], [], self.length
+        return new
 
-def _action(node: tuple, filters: Mapping[str, Callable[[str], str]]) -> Callable[[dict, _Output], None]:
-    kind = node[0]
-    if kind == "text":
+
+def _leaf(node: tuple, filters: Mapping[str, Callable[[str], str]]) -> Callable[[dict, _Output], None] | None:
+    """What a node that holds no others does; None of any other."""
+    if node[0] == "text":
         return lambda scope, out, x=node[1]: out.add(x)
-    if kind == "out":
+    if node[0] == "out":
         value = _value(node[1], filters)
         return lambda scope, out: out.add(_text(value(scope)))
+    return None
+
+
+def _action(node: tuple, filters: Mapping[str, Callable[[str], str]]) -> Callable[[dict, _Output], Iterator[None]]:
+    """A closure that renders a node and rests after each turn of a loop, so that what there is can be taken."""
+    kind = node[0]
+    if (leaf := _leaf(node, filters)) is not None:
+
+        def once(scope: dict, out: _Output) -> Iterator[None]:
+            leaf(scope, out)
+            return iter(())
+
+        return once
     if kind == "block":
-        steps = [_action(x, filters) for x in node[1]]
+        steps = [(leaf, None) if (leaf := _leaf(x, filters)) is not None else (None, _action(x, filters)) for x in node[1]]
 
-        def block(scope: dict, out: _Output) -> None:
-            for step in steps:
-                step(scope, out)
+        def block(scope: dict, out: _Output) -> Iterator[None]:
+            for leaf, step in steps:
+                if leaf is not None:
+                    leaf(scope, out)
+                else:
+                    yield from step(scope, out)
 
         return block
     if kind == "for":
         name, items, body = node[1], _value(node[2], filters), _action(node[3], filters)
 
-        def loop(scope: dict, out: _Output) -> None:
+        def loop(scope: dict, out: _Output) -> Iterator[None]:
             for x in items(scope) or ():
-                body({**scope, name: x}, out)
+                yield from body({**scope, name: x}, out)
+                yield
 
         return loop
     if kind == "if":
         arms = [(_value(c, filters), _action(b, filters)) for c, b in node[1]]
 
-        def choose(scope: dict, out: _Output) -> None:
+        def choose(scope: dict, out: _Output) -> Iterator[None]:
             for condition, body in arms:
                 if condition(scope):
-                    return body(scope, out)
+                    yield from body(scope, out)
+                    return
 
         return choose
     body = _action(node[1], filters)
 
-    def generation(scope: dict, out: _Output) -> None:
+    def generation(scope: dict, out: _Output) -> Iterator[None]:
         began = out.length
-        body(scope, out)
+        for _ in body(scope, out):
+            pass  # a marked stretch is never parted
         out.spans.append((began, out.length))
+        return iter(())
 
     return generation
 
 
+def _uses(node: Any, name: str) -> int:
+    """How often an expression of the tree asks for a name."""
+    if isinstance(node, tuple) and node[:1] == ("name",):
+        return int(node[1] == name)
+    return sum(_uses(x, name) for x in node) if isinstance(node, (tuple, list)) else 0
+
+
 def compile_template(source: str, filters: Mapping[str, Callable[[str], str]] | None = None) -> Callable[..., tuple[str, list[tuple[int, int]]]]:
     """A function of the template's names that gives the text and its generation spans, in code points, ends excluded."""
-    filters = filters or {}
-    run = _action(fold(parse(source), filters), filters)
+    run = _action(fold(parse(source), filters or {}), filters or {})
 
     def render(**names: Any) -> tuple[str, list[tuple[int, int]]]:
         out = _Output()
-        run(names, out)
-        return "".join(out.parts), out.spans
+        for _ in run(names, out):
+            pass
+        return out.take()[1:]
 
     return render
+
+
+def compile_stream(source: str, name: str, filters: Mapping[str, Callable[[str], str]] | None = None) -> Callable[[Iterable, int], Iterator[tuple[int, str, list[tuple[int, int]]]]]:
+    """A function of the items of one name that gives (start, text, spans) piece by piece, as soon as a piece has so many characters.
+
+    Items may come from an iterator; a template that asks for the name more than once gets them as a list.
+    """
+    tree = fold(parse(source), filters or {})
+    run, again = _action(tree, filters or {}), _uses(tree, name) > 1
+
+    def stream(items: Iterable, piece: int) -> Iterator[tuple[int, str, list[tuple[int, int]]]]:
+        out = _Output()
+        for _ in run({name: list(items) if again else items}, out):
+            if out.length - out.taken >= piece:
+                yield out.take()
+        if out.length > out.taken or not out.length:
+            yield out.take()
+
+    return stream

@@ -6,7 +6,7 @@ import pyarrow.parquet as pq
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from spoor.llm import bpe, mixing, queries, secretscan, sharding, simhash, topk
+from spoor.llm import bpe, chat, mixing, queries, secretscan, sharding, simhash, topk
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -186,6 +186,20 @@ def test_a_word_of_any_length_is_encoded(spark):
         assert own.encode(word) == lib.encode(word, add_special_tokens=False).ids
 
 
+# --- chat
+
+
+def test_a_long_conversation_comes_in_pieces(spark):
+    rows = [(1, k, "assistant" if k % 2 else "user", f"<|end|> {k} " + "é" * 50) for k in range(200)] + [(2, 0, "user", "x" * 5000), (2, 1, "assistant", None), (None, 0, "user", "a"), (3, 0, None, None)]
+    df = spark.createDataFrame([(*r, "z") for r in rows], "conv_id long, turn long, role string, text string, start string")
+    whole, parted = chat.format_conversations(df), chat.format_conversations(df, piece=500)
+    assert whole.count() == 4 and parted.where("conv_id = 1").count() > 10
+    assert sorted(map(tuple, chat.digests(whole).collect()), key=repr) == sorted(map(tuple, chat.digests(parted).collect()), key=repr)
+    one = whole.where("conv_id = 1").first()
+    pieces = sorted(map(tuple, parted.where("conv_id = 1").collect()), key=lambda r: r[1])
+    assert "".join(r[2] for r in pieces) == one["formatted"] and [x for r in pieces for x in r[3]] == one["loss_spans"]
+
+
 # --- search
 
 
