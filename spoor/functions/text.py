@@ -67,11 +67,15 @@ def words(text: Column) -> Column:
 
 
 def word_trigrams(text: Column) -> Column:
-    """Distinct runs of three words, joined by spaces; none if there are fewer."""
-    w = words(text)
-    return F.when(F.size(w) < 3, F.array().cast("array<string>")).otherwise(
-        F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - 2, F.lit(1))), lambda i: F.array_join(F.slice(w, i, 3), " ")))
-    )
+    """Distinct runs of three words, joined by spaces; none if there are fewer, or no text."""
+    none = F.array().cast("array<string>")
+
+    def runs(w: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(w) - 2, F.lit(1)))
+        return F.when(F.coalesce(F.size(w), F.lit(0)) < 3, none).otherwise(F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(w, i, 3), " "))))
+
+    # The words once a text, through an array of one: what a lambda names, it computes for each element.
+    return F.get(F.transform(F.array(words(text)), runs), F.lit(0))
 
 
 def folded(text: Column) -> Column:
