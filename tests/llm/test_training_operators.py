@@ -89,7 +89,7 @@ def test_links_span_every_component(spark, seeds, flips):
             x = up[x]
         return x
 
-    for r in simhash.links(df, tiles=3).collect():
+    for r in simhash.links(df, most=3).collect():
         a, b = r["a"] % 2**64, r["b"] % 2**64
         assert (a ^ b).bit_count() <= 64
         up[find(a)] = find(b)
