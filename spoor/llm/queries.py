@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from spoor.llm import bpe, chat, langid, mixing, quality, secretscan, sharding, simhash, topk, urlfilter
+from spoor.llm import audit, bpe, centroids, chat, langid, mixing, ngrams, quality, secretscan, sharding, simhash, topk, urlfilter
 from spoor.llm.common import table
 from spoor.sources.tables import spread
 
@@ -56,5 +56,23 @@ def op10_secrets(spark, sf_dir):
     return secretscan.scan(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_bpe, op3_language, op4_url_filter, op5_sharding, op6_chat, op7_mixing, op8_top_k, op9_quality, op10_secrets)}
-ORACLES = {"op4_url_filter": urlfilter.oracle(), "op5_sharding": sharding.oracle(), "op6_chat": chat.oracle(), "op7_mixing": mixing.oracle(), "op8_top_k": topk.oracle()}
+def op11_centroids(spark, sf_dir):
+    return centroids.cluster(spread(table(spark, sf_dir, "embeddings")))
+
+
+def op12_audit(spark, sf_dir):
+    return audit.audit(_documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+def op13_language_model(spark, sf_dir):
+    return ngrams.score(_documents(spark, sf_dir))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_simhash, op2_bpe, op3_language, op4_url_filter, op5_sharding, op6_chat, op7_mixing, op8_top_k, op9_quality, op10_secrets, op11_centroids, op12_audit, op13_language_model)
+}
+ORACLES = {
+    "op4_url_filter": urlfilter.oracle(), "op5_sharding": sharding.oracle(), "op6_chat": chat.oracle(), "op7_mixing": mixing.oracle(), "op8_top_k": topk.oracle(),
+    "op11_centroids": centroids.oracle(), "op12_audit": audit.oracle(), "op13_language_model": ngrams.oracle(),
+}
