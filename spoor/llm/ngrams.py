@@ -19,8 +19,8 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import pyarrow.fs
-import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,13 +34,9 @@ HELD_OUT = 10
 #: Added to every count by the base score.
 ADDED = 0.1
 #: Bytes of text whose n-grams make a shard; bytes of text that are scored or counted at once; n-grams a task holds unsent.
-SHARD, PIECE, HELD = 16 << 20, 4 << 20, 1 << 20
+SHARD, PIECE, HELD = 16 << 20, 2 << 20, 1 << 20
 #: Words with more than this share of a shard's tokens are hot, and their followers go to all shards: fewer than HOT words.
 HOT_SHARE, HOT = 4, 1 << 16
-#: Words that a worker remembers the hashes of.
-REMEMBERED = 1 << 19
-#: What stands for the start and the end of a text: no word holds a blank.
-START, END = b" ", b"\n"
 #: Discounts where a level has too few n-grams to tell, and how near they may come to nought and to the count.
 DISCOUNTS, LEAST = (0.5, 1.0, 1.5), 0.1
 #: Columns of a level's rows: adjusted count; as a context: followed how often, and by how many words of count 1, 2 and more.
@@ -49,17 +45,68 @@ VALUES = ("a", "total", "n1", "n2", "n3")
 SPREAD, STIR = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
-class Hashes(dict):
-    """Hash of a word, remembered."""
+def stirred(h: np.ndarray) -> np.ndarray:
+    """All bits of 64-bit numbers mixed, one to one."""
+    h = (h ^ (h >> np.uint64(30))) * STIR
+    h = (h ^ (h >> np.uint64(27))) * SPREAD
+    return h ^ (h >> np.uint64(31))
 
-    def __missing__(self, word: bytes) -> int:
-        self[word] = h = xxhash.xxh64_intdigest(word)
-        return h
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > REMEMBERED:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    """(a 64-bit number for each byte, the same for A-Z and a-z; whether a byte is a blank)."""
+    numbers, blank = stirred(np.arange(1, 257, dtype=np.uint64) * SPREAD), np.zeros(256, bool)
+    numbers[65:91] = numbers[97:123]
+    blank[[32, *range(9, 14)]] = True
+    return numbers, blank
+
+
+BYTES, BLANK = _tables()
+#: What stands for the start and the end of a text: numbers that a word has by chance only.
+START, END = stirred(np.array([1, 2], np.uint64))
+
+
+class Words:
+    """Hashes of the words of many texts: each byte's number times a power of its place, summed over the word, and stirred."""
+
+    def __init__(self):
+        self.powers = self.inverse = np.ones(1, np.uint64)
+
+    def _powers(self, n: int) -> None:
+        if n >= len(self.powers):
+            size, back = max(n + 1, 1 << 16), np.uint64(pow(int(SPREAD), -1, 1 << 64))
+            self.powers, self.inverse = (np.cumprod(np.concatenate([[np.uint64(1)], np.full(size, x, np.uint64)])) for x in (SPREAD, back))
+
+    def _hashes(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hashes of raw[start:end], which lie in order; worked through in runs of some PIECE bytes."""
+        out, low = np.zeros(len(starts), np.uint64), 0
+        while low < len(starts):
+            base = int(starts[low])
+            high = max(low + 1, int(np.searchsorted(ends, base + PIECE, "right")))
+            size = int(ends[high - 1]) - base
+            self._powers(size)
+            sums = np.zeros(size + 1, np.uint64)
+            np.cumsum(BYTES[raw[base : base + size]] * self.powers[:size], out=sums[1:])
+            a, b = starts[low:high] - base, ends[low:high] - base
+            out[low:high] = stirred((sums[b] - sums[a]) * self.inverse[a] + (b - a).astype(np.uint64))
+            low = high
+        return out
+
+    def symbols(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, words and end of every text in turn, as hashes; each one's place in its text; where texts begin)."""
+        offsets = np.frombuffer(texts.buffers()[1], np.int32 if pa.types.is_binary(texts.type) else np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+        offsets = offsets.astype(np.int64) - offsets[0]
+        inside = ~BLANK[raw]
+        cut = np.zeros(len(raw) + 1, bool)
+        cut[offsets] = True
+        starts = np.nonzero(inside & (np.concatenate([[True], ~inside[:-1]]) | cut[:-1]))[0] if len(raw) else np.zeros(0, np.int64)
+        ends = np.nonzero(inside & (np.concatenate([~inside[1:], [True]]) | cut[1:]))[0] + 1 if len(raw) else np.zeros(0, np.int64)
+        first = np.searchsorted(starts, offsets)  # words before each text
+        begins = first + 2 * np.arange(len(texts) + 1)
+        stream = np.empty(begins[-1], np.uint64)
+        stream[begins[:-1]], stream[begins[1:] - 1] = START, END
+        stream[np.arange(len(starts)) + 2 * np.repeat(np.arange(len(texts)), np.diff(first)) + 1] = self._hashes(raw, starts, ends)
+        return stream, np.arange(len(stream)) - np.repeat(begins[:-1], np.diff(begins)), begins
 
 
 def keys(grams: np.ndarray) -> np.ndarray:
@@ -71,13 +118,19 @@ def keys(grams: np.ndarray) -> np.ndarray:
     return h
 
 
+def runs(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order that sorts the hashes, where runs of equal ones begin in it)."""
+    order = np.argsort(h)
+    held = h[order]
+    return order, np.nonzero(np.concatenate([[True], held[1:] != held[:-1]]))[0] if len(h) else np.zeros(0, np.int64)
+
+
 def summed(grams: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(keys, grams, values) with equal rows added up, in the order of their keys."""
     h = keys(grams)
-    order = np.argsort(h, kind="stable")
-    h = h[order]
-    starts = np.nonzero(np.concatenate([[True], h[1:] != h[:-1]]))[0] if len(h) else np.zeros(0, np.int64)
-    return h[starts], grams[order[starts]], np.add.reduceat(values[order], starts, axis=0) if len(h) else values
+    order, starts = runs(h)
+    first = order[starts]
+    return h[first], grams[first], np.add.reduceat(values[order], starts, axis=0) if len(h) else values
 
 
 def shards(grams: np.ndarray, n: int, hot: np.ndarray) -> np.ndarray:
@@ -93,7 +146,7 @@ def shards(grams: np.ndarray, n: int, hot: np.ndarray) -> np.ndarray:
 def packed(grams: np.ndarray, values: np.ndarray) -> bytes:
     """Rows as bytes: each column as the sorted list of what occurs in it, as differences, and places in that list."""
     parts = [np.array([*grams.shape, values.shape[1]], np.int64).tobytes()]
-    for column in grams[np.lexsort(grams.T[::-1])].T if values.shape[1] == 0 else grams.T:
+    for column in grams.T:
         known, place = np.unique(column, return_inverse=True)
         parts += [np.array([len(known)], np.int64).tobytes(), np.diff(known, prepend=np.uint64(0)).tobytes(), np.ascontiguousarray(place.astype(np.uint32).view(np.uint8).reshape(-1, 4).T).tobytes()]
     parts.append(np.ascontiguousarray(values.astype(np.int64).T.copy().view(np.uint8).reshape(-1, 8).T).tobytes())
@@ -117,7 +170,8 @@ def unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
 def dealt(grams: np.ndarray, values: np.ndarray, n: int, hot: np.ndarray) -> Iterator[tuple[int, bytes]]:
     """(shard, packed rows)."""
     shard = shards(grams, n, hot)
-    order = np.lexsort((*grams.T[::-1], shard))
+    room = np.uint64(max(n - 1, 1).bit_length())
+    order = np.argsort((shard.astype(np.uint64) << (np.uint64(64) - room)) | (grams[:, 0] >> room))  # equal first words side by side
     shard, grams, values = shard[order], grams[order], values[order]
     edges = np.searchsorted(shard, np.arange(n + 1)) if n < len(shard) else np.concatenate([np.nonzero(np.diff(shard, prepend=-1))[0], [len(shard)]])
     for low, high in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
@@ -153,27 +207,11 @@ class Held:
 
 def pieces(texts: pa.Array) -> Iterator[tuple[int, int]]:
     """Runs of texts of PIECE bytes or one text."""
-    start, size = 0, 0
-    for i, text in enumerate(texts):
-        length = len(text.as_buffer())
-        if i > start and size + length > PIECE:
-            yield start, i
-            start, size = i, 0
-        size += length
-    if start < len(texts):
-        yield start, len(texts)
-
-
-def symbols(texts: list[bytes], hashes: Hashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hashes of start, words and end of every text in turn; each one's place in its text; where texts begin)."""
-    words: list[bytes] = []
-    begins = np.zeros(len(texts) + 1, np.int64)
-    for i, text in enumerate(texts, 1):
-        words.append(START)
-        words += text.lower().split()
-        words.append(END)
-        begins[i] = len(words)
-    return hashes.of(words), np.arange(len(words)) - np.repeat(begins[:-1], np.diff(begins)), begins
+    sizes, start = np.cumsum([0, *pa.compute.binary_length(texts).to_pylist()]), 0
+    while start < len(texts):
+        end = max(start + 1, int(np.searchsorted(sizes, sizes[start] + PIECE, "right")) - 1)
+        yield start, end
+        start = end
 
 
 def windows(stream: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
@@ -228,8 +266,12 @@ class Shelf:
 
     def find(self, grams: np.ndarray, names: tuple[str, ...], n: int, hot: np.ndarray) -> list[np.ndarray]:
         """The named columns for each n-gram; nought where it isn't held."""
-        h, first, place = np.unique(keys(grams), return_index=True, return_inverse=True)
-        shard, out = shards(grams[first], n, hot), [np.zeros(len(h), np.int64) for _ in names]
+        h = keys(grams)
+        order, starts = runs(h)
+        first = order[starts]
+        place = np.empty(len(h), np.int64)
+        place[order] = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(h)))
+        h, shard, out = h[first], shards(grams[first], n, hot), [np.zeros(len(starts), np.int64) for _ in names]
         order = np.argsort(shard, kind="stable")
         for part in np.split(order, np.nonzero(np.diff(shard[order]))[0] + 1) if len(order) else []:
             if (held := self.shard(int(shard[part[0]]))) is not None:
@@ -255,11 +297,11 @@ def _counted(texts: DataFrame, taken: Callable[[np.ndarray, np.ndarray], dict[in
     """Packed counts of the n-grams that ``taken`` picks from symbols and their places, by level."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, held = Hashes(), {}
+        words, held = Words(), {}
         send = lambda level: _batch([(level, shard, blob) for shard, blob in dealt(*held[level].take(), n, hot)])
         for batch in batches:
             for low, high in pieces(batch.column(0)):
-                stream, place, _ = symbols(batch.column(0).slice(low, high - low).to_pylist(), hashes)
+                stream, place, _ = words.symbols(batch.column(0).slice(low, high - low))
                 for level, grams in taken(stream, place).items():
                     if len(grams) and held.setdefault(level, Held(grams.shape[1])).add(grams):
                         yield send(level)
@@ -299,7 +341,7 @@ def _level(packed_rows: DataFrame, level: int, order: int, folder: str, n: int,
             before[:, 0] = 1
             after = np.stack([np.zeros(len(a), np.int64), a, a == 1, a == 2, a > 2], axis=1).astype(np.int64)
             # An n-gram that a text begins with has nothing before it: its own count stands, as it came from the texts.
-            inner = grams[:, 1] != Hashes()[START]
+            inner = grams[:, 1] != START
             _, below, sums = summed(np.concatenate([grams[inner, 1:], grams[:, :-1]]), np.concatenate([before[inner], after]))
             made = [(level - 1, shard, blob) for shard, blob in dealt(below, sums, n, hot)]
         return pa.Table.from_batches([_batch(made)])
@@ -414,25 +456,29 @@ class Scorer:
         self.model, self.words = model, Shelf(f"{model.folder}/0")
         self.levels = [Shelf(f"{model.folder}/{k}") for k in range(1, model.order + 1)]
 
-    def counts(self, words: np.ndarray) -> np.ndarray:
-        return self.words.find(words[:, None], ("c",), self.model.shards, np.zeros(0, np.uint64))[0]
-
-    def chances(self, stream: np.ndarray, place: np.ndarray) -> np.ndarray:
-        """Chance of every symbol but the starts, given up to order - 1 before it."""
+    def chances(self, stream: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(count, chance given up to order - 1 symbols before it) of every symbol but the starts; words are looked up once each."""
         m, at = self.model, np.nonzero(place > 0)[0]
-        p = np.full(len(at), 1 / (m.types + 1))
+        words, which = np.unique(stream, return_inverse=True)
+        (c,) = self.words.find(words[:, None], ("c",), m.shards, np.zeros(0, np.uint64))
+        names = VALUES if m.order > 1 else VALUES[:1]
+        a, *follow = self.levels[0].find(words[:, None], names, m.shards, m.hot)
+        p = np.full(len(words), 1 / (m.types + 1))
         if m.empty[0]:
-            (a,) = self.levels[0].find(stream[at][:, None], ("a",), m.shards, m.hot)
             p = m.discounted(1, a) / m.empty[0] + m.left(1, m.empty[1:]) / m.empty[0] * p
+        p = p[which[at]]
         for level in range(2, m.order + 1):
             long = np.nonzero(place[at] >= level - 1)[0]
             grams = windows(stream, at[long], level)
-            total, *follow = self.levels[level - 2].find(grams[:, :-1], VALUES[1:], m.shards, m.hot)
+            if level == 2:
+                total, left = (x[which[at[long] - 1]] for x in (follow[0], m.left(2, tuple(follow[1:]))))
+            else:
+                total, *after = self.levels[level - 2].find(grams[:, :-1], VALUES[1:], m.shards, m.hot)
+                left = m.left(level, tuple(after))
             (a,) = self.levels[level - 1].find(grams, ("a",), m.shards, m.hot)
             known = total > 0
-            left = m.left(level, tuple(c[known] for c in follow))
-            p[long[known]] = (m.discounted(level, a[known]) + left * p[long[known]]) / total[known]
-        return p
+            p[long[known]] = (m.discounted(level, a[known]) + left[known] * p[long[known]]) / total[known]
+        return c[which[at]], p
 
 
 SCORED = "n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double"
@@ -453,12 +499,12 @@ def score(docs: DataFrame, order: int = ORDER, id_col: str = "doc_id", text_col:
     base = model.tokens + ADDED * (model.types + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, scorer = Hashes(), Scorer(model)
+        words, scorer = Words(), Scorer(model)
         for batch in batches:
             for low, high in pieces(batch.column(2)):
-                stream, place, begins = symbols(batch.column(2).slice(low, high - low).to_pylist(), hashes)
-                c, logs = scorer.counts(stream[place > 0]), np.log10(scorer.chances(stream, place))
-                plain = np.log10((c + ADDED) / base)
+                stream, place, begins = words.symbols(batch.column(2).slice(low, high - low))
+                c, p = scorer.chances(stream, place)
+                plain, logs = np.log10((c + ADDED) / base), np.log10(p)
                 ends = begins - np.arange(len(begins))
                 lengths = np.diff(ends)
                 known = np.add.reduceat(c > 0, ends[:-1], dtype=np.int64)

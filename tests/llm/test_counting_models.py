@@ -8,6 +8,7 @@ from itertools import permutations
 
 import numpy as np
 import oracle
+import pyarrow as pa
 import pytest
 
 from spoor.llm import audit, centroids, ngrams, queries
@@ -239,7 +240,22 @@ def test_packed_rows_come_back():
 
 
 def test_hot_words_send_their_followers_to_all_shards():
-    hot, other = ngrams.Hashes()[b"the"], ngrams.Hashes()[b"rare"]
+    hot, other = np.uint64(12345), np.uint64(54321)
     grams = np.stack([np.array([hot, other], np.uint64).repeat(100), np.arange(200, dtype=np.uint64)], axis=1)
     where = ngrams.shards(grams, 16, np.array([hot], np.uint64))
     assert len(set(where[:100])) > 8 and len(set(where[100:])) == 1
+
+
+def test_words_are_told_apart(monkeypatch):
+    texts = [b"", b" ", b"one", b"One TWO\x0bthree\x85\tfour ", b"\xc3\x89A b", b"x" * 300 + b" one", b"two one"]
+    for piece in (ngrams.PIECE, 8):
+        monkeypatch.setattr(ngrams, "PIECE", piece)
+        for column in (pa.array([b"ab", *texts], pa.binary()).slice(1), pa.array(texts, pa.large_binary())):
+            stream, place, begins = ngrams.Words().symbols(column)
+            words = [w for t in texts for w in (b" start", *t.lower().split(), b" end")]
+            assert len(stream) == len(words) and len(set(stream.tolist())) == len(set(words)) == len(set(zip(stream.tolist(), words, strict=True)))
+            assert begins.tolist() == [i for i, w in enumerate(words) if w == b" start"] + [len(words)]
+            assert place.tolist() == [i - max(b for b in begins.tolist() if b <= i) for i in range(len(words))]
+    rng = np.random.default_rng(3)
+    many = {bytes(rng.integers(97, 100, int(rng.integers(1, 12))).astype(np.uint8)) for _ in range(50_000)} | {b"%d" % i for i in range(50_000)}
+    assert len(set(ngrams.Words().symbols(pa.array([b" ".join(many)], pa.binary()))[0].tolist())) == len(many) + 2
