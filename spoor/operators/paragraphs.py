@@ -78,6 +78,12 @@ def _lines(body: Column, offset: Column) -> Column:
     return F.filter(each, lambda x: x["line"].rlike(r"[^\s\u00A0\u202F]"))
 
 
+def lines(articles: DataFrame, body: str = "body", offset: str = "offset") -> DataFrame:
+    """(text, article, line, start, end) of every line that isn't blank."""
+    each = articles.select("text", "article", F.explode(_lines(F.coalesce(F.col(body), F.lit("")), F.coalesce(F.col(offset), F.lit(0)))).alias("x"))
+    return each.select("text", "article", "x.line", "x.start", "x.end")
+
+
 _PARAGRAPH = "array<struct<number:int,start:int,end:int,opening:string>>"
 
 

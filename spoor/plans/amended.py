@@ -53,11 +53,11 @@ def articles(lines: DataFrame) -> DataFrame:
 
 
 def amendments(lines: DataFrame) -> DataFrame:
-    """(amendment, text, declared, subdivision, dispositif): one for each line, of a form that its supplier decides."""
-    form, d = (F.col("l_suppkey") % 16).cast("int"), F.col("dotted")
+    """(amendment, text, declared, subdivision, dispositif): one for each line, of a form that its part decides."""
+    form, d = (F.col("l_partkey") % 16).cast("int"), F.col("dotted")
     rank, number = F.col("rank"), lambda shift: (F.col("rank") + shift).cast("string")
     told = (
-        F.when(form == 0, F.concat(F.lit("Alinéa "), number(F.when(F.col("l_partkey") % 5 == 0, 1).otherwise(0)), F.lit("\nRédiger ainsi cet alinéa :\n« Art. "), d, F.lit(". – Autrement. »")))
+        F.when(form == 0, F.concat(F.lit("Alinéa "), number(F.when(F.col("l_suppkey") % 5 == 0, 1).otherwise(0)), F.lit("\nRédiger ainsi cet alinéa :\n« Art. "), d, F.lit(". – Autrement. »")))
         .when(form == 3, F.concat(F.lit("Après l'alinéa "), number(0), F.lit(", insérer un alinéa ainsi rédigé :\n« Art. "), d, F.lit("-1. – De plus. »")))
         .when(form.isin(4, 5), F.concat(F.lit("Alinéas "), F.greatest(rank - 1, F.lit(1)).cast("string"), F.lit(" et "), number(0), F.lit("\nSupprimer ces alinéas.")))
         .when(form == 6, F.lit("Compléter cet article par un alinéa ainsi rédigé : « Il en est de même. »"))
@@ -105,7 +105,7 @@ s AS (SELECT *, CASE WHEN num IS NULL OR num <> k THEN 'out_of_turn' WHEN under
 a AS (SELECT text, bool_or(k = 0 AND NOT status) AS above FROM w WHERE has GROUP BY text),
 f AS (SELECT text, min(k) FILTER (trouble IS NOT NULL) AS stop, arg_min(trouble, k) FILTER (trouble IS NOT NULL) AS why FROM s GROUP BY text),
 p AS MATERIALIZED (SELECT text, mode, number, start, fin, line FROM c UNION ALL SELECT s.text, 'printed', s.k, w.start, w.fin, w.line FROM s JOIN a USING (text) JOIN f USING (text) JOIN w ON w.text = s.text AND w.i = s.first WHERE NOT above AND (stop IS NULL OR s.k < stop)),
-m AS (SELECT text, rank, l_suppkey % 16 AS form, rank + CASE WHEN l_partkey % 5 = 0 THEN 1 ELSE 0 END AS says, 'Art. ' || dotted AS heads FROM x WHERE l_suppkey % 16 = 0),
+m AS (SELECT text, rank, l_partkey % 16 AS form, rank + CASE WHEN l_suppkey % 5 = 0 THEN 1 ELSE 0 END AS says, 'Art. ' || dotted AS heads FROM x WHERE l_partkey % 16 = 0),
 h AS MATERIALIZED (SELECT m.text, m.rank, EXISTS (SELECT 1 FROM p WHERE p.text = m.text AND p.number = m.says AND starts_with(p.line, '« ' || heads)) AS confirmed FROM m)"""
 
 
@@ -140,8 +140,8 @@ def paragraph_readings(spark, sf_dir):
 
 
 #: Of a text, what its quoted articles make it change: with an item that was returned and is done, something outside the code too.
-_COVERED = "cov AS (SELECT DISTINCT text, CASE WHEN l_returnflag = 'A' THEN replace(dotted, 'L. ', 'L') END AS target FROM x WHERE l_returnflag = 'A' OR (l_returnflag = 'R' AND l_linestatus = 'O') OR (l_returnflag = 'N' AND l_suppkey % 7 = 0))"
-_MARKS = "mk AS (SELECT text, bool_or(l_suppkey % 11 = 0) AS other_norm, bool_or(l_suppkey % 13 = 0) AS hidden FROM x GROUP BY text)"
+_COVERED = "cov AS (SELECT DISTINCT text, CASE WHEN l_returnflag = 'A' THEN replace(dotted, 'L. ', 'L') END AS target FROM x WHERE l_returnflag = 'A' OR (l_returnflag = 'R' AND l_linestatus = 'O') OR (l_returnflag = 'N' AND l_partkey % 7 = 0))"
+_MARKS = "mk AS (SELECT text, bool_or(l_partkey % 11 = 0) AS other_norm, bool_or(l_partkey % 13 = 0) AS hidden FROM x GROUP BY text)"
 
 
 @query(
@@ -150,16 +150,16 @@ ren AS (SELECT DISTINCT * FROM (SELECT replace(replace(dotted, 'L. ', 'L'), '-',
 up(seed, node) AS (SELECT DISTINCT target, target FROM cov WHERE target IS NOT NULL UNION SELECT seed, old FROM up JOIN ren ON node = new),
 dn(seed, node) AS (SELECT DISTINCT target, target FROM cov WHERE target IS NOT NULL UNION SELECT seed, new FROM dn JOIN ren ON node = old),
 ch AS MATERIALIZED (SELECT * FROM up UNION SELECT * FROM dn),
-am AS (SELECT text, rank, l_suppkey % 16 AS form, replace(dotted, 'L. ', 'L') AS plain, CASE WHEN l_suppkey % 16 IN (1, 15) THEN replace(dotted, 'L. ', 'L') WHEN l_suppkey % 16 = 2 THEN replace(replace(dotted, 'L. ', 'L'), '-', '-9') END AS declared, l_partkey % 5 = 0 AS shifted FROM x),
-ct AS (SELECT text, count(target) AS n_targets, bool_or(target IS NULL) AS outside, min(target) AS only FROM cov GROUP BY text),
-ins AS (SELECT p.text, p.start, CASE WHEN x.l_returnflag = 'A' THEN replace(x.dotted, 'L. ', 'L') END AS target, CASE WHEN x.l_returnflag = 'A' THEN 'internal' WHEN x.l_suppkey % 7 = 0 THEN 'external' END AS scope
-  FROM (SELECT b.text, l.rank, l.l_returnflag, l.l_suppkey, l.dotted, l.line FROM b JOIN l USING (text)) x JOIN (SELECT u.*, row_number() OVER (PARTITION BY text ORDER BY i) AS r FROM u WHERE line[1] <> '(' AND ascii(line) < 57344 AND line NOT IN ('une fin d''article', 'une ligne de plus', 'Chapitre II', '')) AS p ON p.text = x.text AND p.line = x.line
-  WHERE x.l_returnflag = 'A' OR x.l_suppkey % 7 = 0),
+am AS (SELECT text, rank, l_partkey % 16 AS form, replace(dotted, 'L. ', 'L') AS plain, CASE WHEN l_partkey % 16 IN (1, 15) THEN replace(dotted, 'L. ', 'L') WHEN l_partkey % 16 = 2 THEN replace(replace(dotted, 'L. ', 'L'), '-', '-9') END AS declared, l_suppkey % 5 = 0 AS shifted FROM x),
+ct AS (SELECT text, count(target) AS n_targets, bool_or(target IS NULL) AS outside, min(target) AS sole FROM cov GROUP BY text),
+ins AS (SELECT p.text, p.start, CASE WHEN x.l_returnflag = 'A' THEN replace(x.dotted, 'L. ', 'L') END AS target, CASE WHEN x.l_returnflag = 'A' THEN 'internal' WHEN x.l_partkey % 7 = 0 THEN 'external' END AS scope
+  FROM (SELECT b.text, l.rank, l.l_returnflag, l.l_partkey, l.dotted, l.line FROM b JOIN l USING (text)) x JOIN (SELECT u.*, row_number() OVER (PARTITION BY text ORDER BY i) AS r FROM u WHERE line[1] <> '(' AND ascii(line) < 57344 AND line NOT IN ('une fin d''article', 'une ligne de plus', 'Chapitre II', '')) AS p ON p.text = x.text AND p.line = x.line
+  WHERE x.l_returnflag = 'A' OR x.l_partkey % 7 = 0),
 gv AS MATERIALIZED (SELECT p.text, p.number, (SELECT arg_max({{'t': ins.target, 's': ins.scope}}, ins.start) FROM ins WHERE ins.text = p.text AND ins.start <= p.fin) AS g, p.line[1:9] = '« SECTION' AS division FROM p),
 nm AS (SELECT am.*, CASE WHEN form IN (4, 5) AND rank > 1 THEN [rank - 1, rank] WHEN form IN (4, 5) THEN [1, 1] WHEN form = 0 THEN [rank + CASE WHEN shifted THEN 1 ELSE 0 END] WHEN form = 3 THEN [rank] END AS named FROM am),
 ev AS (SELECT nm.text, nm.rank, t.i, CASE WHEN gv.text IS NULL OR division OR g.s IS NULL THEN 'unreadable' WHEN g.s <> 'internal' THEN 'outside' ELSE 'target' END AS status, g.t AS target FROM nm, LATERAL (SELECT unnest(named) AS number, unnest(range(len(named))) AS i) AS t LEFT JOIN gv ON gv.text = nm.text AND gv.number = t.number),
 pr AS (SELECT text, rank, arg_min(status, i) FILTER (status <> 'target') AS trouble, list_sort(list_distinct(list(target) FILTER (status = 'target'))) AS governed FROM ev GROUP BY text, rank),
-fx AS (SELECT nm.*, ct.n_targets, ct.outside, ct.only, pr.trouble, pr.governed, mk.other_norm, mk.hidden, text IN (SELECT text FROM h WHERE NOT confirmed) AS unfit,
+fx AS (SELECT nm.*, ct.n_targets, ct.outside, ct.sole, pr.trouble, pr.governed, mk.other_norm, mk.hidden, text IN (SELECT text FROM h WHERE NOT confirmed) AS unfit,
   (SELECT list(target) FROM cov WHERE cov.text = nm.text AND cov.target = nm.declared) AS exact, (SELECT list(DISTINCT cov.target) FROM cov JOIN ch ON ch.seed = cov.target WHERE cov.text = nm.text AND ch.node = nm.declared) AS chained,
   EXISTS (SELECT 1 FROM cov JOIN ch ON ch.seed = cov.target WHERE cov.text = nm.text AND ch.node = nm.plain) AS near FROM nm LEFT JOIN ct USING (text) LEFT JOIN pr USING (text, rank) LEFT JOIN mk USING (text)),
 rs AS (SELECT *, CASE WHEN form = 12 THEN 'additional_article' WHEN form = 13 THEN 'unreadable_subdivision' WHEN form = 14 OR coalesce(n_targets, 0) = 0 THEN 'nothing_covered'
@@ -167,7 +167,7 @@ rs AS (SELECT *, CASE WHEN form = 12 THEN 'additional_article' WHEN form = 13 TH
   WHEN named IS NOT NULL THEN CASE WHEN unfit THEN 'numbering_contradicted' WHEN form = 3 THEN 'inserts_instruction' WHEN trouble = 'unreadable' THEN 'unreadable_paragraph' WHEN trouble = 'outside' THEN 'outside_code' END
   WHEN form = 6 THEN 'appends' WHEN n_targets + CASE WHEN outside THEN 1 ELSE 0 END > 1 THEN 'several_targets' WHEN other_norm OR form = 8 THEN 'other_norm' WHEN hidden THEN 'hidden_paragraph' WHEN form = 7 AND NOT near THEN 'neighbour_rewritten' END AS reason FROM fx),
 ot AS (SELECT reason, CASE WHEN reason IS NULL THEN CASE WHEN declared IS NOT NULL THEN CASE WHEN len(exact) = 1 THEN 'named' ELSE 'named_before_or_after' END WHEN named IS NOT NULL THEN 'paragraph' WHEN form IN (7, 9, 10) THEN 'whole' ELSE 'whole_by_default' END END AS route,
-  CASE WHEN reason IS NOT NULL THEN 1 WHEN declared IS NULL AND named IS NOT NULL THEN len(governed) ELSE 1 END AS rows, CASE WHEN reason IS NOT NULL THEN NULL WHEN declared IS NOT NULL THEN CASE WHEN len(exact) = 1 THEN exact[1] ELSE chained[1] END WHEN named IS NOT NULL THEN governed[1] ELSE only END AS target FROM rs)
+  CASE WHEN reason IS NOT NULL THEN 1 WHEN declared IS NULL AND named IS NOT NULL THEN len(governed) ELSE 1 END AS rows, CASE WHEN reason IS NOT NULL THEN NULL WHEN declared IS NOT NULL THEN CASE WHEN len(exact) = 1 THEN exact[1] ELSE chained[1] END WHEN named IS NOT NULL THEN governed[1] ELSE sole END AS target FROM rs)
 SELECT coalesce(route, 'none') AS route, coalesce(reason, 'kept') AS reason, CAST(sum(rows) AS BIGINT) AS n, min(target) AS least FROM ot GROUP BY 1, 2"""
 )
 def amendments_filed(spark, sf_dir):
@@ -177,16 +177,14 @@ def amendments_filed(spark, sf_dir):
     asked = written(filing.proposals(amendments(lines)).withColumnRenamed("amendment", "proposal"))
     checked = paragraphs.anchors(asked.where("article is not null and not additional").withColumnRenamed("proposal", "amendment"), read)
     plain = F.replace(F.col("dotted"), F.lit("L. "), F.lit("L"))
-    is_article, elsewhere = F.col("l_returnflag") == "A", F.col("l_suppkey") % 7 == 0
+    is_article, elsewhere = F.col("l_returnflag") == "A", F.col("l_partkey") % 7 == 0
     outside = ((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "O")) | ((F.col("l_returnflag") == "N") & elsewhere)
     covered = lines.where(is_article | outside).select("text", F.lit("1").alias("article"), F.when(is_article, plain).alias("target")).distinct()
     found = paragraphs.paragraph_numbers(read)
-    # Instructions stand where their lines do: a line is met again among the paragraphs' lines by what it says.
-    bodies = articles(lines).select("text", "article", F.col("body"))
-    where = bodies.join(lines.where(is_article | elsewhere).withColumn("says", F.col("line")), "text")
-    instructions = where.select("text", "article", (F.instr("body", F.col("says")) - 1).alias("start"), F.when(is_article, plain).alias("target"), F.when(is_article, "internal").when(elsewhere, "external").alias("scope"))
+    acts = lines.where(is_article | elsewhere).select("text", "line", F.when(is_article, plain).alias("target"), F.when(is_article, "internal").otherwise("external").alias("scope")).distinct()
+    instructions = paragraphs.lines(articles(lines)).join(acts, ["text", "line"])
     divisions = read.select("text", "article", F.explode("paragraphs").alias("p")).where(F.col("p.opening").startswith("section")).select("text", "article", "p.start")
-    marks = lines.groupBy("text").agg(F.max(F.col("l_suppkey") % 11 == 0).alias("other_norm"), F.max(F.col("l_suppkey") % 13 == 0).alias("hidden")).withColumn("article", F.lit("1"))
+    marks = lines.groupBy("text").agg(F.max(F.col("l_partkey") % 11 == 0).alias("other_norm"), F.max(F.col("l_partkey") % 13 == 0).alias("hidden")).withColumn("article", F.lit("1"))
     unfit = checked.where("not confirmed")
     aliases = chain(renumberings(lines), "new", "old", covered.where("target is not null").select("target"))
     out = filing.filings(asked, covered, aliases, paragraphs.governed(found, instructions, divisions), unfit, marks)
