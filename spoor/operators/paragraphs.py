@@ -25,7 +25,7 @@ HEAD = (
 PRINTED = rf"^{SPACE}*[\x{{E000}}-\x{{F8FF}}]{{1,3}}{SPACE}*$"
 QUOTED, BRACKETED = rf"^{SPACE}*[«“]", rf"^{SPACE}*\["
 #: An amendment that writes a paragraph anew and says which: its number, and the head of an article after the opening quote.
-ANCHOR = r"(?isu)^\s*(?:I\.\s*[–-]\s*)?alin[ée]a\s+(\d{1,3})\s*(?:,\s*[^R]{0,40})?\s*r[ée]diger ainsi cet alin[ée]a\s*:?\s*[«“]\s*(art\.?\s*[LRD]\.?\s*\d+(?:[-‑]\d+)+)"
+ANCHOR = r"(?isu)^\s*(?:I\.\s*[–-]\s*)?alin[ée]a\s+(\d{1,3})\s*(?:,[^«“]{0,40}?)?\s*:?\s*r[ée]diger ainsi cet alin[ée]a\s*:?\s*[«“]\s*(art\.?\s*[LRD]\.?\s*\d+(?:[-‑]\d+)+)"
 #: Characters of a paragraph's head that anchors are compared with.
 OPENING = 40
 
