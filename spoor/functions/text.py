@@ -84,10 +84,13 @@ def folded(text: Column) -> Column:
 
 
 def terms(text: Column, stopwords: tuple[str, ...] = (), least: int = 4) -> Column:
-    """Lower-case unaccented terms of ``least`` letters and digits or more; a plural s goes beyond five letters, not from ss."""
+    """Lower-case unaccented terms of ``least`` letters and digits or more; a plural s goes beyond five letters, not from ss.
+
+    A term goes if it is among ``stopwords``, as it stands or without its s.
+    """
+    without = lambda terms: F.filter(terms, lambda t: ~t.isin(*stopwords)) if stopwords else terms
     found = F.regexp_extract_all(folded(F.lower(text)), F.lit("[a-z0-9]{%d,}" % least), F.lit(0))
-    kept = F.filter(found, lambda t: ~t.isin(*stopwords)) if stopwords else found
-    return F.transform(kept, lambda t: F.when((F.length(t) > 5) & t.endswith("s") & ~t.endswith("ss"), F.substring(t, F.lit(1), F.length(t) - 1)).otherwise(t))
+    return without(F.transform(without(found), lambda t: F.when((F.length(t) > 5) & t.endswith("s") & ~t.endswith("ss"), F.substring(t, F.lit(1), F.length(t) - 1)).otherwise(t)))
 
 
 #: Members of a block of :func:`running_ends`.
@@ -186,21 +189,25 @@ def paragraph_list(label: Column, most: int = 200) -> Column:
     return F.when(label.rlike(span), ranged).otherwise(listed)
 
 
+#: Years that an act can be of: the first treaty came into force in the first of them.
+ACT_YEARS = (1952, 2100)
+
+
 def celex(kind: Column, marked: Column, first: Column, second: Column) -> Column:
     """The identifier of a European act from the two numbers of its citation; null where their order can't be told.
 
-    Directives and decisions cite the year first. So do regulations from 2015 on; before, they cite the number first, and
-    with the number mark always do. A year of two digits is of the last century.
+    Directives cite the year first, one of two digits being of the last century. Of regulations and decisions the number that can
+    be a year is the year; if both can, it is the second where the number mark stands before them, else the first. An act whose
+    year is none or whose number has more than four digits is none.
     """
     letter = F.when(kind == "regulation", "R").when(kind == "directive", "L").when(kind == "decision", "D")
-    year_like = lambda x: ((x >= 1952) & (x <= 2100)) | ((x >= 52) & (x <= 99))
-    first_is_year = F.when(kind != "regulation", F.when(year_like(first), True)).when(marked, F.when(year_like(second), False)).when(
-        year_like(first) & ((first >= 2015) | ~year_like(second)), True
-    ).when(year_like(second) & ~year_like(first), False)
+    is_year = lambda x: x.between(*ACT_YEARS)
+    first_is_year = F.when(kind == "directive", True).when(is_year(first) & is_year(second), ~F.coalesce(marked, F.lit(False))).when(is_year(second), False).when(is_year(first), True)
     year = F.when(first_is_year, first).when(~first_is_year, second)
     number = F.when(first_is_year, second).when(~first_is_year, first)
     year = F.when(year < 100, year + 1900).otherwise(year)
-    return F.concat(F.lit("3"), F.lpad(year.cast("string"), 4, "0"), letter, F.lpad(number.cast("string"), 4, "0"))
+    found = F.concat(F.lit("3"), F.lpad(year.cast("string"), 4, "0"), letter, F.lpad(number.cast("string"), 4, "0"))
+    return F.when(is_year(year) & number.between(1, 9999), found)
 
 
 def unique_position(text: Column, fragment: Column) -> Column:

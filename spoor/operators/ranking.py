@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spoor.functions.text import terms
+from spoor.sources.tables import written
 
 #: Width of a ranking window and passages shown; least shared terms; weight of a rare term; slack around sentence ends.
 WINDOW, SHOWN, MIN_TERMS, RARE, SLACK = 400, 3, 2, math.log(200), 140
@@ -39,25 +40,43 @@ def windows(docs: DataFrame, id_col: str, text_col: str, size: int = WINDOW) ->
     return docs.where(F.length(text_col) > 0).select(id_col, F.col(text_col).alias("_t"), F.explode(starts).alias("start")).select(id_col, "start", F.substring("_t", F.col("start") + 1, F.lit(size)).alias("w"))
 
 
+#: A sentence or clause ends with one of these and white space; characters in which a word begins, if no sentence does.
+STOP, WORD_REACH = r"[.;:!?]\s", 40
+
+
 def reframed(docs: DataFrame, hits: DataFrame, id_col: str, text_col: str, size: int = WINDOW, slack: int = SLACK) -> DataFrame:
-    """``hits`` (id, start) plus begin, end and passage: the window moved to the nearest sentence start and end within ``slack``."""
+    """``hits`` (id, start) plus begin, end, clean_begin, clean_end and passage: the window moved to where sentences begin and end.
+
+    A window begins after the last sentence end of the ``slack`` before it, else after the first within as much behind its start,
+    else at the next word. It is as long as before at most and ends with the last sentence end in its last ``slack`` characters,
+    else before its last word. The text's own ends are clean, as are sentences'; an ellipsis stands where one isn't.
+    """
     joined = hits.join(docs.select(id_col, F.col(text_col).alias("_t")), id_col)
-    head = F.substring("_t", F.greatest(F.lit(0), F.col("start") - slack) + 1, F.least(F.lit(slack), F.col("start")))
-    # The last sentence end within the slack before the window, and the first one after it.
-    back = F.length(F.regexp_extract(head, r"(?s)[.!?\n]\s*([^.!?\n]*)\z", 1))
-    begin = F.when(F.col("start") == 0, 0).when(head.rlike(r"[.!?\n]"), F.col("start") - back).otherwise(F.col("start"))
-    stop = F.least(F.col("start") + size, F.length("_t"))
-    tail = F.substring("_t", stop + 1, F.lit(slack))
-    end = stop + F.length(F.regexp_extract(tail, r"(?s)^[^.!?\n]*[.!?\n]", 0))
-    return joined.withColumns({"begin": begin.cast("int"), "end": end.cast("int")}).withColumn("passage", F.trim(F.substring("_t", F.col("begin") + 1, F.col("end") - F.col("begin")))).drop("_t")
+    part = lambda start, stop: F.substring("_t", start + 1, F.greatest(stop - start, F.lit(0)))
+    extent = lambda text, pattern, group=0: F.length(F.regexp_extract(text, pattern, group))
+    start, total = F.col("start"), F.length("_t")
+    low, stop = F.greatest(F.lit(0), start - slack), F.least(start + size, total)
+    back, ahead = extent(part(low, start), f"(?s)^.*{STOP}"), extent(part(start, F.least(start + slack, stop)), f"(?s)^.*?{STOP}")
+    word = F.instr(part(start, F.least(start + WORD_REACH, stop)), F.lit(" "))
+    begin = F.when(start == 0, 0).when(back > 0, low + back).when(ahead > 0, start + ahead).otherwise(start + word)
+    framed = joined.withColumns({"begin": begin.cast("int"), "clean_begin": (start == 0) | (back > 0) | (ahead > 0)})
+    whole = F.least(F.col("begin") + size, total)
+    late = F.greatest(F.col("begin"), whole - slack)
+    last, gap = extent(part(late, whole), f"(?s)^(.*{STOP[:-2]})\\s", 1), extent(part(F.col("begin"), whole), "(?s)^(.*) ", 1)
+    end = F.when(whole == total, whole).when(last > 0, late + last).when(gap > 0, F.col("begin") + gap).otherwise(whole)
+    framed = framed.withColumns({"end": end.cast("int"), "clean_end": (whole == total) | (last > 0)})
+    dots = lambda clean: F.when(F.col(clean), "").otherwise("…")
+    body = F.trim(F.regexp_replace(part(F.col("begin"), F.col("end")), r"\s+", " "))
+    return framed.withColumn("passage", F.concat(dots("clean_begin"), body, dots("clean_end"))).drop("_t")
 
 
 def disjoint_top(scored: DataFrame, keys: list[str], size: int = WINDOW, k: int = SHOWN) -> DataFrame:
     """Greedily the best windows of each key by score, then start, of which no two overlap, with their ``rank``.
 
-    ``k`` rounds of an aggregate and a filter, so that a key's windows need not meet in one task's memory.
+    ``k`` rounds of an aggregate and a filter, so that a key's windows need not meet in one task's memory. The scores are written
+    once, as each round reads what the ones before left.
     """
-    left, out = scored, None
+    left, out = written(scored), None
     for rank in range(1, k + 1):
         best = left.groupBy(*keys).agg(F.max(F.struct("score", (-F.col("start")).alias("s"))).alias("_b")).select(*keys, F.col("_b.score").alias("score"), (-F.col("_b.s")).alias("start"))
         out = best.withColumn("rank", F.lit(rank)) if out is None else out.unionByName(best.withColumn("rank", F.lit(rank)))

@@ -19,7 +19,7 @@ def sections(headers: DataFrame, key: str, start: str, total: str, name: str, mi
 
 def segments(rows: DataFrame, id_col: str, text_col: str, least: int = 15, separator: int = 1) -> DataFrame:
     """(id, ordinal, segment, start, end): lines of ``least`` characters or more, with offsets into the lines joined again."""
-    kept = F.filter(F.transform(F.split(text_col, "\n"), F.trim), lambda x: F.length(x) >= least)
+    kept = F.filter(F.transform(F.split(text_col, "\n"), lambda x: F.trim(x)), lambda x: F.length(x) >= least)
     each = rows.select(id_col, F.posexplode(kept).alias("ordinal", "segment"))
     before = Window.partitionBy(id_col).orderBy("ordinal").rowsBetween(Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum(F.length("segment") + separator).over(before), F.lit(0))

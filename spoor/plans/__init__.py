@@ -1,5 +1,5 @@
 """Queries over the test tables, one or more for each operator, with the DuckDB SQL that gives the same rows."""
 
-from spoor.plans import amended, derivation, evidence, graph, prose, relational, reuse, sheets, streams, temporal, texts
+from spoor.plans import amended, derivation, evidence, graph, prose, relational, reported, reuse, sheets, streams, temporal, texts
 
-MODULES = (amended, reuse, temporal, graph, relational, texts, prose, sheets, streams, evidence, derivation)
+MODULES = (amended, reported, reuse, temporal, graph, relational, texts, prose, sheets, streams, evidence, derivation)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from spoor.functions import text as X
 from spoor.operators.constraints import broken, check_edges, not_exactly_one, orphans, repeated, target_iff_internal, violations
 from spoor.operators.edges import content_checked
-from spoor.operators.ranking import SLACK, WINDOW, idf, rank_units, rank_windows, reframed
+from spoor.operators.ranking import SLACK, WINDOW, WORD_REACH, idf, rank_units, rank_windows, reframed
 from spoor.operators.sections import consecutive, first_of, in_bands, sections, segments
 from spoor.operators.shingles import PROBE_STEP, WIDTH, block_windows, carried_share
 from spoor.operators.similarity import best_of, long_words, similarity_join, trigram_containment, unique_winner
@@ -124,10 +124,15 @@ w AS (SELECT doc_id, CAST(start AS INTEGER) AS start, substr(text, start + 1, {W
 u AS (SELECT doc_id, start, unnest({_sql_terms("w")}) AS term FROM w), q AS (SELECT item_id, unnest({_sql_terms("text")}) AS term FROM benchmark),
 s AS (SELECT item_id, doc_id, start, round(CAST(sum(CAST(weight AS DECIMAL(20, 10))) AS DOUBLE), 6) AS score FROM q JOIN c USING (term) JOIN u USING (term) GROUP BY ALL HAVING count(*) >= 2),
 {", ".join(_sql_round(k) for k in (1, 2, 3))}, r AS (SELECT * FROM b1 UNION ALL SELECT * FROM b2 UNION ALL SELECT * FROM b3),
-h AS (SELECT r.*, text, substr(text, greatest(0, start - {SLACK}) + 1, least({SLACK}, start)) AS head, least(start + {WINDOW}, length(text)) AS stop FROM r JOIN documents USING (doc_id)),
-f AS (SELECT *, CAST(CASE WHEN start = 0 THEN 0 WHEN regexp_matches(head, '[.!?\\n]') THEN start - length(regexp_extract(head, '(?s)[.!?\\n]\\s*([^.!?\\n]*)$', 1)) ELSE start END AS INTEGER) AS "begin",
-  CAST(stop + length(regexp_extract(substr(text, stop + 1, {SLACK}), '(?s)^[^.!?\\n]*[.!?\\n]', 0)) AS INTEGER) AS "end" FROM h)
-SELECT item_id, doc_id, CAST(rank AS INTEGER) AS rank, start, score, "begin", "end", trim(substr(text, "begin" + 1, "end" - "begin")) AS passage FROM f""")
+h AS (SELECT r.*, text, length(text) AS total, greatest(0, start - {SLACK}) AS low, least(start + {WINDOW}, length(text)) AS stop FROM r JOIN documents USING (doc_id)),
+g AS (SELECT *, length(regexp_extract(substr(text, low + 1, start - low), '(?s)^.*[.;:!?]\\s')) AS back, length(regexp_extract(substr(text, start + 1, least(start + {SLACK}, stop) - start), '(?s)^.*?[.;:!?]\\s')) AS ahead,
+  instr(substr(text, start + 1, least(start + {WORD_REACH}, stop) - start), ' ') AS word FROM h),
+f AS (SELECT *, CASE WHEN start = 0 THEN 0 WHEN back > 0 THEN low + back WHEN ahead > 0 THEN start + ahead ELSE start + word END AS "begin", start = 0 OR back > 0 OR ahead > 0 AS clean_begin FROM g),
+e AS (SELECT *, least("begin" + {WINDOW}, total) AS whole, greatest("begin", least("begin" + {WINDOW}, total) - {SLACK}) AS late FROM f),
+d AS (SELECT *, length(regexp_extract(substr(text, late + 1, whole - late), '(?s)^(.*[.;:!?])\\s', 1)) AS last, length(regexp_extract(substr(text, "begin" + 1, whole - "begin"), '(?s)^(.*) ', 1)) AS gap FROM e),
+p AS (SELECT *, CASE WHEN whole = total THEN whole WHEN last > 0 THEN late + last WHEN gap > 0 THEN "begin" + gap ELSE whole END AS "end", whole = total OR last > 0 AS clean_end FROM d)
+SELECT item_id, doc_id, CAST(rank AS INTEGER) AS rank, start, score, CAST("begin" AS INTEGER) AS "begin", CAST("end" AS INTEGER) AS "end",
+  CASE WHEN clean_begin THEN '' ELSE '…' END || trim(regexp_replace(substr(text, CAST("begin" + 1 AS BIGINT), CAST("end" - "begin" AS BIGINT)), '\\s+', ' ', 'g')) || CASE WHEN clean_end THEN '' ELSE '…' END AS passage FROM p""")
 def idf_rank_windows(spark, sf_dir):
     """The three best disjoint windows of each benchmark item in each document, framed by sentence ends."""
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
