@@ -46,7 +46,7 @@ def test_sections_of_a_study(spark):
     state, more = "1. Diagnostic\n" + LONG + "\n", LONG + "\n"
     text = (
         "Article 1er : Objet ........ 3\nArticle 2 : Autre ........ 9\nAvant\nArticle 1 er : Objet\n" + state + "Article 1er : Objet\n" + more + "Article 2 – Autre\n" + more + "ARTICLE 3 : Options\nOptions possibles\n" + more
-        + "Article 4 : Court\nObjectifs poursuivis\nArticle 5 (définitions)\n" + more + "Article premier : Encore\n" + state
+        + "Article 4 : Court\nObjectifs poursuivis\nArticle 6 : Annexe\nArticle 5 (définitions)\n" + more + "Article premier : Encore\n" + state
     )
     rows = reports.study_sections(spark.createDataFrame([("d", text), ("e", None), ("f", "rien")], "document string, text string")).orderBy("start").collect()
     assert [r["article"] for r in rows] == ["1er", "3", "1er"]
