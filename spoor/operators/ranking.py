@@ -2,7 +2,7 @@
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spoor.functions.text import terms
@@ -12,6 +12,11 @@ from spoor.sources.tables import written
 WINDOW, SHOWN, MIN_TERMS, RARE, SLACK = 400, 3, 2, math.log(200), 140
 
 
+def _score(weight: Column) -> Column:
+    """The sum of weights, the same in whatever order: they are added as whole numbers of the tenth decimal."""
+    return F.round(F.sum(F.round(weight * 1e10).cast("long")) / 1e10, 6).alias("score")
+
+
 def idf(docs: DataFrame, id_col: str, text_col: str, stopwords: tuple[str, ...] = ()) -> DataFrame:
     """(term, df, weight) with weight ln(N / df) over all documents."""
     each = docs.select(id_col, F.explode(F.array_distinct(terms(F.col(text_col), stopwords))).alias("term"))
@@ -26,7 +31,7 @@ def rank_units(
     own = queries.select(F.col(query_id), F.explode(F.array_distinct(terms(F.col(text_col), stopwords))).alias("term")).join(weights, "term")
     held = units.select(F.col(unit_id), F.explode(F.array_distinct(terms(F.col(text_col), stopwords))).alias("term"))
     scored = own.join(held, "term").groupBy(query_id, unit_id).agg(
-        F.round(F.sum(F.col("weight").cast("decimal(20,10)")).cast("double"), 6).alias("score"), F.count("*").alias("shared"), F.count_if(F.col("weight") >= rare).alias("rare")
+        _score(F.col("weight")), F.count("*").alias("shared"), F.count_if(F.col("weight") >= rare).alias("rare")
     )
     order = Window.partitionBy(query_id).orderBy(F.col("score").desc(), F.col(unit_id))
     kept = scored.where((F.col("shared") >= min_terms) & (F.col("rare") >= min_rare)).withColumn("rank", F.row_number().over(order))
@@ -51,10 +56,13 @@ def reframed(docs: DataFrame, hits: DataFrame, id_col: str, text_col: str, size:
     else at the next word. It is as long as before at most and ends with the last sentence end in its last ``slack`` characters,
     else before its last word. The text's own ends are clean, as are sentences'; an ellipsis stands where one isn't.
     """
-    joined = hits.join(docs.select(id_col, F.col(text_col).alias("_t")), id_col)
-    part = lambda start, stop: F.substring("_t", start + 1, F.greatest(stop - start, F.lit(0)))
+    # What a window can reach is cut out of its text once; a long text is not gone through for every place in it.
+    base = F.greatest(F.lit(0), F.col("start") - slack)
+    near = F.substring("_t", base + 1, F.lit(size + 2 * slack))
+    joined = hits.join(docs.select(id_col, F.col(text_col).alias("_t"), F.length(text_col).alias("_total")), id_col).withColumns({"_near": near, "_base": base}).drop("_t")
+    part = lambda start, stop: F.substring("_near", start - F.col("_base") + 1, F.greatest(stop - start, F.lit(0)))
     extent = lambda text, pattern, group=0: F.length(F.regexp_extract(text, pattern, group))
-    start, total = F.col("start"), F.length("_t")
+    start, total = F.col("start"), F.col("_total")
     low, stop = F.greatest(F.lit(0), start - slack), F.least(start + size, total)
     back, ahead = extent(part(low, start), f"(?s)^.*{STOP}"), extent(part(start, F.least(start + slack, stop)), f"(?s)^.*?{STOP}")
     word = F.instr(part(start, F.least(start + WORD_REACH, stop)), F.lit(" "))
@@ -67,7 +75,7 @@ def reframed(docs: DataFrame, hits: DataFrame, id_col: str, text_col: str, size:
     framed = framed.withColumns({"end": end.cast("int"), "clean_end": (whole == total) | (last > 0)})
     dots = lambda clean: F.when(F.col(clean), "").otherwise("…")
     body = F.trim(F.regexp_replace(part(F.col("begin"), F.col("end")), r"\s+", " "))
-    return framed.withColumn("passage", F.concat(dots("clean_begin"), body, dots("clean_end"))).drop("_t")
+    return framed.withColumn("passage", F.concat(dots("clean_begin"), body, dots("clean_end"))).drop("_near", "_base", "_total")
 
 
 def disjoint_top(scored: DataFrame, keys: list[str], size: int = WINDOW, k: int = SHOWN) -> DataFrame:
@@ -88,8 +96,12 @@ def disjoint_top(scored: DataFrame, keys: list[str], size: int = WINDOW, k: int
 def rank_windows(
     queries: DataFrame, docs: DataFrame, weights: DataFrame, query_id: str, doc_id: str, text_col: str, size: int = WINDOW, k: int = SHOWN, min_terms: int = MIN_TERMS, stopwords: tuple[str, ...] = ()
 ) -> DataFrame:
-    """(query, doc, start, score, rank): the k best disjoint windows of a query in each document."""
-    own = queries.select(query_id, F.explode(F.array_distinct(terms(F.col(text_col), stopwords))).alias("term")).join(weights, "term")
+    """(query, doc, start, score, rank): the k best disjoint windows of a query in each document.
+
+    The queries' weighted terms are written first, so that Spark knows their size: if they are few, windows meet them where they
+    are read, and no term of a window that nobody asks for is shuffled.
+    """
+    own = written(queries.select(query_id, F.explode(F.array_distinct(terms(F.col(text_col), stopwords))).alias("term")).join(weights, "term"))
     held = windows(docs, doc_id, text_col, size).select(doc_id, "start", F.explode(F.array_distinct(terms(F.col("w"), stopwords))).alias("term"))
-    scored = own.join(held, "term").groupBy(query_id, doc_id, "start").agg(F.round(F.sum(F.col("weight").cast("decimal(20,10)")).cast("double"), 6).alias("score"), F.count("*").alias("shared"))
+    scored = own.join(held, "term").groupBy(query_id, doc_id, "start").agg(_score(F.col("weight")), F.count("*").alias("shared"))
     return disjoint_top(scored.where(F.col("shared") >= min_terms).drop("shared"), [query_id, doc_id], size, k)
