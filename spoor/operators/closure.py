@@ -96,3 +96,21 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         least = _least_neighbour(down)
         hooks = down.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = written(hooks.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+
+
+def spread_marks(edges: DataFrame, seeds: DataFrame) -> DataFrame:
+    """(node, marks): for every node the bits of all marks that reach it along edges (src, dst) from ``seeds`` (node, marks).
+
+    The sum over a node's ancestors without the pairs: a node goes on only with bits that it didn't have, so that a bit passes an
+    edge once, cycles end, and there is at most a row for each node and bit. A seed may repeat; one without bits marks nothing.
+    """
+    hops = written(edges.select("src", "dst").where("src is not null and dst is not null").distinct())
+    new = written(seeds.where("node is not null").groupBy("node").agg(F.bit_or("marks").alias("marks")).where("marks <> 0"))
+    rounds = [new]
+    while not new.isEmpty():
+        sent = new.join(hops, F.col("node") == F.col("src")).groupBy(F.col("dst").alias("node")).agg(F.bit_or("marks").alias("marks"))
+        known = reduce(DataFrame.unionByName, rounds).groupBy("node").agg(F.bit_or("marks").alias("_known"))
+        fresh = F.col("marks").bitwiseAND(F.bitwise_not(F.coalesce("_known", F.lit(0))))
+        new = written(sent.join(known, "node", "left").select("node", fresh.alias("marks")).where("marks <> 0"))
+        rounds.append(new)
+    return reduce(DataFrame.unionByName, rounds).groupBy("node").agg(F.bit_or("marks").alias("marks"))
