@@ -1,5 +1,7 @@
 """Change data: compaction of ordered changes, snapshot differences, double publications."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,3 +50,45 @@ def replay(verdicts: DataFrame, edges: DataFrame, key: str) -> DataFrame:
     there = F.col("_now").isNotNull()
     status = F.when(F.col("good") & there, "held").when(F.col("good"), "lost").when(there, "returned").otherwise("absent")
     return verdicts.join(now, key, "left").select(key, status.alias("status"))
+
+
+def replay_moved(verdicts: DataFrame, edges: DataFrame, by_mention: list[str] | None = None) -> DataFrame:
+    """Past verdicts with ``status`` against the edges there are now, which may have moved; ``n`` counts equal verdicts.
+
+    ``verdicts``: family, key, stable, sheet, day, good, number, lineage, route. ``edges``: family, key, stable, number, lineage, route.
+    ``key`` may slide when others come in, ``stable`` is made of what doesn't; it is asked only where no edge has the key. Of edges
+    that share a key the one of the judged lineage counts, else the least. Nulls: a verdict without ``good`` isn't returned, without
+    ``lineage`` or ``route`` it stands for any, without keys it finds nothing.
+
+    * ``judged_elsewhere``: a later sheet judged the same key, by day and then by name;
+    * ``other_lineage``: the number is another article's now; ``other_route``: found false, and there on another ground;
+    * ``returned`` and ``absent`` of false edges; ``held``, ``lost`` and ``moved`` (to another number) of good ones. Families in
+      ``by_mention`` are keyed by a mention, so their number may change.
+    """
+    said = ["family", "key", "stable", "sheet", "day", "good", "number", "lineage", "route"]
+    judged = verdicts.where("good is not null").groupBy(*said).agg(F.count("*").alias("n"))
+    last = judged.groupBy("family", "key").agg(F.max(F.struct("day", "sheet")).alias("_last"))
+    judged = judged.join(last.select("family", "key", F.col("_last.sheet").alias("_sheet")), ["family", "key"], "left")
+
+    found = F.struct(F.col("lineage"), F.coalesce("route", F.lit("")).alias("route"), F.col("number"))
+    names = lambda *ways: F.explode(F.array(*[F.struct(F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), F.col(kind_key).alias("k"), lineage.alias("line")) for rank, kind, kind_key, lineage in ways])).alias("_at")
+    whole, any_ = F.col("lineage").cast("string"), F.lit("*")
+    ways = [(1, "key", "key", whole), (2, "key", "key", any_), (3, "stable", "stable", whole), (4, "stable", "stable", any_)]
+    at = [F.col("_at.kind").alias("_kind"), F.col("_at.k").alias("_k"), F.col("_at.line").alias("_line")]
+    index = edges.select("family", found.alias("_edge"), names(*ways)).where("_at.k is not null and _at.line is not null").groupBy("family", *at).agg(F.min("_edge").alias("_edge"))
+    asked = judged.where("_sheet <=> sheet").select(*said, "n", names(*ways)).where("_at.k is not null and _at.line is not null").select(*said, "n", F.col("_at.rank").alias("_rank"), *at)
+    hits = asked.join(index, ["family", "_kind", "_k", "_line"]).groupBy(*said, "n").agg(F.min_by("_edge", "_rank").alias("_edge"))
+    same = [F.col(f"h.{c}").eqNullSafe(F.col(f"j.{c}")) for c in said]
+    both = judged.alias("j").join(hits.select(*said, "_edge").alias("h"), reduce(Column.__and__, same), "left").select("j.*", "_edge")
+
+    there, good = F.col("_edge").isNotNull(), F.col("good")
+    status = (
+        F.when(~F.col("_sheet").eqNullSafe(F.col("sheet")), "judged_elsewhere")
+        .when(there & F.col("lineage").isNotNull() & ~F.col("_edge.lineage").eqNullSafe(F.col("lineage")), "other_lineage")
+        .when(there & ~good & F.col("route").isNotNull() & (F.col("_edge.route") != F.col("route")), "other_route")
+        .when(~good, F.when(there, "returned").otherwise("absent"))
+        .when(~there, "lost")
+        .when(~F.col("family").isin(by_mention or []) & ~F.col("_edge.number").eqNullSafe(F.col("number")), "moved")
+        .otherwise("held")
+    )
+    return both.select(*said, "n", status.alias("status"), F.col("_edge.number").alias("now"))

@@ -7,6 +7,7 @@ statutes, dossiers and texts are arithmetic on the key, so that they grow with t
 
 from pyspark.sql import functions as F
 
+from spoor.operators.changes import replay_moved
 from spoor.operators.routes import Graph, discussed, documented, silence
 from spoor.registry import query
 from spoor.sources.tables import table, written
@@ -135,3 +136,41 @@ FROM survival s JOIN up ON up.node = s.article JOIN now n ON n.article = up.seed
 def bills_discussed(spark, sf_dir):
     """Articles in force with the articles of texts under which they were debated, themselves or under a former number."""
     return discussed(_graph(spark, sf_dir)[2], F.lit(DAY).cast("date"), F.expr(NEVER))
+
+
+_JUDGED = """d AS (SELECT *, CASE doc_id % 4 WHEN 0 THEN 'filed_on' WHEN 1 THEN 'aims_at' WHEN 2 THEN 'targets' ELSE 'results_from' END AS family, sha256(text) AS stable FROM documents),
+j1 AS (SELECT d.*, 'a' || doc_id % 3 AS sheet, DATE '2024-01-01' AS day, quality = 1 AS good FROM d JOIN labels USING (doc_id)),
+j2 AS (SELECT * REPLACE ('z' AS sheet, CASE WHEN doc_id % 21 = 0 THEN DATE '2023-01-01' ELSE DATE '2024-06-01' END AS day, NOT good AS good) FROM j1 WHERE doc_id % 7 = 0),
+j AS (SELECT family, 'k' || doc_id AS key, stable, sheet, day, good, 'L' || doc_id % 50 AS number, CASE WHEN doc_id % 2 = 0 THEN DATE '2001-01-01' + CAST(doc_id % 5 AS INTEGER) END AS lineage, CASE WHEN family = 'filed_on' THEN 'named' END AS route
+  FROM (FROM j1 UNION ALL FROM j2) AS x WHERE good IS NOT NULL),
+e AS (SELECT family, CASE WHEN doc_id % 5 = 3 THEN 'm' ELSE 'k' END || doc_id AS key, stable, 'L' || (doc_id % 50 + CASE WHEN doc_id % 9 = 1 THEN 1 ELSE 0 END) AS number, DATE '2001-01-01' + CAST(doc_id % 5 + CASE WHEN doc_id % 22 = 2 THEN 1 ELSE 0 END AS INTEGER) AS lineage,
+  CASE WHEN family = 'filed_on' THEN CASE WHEN doc_id % 3 = 0 THEN 'whole' ELSE 'named' END END AS route FROM d WHERE n_chars >= 900)"""
+
+
+@query(
+    f"""WITH {_JUDGED}, l AS (SELECT family, key, arg_max(sheet, (day, sheet)) AS latest FROM j GROUP BY ALL),
+o AS (SELECT family, key, stable, (lineage, coalesce(route, ''), number) AS x, lineage FROM e),
+a1 AS (SELECT family, key, lineage, min(x) AS x FROM o GROUP BY 1, 2, 3), a2 AS (SELECT family, key, min(x) AS x FROM o GROUP BY 1, 2), a3 AS (SELECT family, stable, lineage, min(x) AS x FROM o GROUP BY 1, 2, 3), a4 AS (SELECT family, stable, min(x) AS x FROM o GROUP BY 1, 2),
+h AS (SELECT j.*, latest, coalesce(a1.x, a2.x, a3.x, a4.x) AS x FROM j LEFT JOIN l USING (family, key) LEFT JOIN a1 ON a1.family = j.family AND a1.key = j.key AND a1.lineage = j.lineage LEFT JOIN a2 ON a2.family = j.family AND a2.key = j.key
+  LEFT JOIN a3 ON a3.family = j.family AND a3.stable = j.stable AND a3.lineage = j.lineage LEFT JOIN a4 ON a4.family = j.family AND a4.stable = j.stable)
+SELECT family, sheet, CASE WHEN latest <> sheet THEN 'judged_elsewhere' WHEN x IS NOT NULL AND lineage IS NOT NULL AND x[1] <> lineage THEN 'other_lineage' WHEN x IS NOT NULL AND NOT good AND route IS NOT NULL AND x[2] <> route THEN 'other_route'
+  WHEN NOT good THEN CASE WHEN x IS NULL THEN 'absent' ELSE 'returned' END WHEN x IS NULL THEN 'lost' WHEN family <> 'aims_at' AND x[3] <> number THEN 'moved' ELSE 'held' END AS status, count(*) AS n FROM h GROUP BY ALL"""
+)
+def verdicts_replayed(spark, sf_dir):
+    """Labels as verdicts of sheets, some judged twice, against documents as edges, some of which slid to another key, number, lineage or route."""
+    kind = F.element_at(F.array(*map(F.lit, ["filed_on", "aims_at", "targets", "results_from"])), (F.col("doc_id") % 4).cast("int") + 1)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars", kind.alias("family"), F.sha2("text", 256).alias("stable"))
+    filed = F.col("family") == "filed_on"
+    day = lambda d: F.lit(d).cast("date")
+    first = docs.join(table(spark, sf_dir, "labels").select("doc_id", (F.col("quality") == 1).alias("good")), "doc_id").withColumns({"sheet": F.concat(F.lit("a"), F.col("doc_id") % 3), "day": day("2024-01-01")})
+    again = first.where("doc_id % 7 = 0").withColumns({"sheet": F.lit("z"), "day": F.when(F.col("doc_id") % 21 == 0, day("2023-01-01")).otherwise(day("2024-06-01")), "good": ~F.col("good")})
+    judged = first.unionByName(again).select(
+        "family", F.concat(F.lit("k"), "doc_id").alias("key"), "stable", "sheet", "day", "good", F.concat(F.lit("L"), F.col("doc_id") % 50).alias("number"),
+        F.when(F.col("doc_id") % 2 == 0, F.date_add(day("2001-01-01"), (F.col("doc_id") % 5).cast("int"))).alias("lineage"), F.when(filed, "named").alias("route"),
+    )
+    edges = docs.where("n_chars >= 900").select(
+        "family", F.concat(F.when(F.col("doc_id") % 5 == 3, "m").otherwise("k"), "doc_id").alias("key"), "stable", F.concat(F.lit("L"), F.col("doc_id") % 50 + F.when(F.col("doc_id") % 9 == 1, 1).otherwise(0)).alias("number"),
+        F.date_add(day("2001-01-01"), (F.col("doc_id") % 5 + F.when(F.col("doc_id") % 22 == 2, 1).otherwise(0)).cast("int")).alias("lineage"),
+        F.when(filed, F.when(F.col("doc_id") % 3 == 0, "whole").otherwise("named")).alias("route"),
+    )
+    return replay_moved(judged, edges, ["aims_at"]).groupBy("family", "sheet", "status").agg(F.sum("n").alias("n"))
