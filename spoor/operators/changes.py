@@ -21,6 +21,46 @@ def overlay(snapshot: DataFrame, increments: DataFrame, key: str, order: list[st
     return compact_changes(every, key, ["_n", *order], F.coalesce(is_delete, F.lit(False))).select(*snapshot.columns)
 
 
+def standing(changes: DataFrame, fonds: str, key: str, stamp: str, full: str, deleted: str) -> DataFrame:
+    """The living members among the last changes of each key of archives: those of a fonds' newest full archive, or newer than it.
+
+    A row without a key is the mark of an archive, so that an empty full archive counts too. A fonds without a full archive has no
+    members yet: its increments wait. An increment as old as the full archive, or older, is in it already.
+    """
+    newest = changes.where(F.col(full)).groupBy(fonds).agg(F.max(stamp).alias("_newest"))
+    counts = (F.col(stamp) > F.col("_newest")) | (F.col(full) & (F.col(stamp) == F.col("_newest")))
+    return changes.join(newest, fonds).where(counts & F.col(key).isNotNull() & ~F.coalesce(F.col(deleted), F.lit(False))).drop("_newest")
+
+
+#: Of one key: the later archive, of one date the full one, within an archive its deletions, as they come after what it holds.
+def archive_order(stamp: str, full: str, deleted: str) -> list[str]:
+    return [stamp, full, deleted]
+
+
+def deployed(archives: DataFrame, fonds: str, key: str, stamp: str, full: str, deleted: str) -> DataFrame:
+    """What archives (rows with ``fonds``, ``key``, ``stamp``, ``full``, ``deleted``) leave when the newest full one is laid down and later ones over it."""
+    rest = [c for c in archives.columns if c not in (fonds, key)]
+    order = F.struct(*archive_order(stamp, full, deleted))
+    last = archives.groupBy(fonds, key).agg(F.max_by(F.struct(*rest), order).alias("_l"), F.max(F.when(F.col(full), F.col(stamp))).alias("_full"))
+    # An older full archive may hide behind a later change of the same key, so its date goes along.
+    newest = last.groupBy(fonds).agg(F.max("_full").alias("_full"))
+    rows = last.select(fonds, key, "_l.*").select(*archives.columns)
+    mark = newest.where("_full is not null").select(F.col(fonds), *[F.lit(None).cast(archives.schema[c].dataType).alias(c) if c not in (stamp, full) else (F.col("_full").alias(stamp) if c == stamp else F.lit(True).alias(full)) for c in archives.columns if c != fonds])
+    return standing(rows.where(F.col(key).isNotNull()).unionByName(mark), fonds, key, stamp, full, deleted)
+
+
+def archive_journal(archives: DataFrame, fonds: str, key: str, stamp: str, full: str, deleted: str) -> DataFrame:
+    """(fonds, stamp, full, members, deletions, hash, applied) of each archive; the hash is of its rows in any order."""
+    flag = F.coalesce(F.col(deleted), F.lit(False))
+    held = F.col(key).isNotNull()
+    each = archives.groupBy(fonds, stamp, full).agg(
+        F.count_if(held & ~flag).alias("members"), F.count_if(held & flag).alias("deletions"), F.sum(F.xxhash64(*[c for c in archives.columns if c not in (fonds, stamp, full)]).cast("decimal(38,0)")).cast("string").alias("hash")
+    )
+    newest = each.where(F.col(full)).groupBy(fonds).agg(F.max(stamp).alias("_newest"))
+    applied = F.coalesce((F.col(stamp) > F.col("_newest")) | (F.col(full) & (F.col(stamp) == F.col("_newest"))), F.lit(False))
+    return each.join(newest, fonds, "left").withColumn("applied", applied).drop("_newest")
+
+
 def snapshot_diff(old: DataFrame, new: DataFrame, key: str, value: str) -> DataFrame:
     """(key, old, new, change): entered, left or flipped; equal rows are not returned."""
     both = old.select(F.col(key), F.col(value).alias("old"), F.lit(1).alias("_old")).join(new.select(F.col(key), F.col(value).alias("new"), F.lit(1).alias("_new")), key, "full")
@@ -69,6 +109,7 @@ def replay_moved(verdicts: DataFrame, edges: DataFrame, by_mention: list[str] |
     judged = verdicts.where("good is not null").groupBy(*said).agg(F.count("*").alias("n"))
     last = judged.groupBy("family", "key").agg(F.max(F.struct("day", "sheet")).alias("_last"))
     judged = judged.join(last.select("family", "key", F.col("_last.sheet").alias("_sheet")), ["family", "key"], "left")
+    judged = judged.withColumn("_sheet", F.when(F.col("key").isNull() | F.col("family").isNull(), F.col("sheet")).otherwise(F.col("_sheet")))
 
     found = F.struct(F.col("lineage"), F.coalesce("route", F.lit("")).alias("route"), F.col("number"))
     names = lambda *ways: F.explode(F.array(*[F.struct(F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), F.col(kind_key).alias("k"), lineage.alias("line")) for rank, kind, kind_key, lineage in ways])).alias("_at")

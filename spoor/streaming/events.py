@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from spoor.operators.changes import overlay
+from spoor.operators.changes import archive_order, overlay, standing
 
 
 def read_increments(spark: SparkSession, folder: str, schema, files_per_trigger: int = 16) -> DataFrame:
@@ -55,10 +55,31 @@ def current(spark: SparkSession, snapshots: str, version: int, key: str, order:
     return _last(_changes(spark, snapshots, version, every), key, order).where(~F.coalesce(F.expr(is_delete), F.lit(False)))
 
 
-def counts_by_window(events: DataFrame, time: str, kind: str, width: str = "1 hour", late: str = "2 hours") -> DataFrame:
-    """(start, kind, n, total) of tumbling windows; what comes later than ``late`` is left out. Streams and tables alike."""
+def deploy_archives(stream: DataFrame, snapshots: str, checkpoint: str, fonds: str, key: str, stamp: str, full: str, deleted: str, once: bool = True, every: int = COMPACT_EVERY) -> StreamingQuery:
+    """Fold archives that arrive in any order, full ones and increments, into a state by key; see :func:`archives_standing`.
+
+    The state of a key is its last change, deletions too; that of a fonds is its newest full archive, kept as a row without a
+    key. Both only grow with the date, so the order of arrival, and a batch that runs again, make no difference.
+    """
+    at = F.struct(F.col(fonds), F.col(key)).alias("_at")
+    rows = stream.select(at, *[c for c in stream.columns if c not in (fonds, key)])
+    # Every full archive marks its fonds, whether it says so in a row of its own or not.
+    mark = F.struct(F.col(f"_at.{fonds}").alias(fonds), F.lit(None).cast(stream.schema[key].dataType).alias(key))
+    own = F.when(F.col(full), F.array("_at", mark)).when(F.col(f"_at.{key}").isNotNull(), F.array("_at"))
+    marked = rows.withColumn("_at", F.explode(own)).withColumn(deleted, F.when(F.col(f"_at.{key}").isNotNull(), F.coalesce(deleted, F.lit(False))).otherwise(F.lit(False)))
+    return apply_increments(marked, snapshots, checkpoint, "_at", archive_order(stamp, full, deleted), once, every)
+
+
+def archives_standing(spark: SparkSession, snapshots: str, version: int, fonds: str, key: str, stamp: str, full: str, deleted: str, every: int = COMPACT_EVERY) -> DataFrame:
+    """The members of each fonds after a batch: of its newest full archive and the increments after it, less what those delete."""
+    rows = _last(_changes(spark, snapshots, version, every), "_at", archive_order(stamp, full, deleted)).select("_at.*", "*").drop("_at")
+    return standing(rows, fonds, key, stamp, full, deleted)
+
+
+def counts_by_window(events: DataFrame, time: str, kind: str, width: str = "1 hour", late: str = "2 hours", slide: str | None = None) -> DataFrame:
+    """(start, kind, n, total) of windows, which overlap if ``slide`` is shorter; what comes later than ``late`` is left out. Streams and tables alike."""
     rows = events.withWatermark(time, late) if events.isStreaming else events
-    found = rows.groupBy(F.window(time, width).alias("w"), kind).agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))
+    found = rows.groupBy(F.window(time, width, slide).alias("w"), kind).agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))
     return found.select(F.col("w.start").alias("start"), kind, "n", "total")
 
 
@@ -74,4 +95,4 @@ def distinct_events(events: DataFrame, time: str, keys: list[str], late: str = "
     return events.withWatermark(time, late).dropDuplicatesWithinWatermark(keys) if events.isStreaming else events.dropDuplicates(keys)
 
 
-__all__ = ["apply_increments", "counts_by_window", "current", "distinct_events", "overlay", "read_increments", "sessions"]
+__all__ = ["apply_increments", "archives_standing", "counts_by_window", "current", "deploy_archives", "distinct_events", "overlay", "read_increments", "sessions"]
