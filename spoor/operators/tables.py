@@ -119,7 +119,7 @@ def transposes_article(found: DataFrame, studies: DataFrame, declared: DataFrame
 
     ``studies``: document, dossier, day, one row a document. ``declared``: celex, number of the articles that an act has. ``lineages``: number, end, lineage;
     ``written``: number, dossier, lineage that a dossier wrote. Numbers are those of the bill, so they are resolved on the
-    dossier's day, the lineage alone that the dossier wrote first. Of rows that say the same in a document the first is the edge.
+    dossier's day, the lineage alone that the dossier wrote first; rejected rows have none. Of rows that say the same in a document the first is the edge.
     """
     papers = studies.select("document", "dossier", "day", F.lit(True).alias("_study"))
     acts = declared.select("celex", F.col("number").alias("act_article"), F.lit(True).alias("_declared")).distinct()
@@ -128,7 +128,7 @@ def transposes_article(found: DataFrame, studies: DataFrame, declared: DataFrame
     told = asof_preferred(asked, lineages.select("number", "end", "lineage"), written.select("number", "dossier", "lineage"), "number", "dossier", "day", "end", "lineage")
     told = told.select(F.col("number").alias("_number"), F.col("dossier").alias("_dossier"), F.col("day").alias("_day"), "lineage")
     same = (F.col("number") == F.col("_number")) & F.col("dossier").eqNullSafe(F.col("_dossier")) & F.col("day").eqNullSafe(F.col("_day"))
-    rows = rows.join(told, same, "left").drop("_number", "_dossier", "_day")
+    rows = rows.join(told, same & F.col("_study") & F.col("_declared"), "left").drop("_number", "_dossier", "_day")
     steps = [("unknown_act_article", F.col("_declared").isNull()), ("no_document", F.col("_study").isNull()), ("unresolved", F.col("lineage").isNull())]
     rows = reason_ladder(rows, steps)
     edge = Window.partitionBy("document", "celex", "act_article", "paragraph", "number", "lineage", "reason").orderBy("page", "line", "column", "ordinal", "proof")
