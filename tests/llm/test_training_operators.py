@@ -390,6 +390,26 @@ def test_quality_on_odd_input(spark, odd, none):
     assert quality.judge(none, labels).count() == 0 and quality.judge(odd, labels.limit(0)).count() == odd.count()
 
 
+def test_forest_is_fitted_to_all_labelled_rows(spark):
+    rng = np.random.default_rng(5)
+    made = [(k, " ".join(["word" * int(c)] * 3 + [f"{'w' * int(d)}{k}.{j}" for j in range(50)]), int(k % 9 > 0)) for k, (c, d) in enumerate(rng.integers(1, 9, (20_500, 2)))]
+    docs = spark.createDataFrame(made, "doc_id long, text string, quality int").repartition(7, "doc_id").cache()
+    found = quality.judge(docs, docs.select("doc_id", "quality")).select("doc_id", "base_failed", "anomaly", "kept").toPandas().sort_values("doc_id")
+    counts = np.array([quality.statistics(t) for _, t, _ in made], np.int64)
+    assert not found["base_failed"].any()
+    forest = quality.fit(counts, np.array([q == 1 for *_, q in made]))
+    scores = forest.scores(quality.features(counts))
+    assert (found["anomaly"].to_numpy() == scores).all() and (found["kept"].to_numpy() == (scores <= forest.threshold)).all()
+    docs.unpersist()
+
+
+def test_value_at_a_place(spark):
+    values = np.random.default_rng(6).choice(np.concatenate([[0.5] * 500, np.random.default_rng(7).random(500), 0.3 + np.arange(200) * 2.0**-50]), 3000)
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    for place in (0, 1, 1200, 1500, 2985, 2999):
+        assert quality.value_at(df, "v", place) == np.sort(values)[place]
+
+
 # --- secrets
 
 
