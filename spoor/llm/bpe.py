@@ -6,11 +6,11 @@ Decoding concatenates vocabulary strings.
 """
 
 import hashlib
-import heapq
 import json
 import unicodedata
 from collections.abc import Iterator
 from functools import cache
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -18,8 +18,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Distinct runs of text whose encoding a worker remembers before it starts anew, some 120 MB of them.
-REMEMBERED = 200_000
+#: Distinct runs of text whose encoding a worker remembers: those met among the last this many or half of it.
+REMEMBERED = 400_000
 #: Documents whose ids are in a worker's memory at once.
 SLICE = 128
 
@@ -36,7 +36,11 @@ UNCOMMON = regex.compile(r"[\x1c-\x1f]")
 
 
 class Encoder(dict):
-    """Run of text without white space -> ("id id ...", "string string ..."); a missing one is encoded when asked for."""
+    """Run of text without white space -> "id id ..."; a missing one is encoded when asked for.
+
+    Half of what is remembered is held here, the other half in ``older``: once this one is full it takes the other's place, and
+    what is met there moves here, so that frequent runs stay.
+    """
 
     def __init__(self, path: str):
         spec = json.load(open(path, encoding="utf-8"))
@@ -53,59 +57,68 @@ class Encoder(dict):
         self.strings |= {i: s for s, i in self.special.items()}
         self.split_special = regex.compile("|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True))) if self.special else None
         self.word = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
-        self.pieces: dict[str, list[int]] = {}
+        #: by an id's digits: its string
+        self.named = {str(i): s for i, s in self.strings.items()}
+        self.older: dict[str, str] = {}
 
     def merged(self, word: str) -> list[int]:
         """The ids of one word's bytes after every merge, best rank first, leftmost among equals."""
         raw = word.encode("utf-8", "surrogatepass")
         ids = [self.inner[b] for b in raw[:-1]]
         ids.append(self.last[raw[-1]])
-        n, merges = len(ids), self.merges
-        after, before = [*range(1, n), -1], [*range(-1, n - 1)]
-        # A queue entry is one number: the merge's rank over as many bits as the word's places need.
+        n, get = len(ids), self.merges.get
+        after, before = [*range(1, n + 1)], [*range(-1, n - 1)]
+        # The merge that each symbol and the next one can make, 0 for none. A queue entry is one number: the merge, whose rank
+        # leads, over as many bits as the word's places need.
+        able = [get(x << 20 | y, 0) for x, y in zip(ids, ids[1:])]
+        able.append(0)
         bits = n.bit_length()
         place = (1 << bits) - 1
-        queue = [(found >> 20) << bits | i for i, (x, y) in enumerate(zip(ids, ids[1:])) if (found := merges.get(x << 20 | y))]
-        heapq.heapify(queue)
+        queue = [found << bits | i for i, found in enumerate(able) if found]
+        heapify(queue)
         while queue:
-            top = heapq.heappop(queue)
-            i = top & place
-            j = after[i]
-            if j < 0 or ids[i] < 0:
-                continue
-            found = merges.get(ids[i] << 20 | ids[j])
-            if found is None or found >> 20 != top >> bits:
+            top = heappop(queue)
+            i, found = top & place, top >> bits
+            if able[i] != found:
                 continue  # stale: one of the two symbols has merged meanwhile
-            ids[i], ids[j] = found & 0xFFFFF, -1
+            now = ids[i] = found & 0xFFFFF
+            j = after[i]
+            ids[j], able[j] = -1, 0
             k = after[i] = after[j]
-            if k >= 0:
+            if k < n:
                 before[k] = i
-                if found := merges.get(ids[i] << 20 | ids[k]):
-                    heapq.heappush(queue, (found >> 20) << bits | i)
+                if found := get(now << 20 | ids[k], 0):
+                    heappush(queue, found << bits | i)
+                able[i] = found
+            else:
+                able[i] = 0
             k = before[i]
-            if k >= 0 and (found := merges.get(ids[k] << 20 | ids[i])):
-                heapq.heappush(queue, (found >> 20) << bits | k)
+            if k >= 0:
+                if found := get(ids[k] << 20 | now, 0):
+                    heappush(queue, found << bits | k)
+                able[k] = found
         return [x for x in ids if x >= 0]
 
-    def __missing__(self, run: str) -> tuple[str, str]:
-        if len(self) >= REMEMBERED:
-            self.clear()
-            self.pieces.clear()
-        if run in self.special:
-            ids = [self.special[run]]
-        else:
-            ids = []
-            for piece in self.word.findall(run):
-                if (own := self.pieces.get(piece)) is None:
-                    own = self.merged(piece)
-                    if len(piece) < 64:
-                        self.pieces[piece] = own
-                ids += own
-        made = (" ".join(map(str, ids)), self.decode(ids))
+    def __missing__(self, run: str) -> str:
+        made = self.older.get(run)
+        if made is None:
+            made = self.encoded(run)
         if len(run) < 64:
+            if 2 * len(self) >= REMEMBERED:
+                self.older = dict(self)
+                self.clear()
             self[run] = made
         return made
 
+    def encoded(self, run: str) -> str:
+        if run in self.special:
+            return str(self.special[run])
+        pieces = self.word.findall(run)
+        if len(pieces) == 1:
+            return " ".join(map(str, self.merged(pieces[0])))
+        # A piece is a run of its own, but where its text is a special token's, which can only be met as a run.
+        return " ".join([" ".join(map(str, self.merged(p))) if p in self.special else self[p] for p in pieces])
+
     def decode(self, ids: list[int]) -> str:
         """The vocabulary strings of the ids, which this tokenizer's file leaves apart by a space."""
         strings = self.strings
@@ -126,7 +139,7 @@ class Encoder(dict):
         return self.word.findall(text) if UNCOMMON.search(text) else text.split()
 
     def encode(self, text: str | None) -> list[int]:
-        return [int(i) for w in self.runs(text or "") for i in self[w][0].split()]
+        return [int(i) for w in self.runs(text or "") for i in self[w].split()]
 
 
 @cache
@@ -178,11 +191,11 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
         for batch in batches:
             sizes, of_ids, of_text = [], [], []
             for text in batch.column(1):
-                made = list(map(own.__getitem__, own.runs(text.as_py() or "")))
-                ids = " ".join([x[0] for x in made])
-                sizes.append(ids.count(" ") + 1 if ids else 0)
+                ids = " ".join(map(own.__getitem__, own.runs(text.as_py() or "")))
+                made = ids.split()
+                sizes.append(len(made))
                 of_ids.append(hashlib.sha256(ids.encode()).hexdigest())
-                of_text.append(hashlib.sha256(" ".join([x[1] for x in made]).encode("utf-8", "surrogatepass")).hexdigest())
+                of_text.append(hashlib.sha256(" ".join(map(own.named.__getitem__, made)).encode("utf-8", "surrogatepass")).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"doc_id {docs.schema[id_col].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -175,6 +175,18 @@ def test_encoding_of_any_latin_text(text):
     assert bpe.encoder(PATH).encode(text) == lib.encode(text, add_special_tokens=False).ids
 
 
+def test_frequent_runs_stay_remembered(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 100)
+    lib, own, asked = Tokenizer.from_file(PATH), bpe.Encoder(PATH), Counter()
+    merged = own.merged
+    monkeypatch.setattr(own, "merged", lambda word: asked.update([word]) or merged(word))
+    for k in range(1000):
+        text = f"often rare{k:04} <|endoftext|>!"
+        assert own.encode(text) == lib.encode(text, add_special_tokens=False).ids
+        assert len(own) <= 100
+    assert asked["often"] == 1
+
+
 # --- language
 
 
