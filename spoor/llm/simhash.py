@@ -288,6 +288,16 @@ def candidates(words: DataFrame, similarity: float = SIMILARITY, radius: int = W
     return _tile_pairs(words.where("n > 0").select("key", "fp", "fp2", "n", "root"), cell, near, most).mapInArrow(run, "a long, b long, block long")
 
 
+def _among(sets: DataFrame, places: DataFrame) -> DataFrame:
+    """The rows of ``sets`` whose place is one of ``places``, so that no others are shuffled.
+
+    Places are bits in words of 64, some 0.2 bytes a document, which Spark broadcasts while it deems them small.
+    """
+    bit = F.expr("shiftleft(1L, cast(place & 63 as int))")
+    words = written(places.toDF("place").groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(bit).alias("bits")))
+    return sets.join(words, F.shiftright(sets["place"], 6) == words["word"]).where(F.col("bits").bitwiseAND(bit) != 0).select(*sets.columns)
+
+
 def _members(packed: bytes) -> np.ndarray:
     return np.frombuffer(packed, np.uint32)
 
@@ -367,11 +377,13 @@ def _similar_links(one: DataFrame, sets: DataFrame, similarity: float) -> DataFr
     hubs = by.groupBy("order", "value").agg(hub.alias("hub"), F.count("*").alias("of")).where("of > 1").select("order", "value", F.col("hub.key").alias("hub"), F.col("hub.n").alias("hub_n"))
     stars = by.join(hubs, ["order", "value"]).where("key <> hub").where(F.least("n", "hub_n") >= similarity * F.greatest("n", "hub_n"))
     stars = stars.select(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b")).distinct()
-    first = written(similar(written(stars), sets, similarity))
+    stars = written(stars)
+    first = written(similar(stars, _among(sets, stars.select("a").union(stars.select("b"))), similarity))
     roots = components(first, "a", "b").withColumnRenamed("node", "key")
     words = written(one.join(roots, "key", "left").select("key", "fp", "fp2", "n", F.coalesce("root", "key").alias("root")))
     found = written(candidates(words, similarity))
     pairs, crowds = found.where("block is null").select("a", "b"), found.where("block is not null").select("a", F.col("b").alias("side"), "block")
+    sets = _among(sets, found.select("a").union(pairs.select("b")))
     return first.unionByName(similar(pairs, sets, similarity)).unionByName(crowd_links(crowds, words, sets, similarity))
 
 

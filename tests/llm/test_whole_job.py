@@ -186,6 +186,18 @@ def test_a_word_of_any_length_is_encoded(spark):
         assert own.encode(word) == lib.encode(word, add_special_tokens=False).ids
 
 
+# --- near-duplicates
+
+
+def test_only_sets_that_are_compared_are_shuffled(spark):
+    places = [0, 1, 63, 64, (3 << 33) + 62, (3 << 33) + 63, (5 << 33) + 4097]
+    sets = spark.createDataFrame([(p + d, bytes([d])) for p in places for d in (0, 200)], "place long, hashes binary")
+    wanted = spark.createDataFrame([(p,) for p in (*places[1:], 63, 7 << 33)], "a long")
+    found = simhash._among(sets, wanted)
+    assert sorted(r["place"] for r in found.collect()) == places[1:] and found.columns == sets.columns
+    assert simhash._among(sets, wanted.limit(0)).count() == 0
+
+
 # --- chat
 
 
