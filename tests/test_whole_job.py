@@ -29,3 +29,10 @@ def test_entities_without_their_semicolon_stay(spark, tmp_path):
     spark.createDataFrame([(i, "u", p) for i, p in enumerate(pages)], "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
     rows = same_as_sql(spark, tmp_path, "html_texts")
     assert [r[0] for r in sorted(rows, key=lambda r: r[1])] == [7, 43, 41, 0, None]
+
+
+def test_a_header_behind_a_tab_is_a_header(spark):
+    from spoor.operators import scan
+
+    texts = spark.createDataFrame([(1, "\tArticle 2\n\uffff L. 1-3"), (2, None), (3, "")], "id long, text string")
+    assert sorted(map(tuple, scan.events(texts).select("id", "kind", "start", "key").collect())) == [(1, "header", 0, "2"), (1, "line", 10, None), (1, "reference", 13, "L1-3")]
