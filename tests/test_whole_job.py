@@ -37,7 +37,7 @@ def test_entities_without_their_semicolon_stay(spark, tmp_path):
 
 def test_bills_are_scanned_and_ruled_without_a_table_between(spark):
     text = "Article 1\nL'article L. 1-1 du code de la consommation est abrogé.\n« Art. L. 1-2. – Texte. »\n\tArticle 2\nL'article L. 1-3 du code de commerce est abrogé."
-    texts = spark.createDataFrame([(1, text), (2, text.replace("Texte", "\uffff")), (3, None), (4, "")], "id long, text string")
+    texts = spark.createDataFrame([(1, text), (2, text.replace("Texte", "\x01")), (3, None), (4, "")], "id long, text string")
     before = len(os.listdir(shared_dir(spark)))
     covered, aimed = scan.covers(scan.events(texts), "consommation"), scan.targets(scan.events(texts), "consommation")
     assert len(os.listdir(shared_dir(spark))) == before
@@ -47,5 +47,23 @@ def test_bills_are_scanned_and_ruled_without_a_table_between(spark):
 
 
 def test_a_header_behind_a_tab_is_a_header(spark):
-    texts = spark.createDataFrame([(1, "\tArticle 2\n\uffff L. 1-3"), (2, None), (3, "")], "id long, text string")
+    texts = spark.createDataFrame([(1, "\tArticle 2\n\x01 L. 1-3"), (2, None), (3, "")], "id long, text string")
     assert sorted(map(tuple, scan.events(texts).select("id", "kind", "start", "key").collect())) == [(1, "header", 0, "2"), (1, "line", 10, None), (1, "reference", 13, "L1-3")]
+
+
+def test_sections_of_a_text_that_holds_the_fence(spark):
+    from spoor.operators import reports
+
+    section = "Article 7 (art. L. 121-3 au L. 121-5)\n" + "mot " * 300
+    texts = spark.createDataFrame([(1, "\x01\n" + section + "\nArticle 8\n"), (2, section), (3, None), (4, "")], "document long, text string")
+    found = [tuple(r) for r in reports.report_sections(texts).select("document", "article", "start", "end", "declared").orderBy("document").collect()]
+    n = ["L121-3", "L121-4", "L121-5"]
+    assert found == [(1, "7", 2, 3 + len(section), n), (2, "7", 0, len(section), n)]
+
+
+def test_sections_hold_one_pattern_for_their_headers(spark):
+    from spoor.operators import reports
+
+    plan = reports.report_sections(spark.createDataFrame([(1, "x")], "document long, text string"))._jdf.queryExecution().optimizedPlan().toString()
+    # The patterns of sections are asked once, but where a text holds the fence.
+    assert plan.count("Article (?:additionnel") == 3
