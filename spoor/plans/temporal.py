@@ -3,7 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from spoor.operators.sections import overlap_join
+from spoor.operators.sections import overlap_summary
 from spoor.operators.similarity import word_jaccard
 from spoor.operators.temporal import asof_forward, asof_interval, in_force, last_before, lineage_rank, with_intervals
 from spoor.registry import query
@@ -101,5 +101,6 @@ def interval_overlap(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "user_id", F.col("ts").alias("a"), "event_type")
     events = events.withColumn("b", F.coalesce(F.lead("a").over(Window.partitionBy("user_id").orderBy("a", "event_id")), F.col("a")))
     spans = lambda kind, name: events.where(F.col("event_type") == kind).select(F.col("event_id").alias(name), "a", "b")
-    found = overlap_join(spans("signup", "signup"), spans("purchase", "purchase"), "a", "b", bucket=3_600_000_000)
-    return found.groupBy("signup").agg(F.count("*").alias("purchases"), F.min("purchase").alias("least"), F.max("purchase").alias("greatest"))
+    # Spans are hours long; a bucket of five minutes leaves few of them within one.
+    found = overlap_summary(spans("signup", "signup"), spans("purchase", "purchase"), "a", "b", 300_000_000, "signup", "purchase")
+    return found.withColumnRenamed("n", "purchases")

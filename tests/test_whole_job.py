@@ -67,3 +67,21 @@ def test_sections_hold_one_pattern_for_their_headers(spark):
     plan = reports.report_sections(spark.createDataFrame([(1, "x")], "document long, text string"))._jdf.queryExecution().optimizedPlan().toString()
     # The patterns of sections are asked once, but where a text holds the fence.
     assert plan.count("Article (?:additionnel") == 3
+
+
+def test_overlaps_are_summed_up_without_pairs(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from spoor.operators.sections import overlap_summary
+
+    random.seed(11)
+    spans = lambda n: [(i, a, a + random.choice([0, 0, 1, 3, 10, 60, 200])) for i in range(n) for a in [random.randint(-60, 300)]]
+    left, right = spans(150), spans(150)
+    table = lambda rows, key: spark.createDataFrame(rows, f"{key} long, a long, b long").select(key, *[F.timestamp_micros(c).alias(c) for c in "ab"])
+    hits = {o: [q for q, c, d in right if a < d and c < b] for o, a, b in left}
+    wanted = sorted((o, len(qs), min(qs), max(qs)) for o, qs in hits.items() if qs)
+    for bucket in (1, 7, 1000):
+        found = overlap_summary(table(left, "o"), table(right, "q"), "a", "b", bucket, "o", "q")
+        assert sorted(map(tuple, found.collect())) == wanted
