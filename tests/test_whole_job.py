@@ -85,3 +85,18 @@ def test_overlaps_are_summed_up_without_pairs(spark):
     for bucket in (1, 7, 1000):
         found = overlap_summary(table(left, "o"), table(right, "q"), "a", "b", bucket, "o", "q")
         assert sorted(map(tuple, found.collect())) == wanted
+
+
+def test_windows_are_cut_from_runs_of_a_block(spark):
+    from pyspark.sql import functions as F
+
+    from spoor.operators import shingles
+
+    texts = ["é" + "abc😀 " * k for k in (0, 3, 11, 12, 13, 40, 700)] + ["", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    for width, step, block in ((60, 1, 1024), (60, 10, 1024), (5, 3, 100), (2, 1, 65), (7, 100, 64)):
+        found = shingles.block_windows(df, "id", "text", width, step, block)
+        wanted = sorted((i, p, t[p : p + width]) for i, t in enumerate(texts) for p in range(0, len(t or "") - width + 1, step))
+        assert sorted(map(tuple, found.collect())) == wanted
+        hashed = shingles.block_windows(df, "id", "text", width, step, block, hashed=True)
+        assert sorted(map(tuple, hashed.collect())) == sorted(map(tuple, found.select("id", "pos", F.xxhash64("w"), F.hash("w")).collect()))
